@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -119,19 +120,11 @@ def zscores(df: DataFrame, by: str, named: dict[str, str]) -> DataFrame:
     return scored.drop(*stats)
 
 
-def grid_status(
-    region: DataFrame, fuel: DataFrame, as_of: Instant = None, drop_unmeasured: bool = False
-) -> DataFrame:
-    """Hourly operations per respondent: ramp, gap, coverage, shares, z-scores, alert count.
-
-    The marts' rules reject hours without an actual demand; ``drop_unmeasured``
-    leaves those hours out instead.
-    """
-    if drop_unmeasured:
-        region = region.filter(F.col("actual_demand_mwh").isNotNull())
-    joined = region.join(fuel_mix_hourly(fuel), ["period", "respondent"], "left")
+def grid_measures(region: DataFrame, fuel: DataFrame) -> DataFrame:
+    """Hourly ramp, generation by class, gap, coverage and shares per respondent."""
+    joined = demand_ramp(region).join(fuel_mix_hourly(fuel), ["period", "respondent"], "left")
     demand, total = F.col("actual_demand_mwh"), F.col("total_generation_mwh")
-    measured = demand_ramp(joined).withColumns(
+    return joined.withColumns(
         {
             "respondent_name": F.coalesce("respondent_name", "fuel_respondent_name", "respondent"),
             "generation_gap_mwh": total - demand,
@@ -141,6 +134,26 @@ def grid_status(
             "gas_share_pct": percent(F.col("gas_generation_mwh"), total),
         }
     )
+
+
+def grid_status(
+    region: DataFrame,
+    fuel: DataFrame,
+    as_of: Instant = None,
+    drop_unmeasured: bool = False,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Hourly operations per respondent: measures, z-scores and alert count.
+
+    The marts' rules reject hours without an actual demand; ``drop_unmeasured``
+    leaves those hours out instead. The z-scores read the measures twice, for the
+    statistics and for the rows; ``keep`` may store them in between.
+    """
+    if drop_unmeasured:
+        region = region.filter(F.col("actual_demand_mwh").isNotNull())
+    measured = grid_measures(region, fuel)
+    if keep:
+        measured = keep(measured)
     scored = zscores(
         measured,
         "respondent",
@@ -280,8 +293,8 @@ def generation_daily(fuel: DataFrame, dim_fuel: DataFrame) -> DataFrame:
     )
 
 
-def peak_hour_gas(demand: DataFrame, fuel: DataFrame) -> DataFrame:
-    """Gas share of generation in each day's peak hour; ``demand`` is ``demand_daily``."""
+def with_peak_hour_gas(demand: DataFrame, fuel: DataFrame) -> DataFrame:
+    """``demand_daily`` rows plus the gas share of generation in their peak hour."""
     mix = fuel_mix_hourly(fuel).select(
         F.col("period").alias("peak_period"),
         "respondent",
@@ -289,22 +302,17 @@ def peak_hour_gas(demand: DataFrame, fuel: DataFrame) -> DataFrame:
             "peak_hour_gas_share_pct"
         ),
     )
-    return (
-        demand.select("date", "respondent", "peak_period")
-        .join(mix, ["peak_period", "respondent"], "left")
-        .select("date", "respondent", "peak_period", "peak_hour_gas_share_pct")
-    )
+    return demand.join(mix, ["peak_period", "respondent"], "left")
 
 
 def planning_daily(
     region: DataFrame, fuel: DataFrame, dim_fuel: DataFrame, as_of: Instant = None
 ) -> DataFrame:
     """Daily planning figures per respondent with a measured demand."""
-    demand = demand_daily(region)
-    key = ["date", "respondent"]
-    joined = demand.join(generation_daily(fuel, dim_fuel), key, "left").join(
-        peak_hour_gas(demand, fuel).drop("peak_period"), key, "left"
+    days = demand_daily(region).join(
+        generation_daily(fuel, dim_fuel), ["date", "respondent"], "left"
     )
+    joined = with_peak_hour_gas(days, fuel)
     total, renewable = F.col("total_generation_mwh"), F.col("renewable_generation_mwh")
     return joined.withColumns(
         {

@@ -174,7 +174,7 @@ select l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber
   'Fuel ' || fueltype_id as fueltype_name,
   cast(cast(l_tax * 100 as decimal(18,2)) as double) as ash_content_pct,
   'percent' as ash_content_units,
-  case when l_orderkey % 59 <> 0 then cast(cast(l_extendedprice / 1000 as decimal(18,2)) as double)
+  case when l_orderkey % 59 <> 0 then l_extendedprice
     end as consumption_for_eg_thousand_units,
   'thousand short tons' as consumption_for_eg_units,
   case when l_orderkey % 101 = 0 then -l_quantity else l_quantity end as generation_thousand_mwh,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,20 +105,49 @@ def gold_power(spark: SparkSession, root: str) -> DataFrame:
     return gold.power_monthly(silver_power(spark, root))
 
 
-def fuel_dimension(spark: SparkSession, root: str) -> DataFrame:
-    return gold.dim_fuel_type(silver_fuel(spark, root), as_of=AS_OF)
+class Stored:
+    """Layer tables of one query: each is computed once and read from the shared folder."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
+
+    @cached_property
+    def silver_fuel(self) -> DataFrame:
+        return tables.materialized(silver_fuel(self.spark, self.root), "silver-fuel")
+
+    @cached_property
+    def gold_region(self) -> DataFrame:
+        return tables.materialized(gold_region(self.spark, self.root), "gold-region")
+
+    @cached_property
+    def gold_fuel(self) -> DataFrame:
+        return tables.materialized(gold.fuel_hourly(self.silver_fuel), "gold-fuel")
+
+    @property
+    def dim_fuel(self) -> DataFrame:
+        return gold.dim_fuel_type(self.silver_fuel, as_of=AS_OF)
+
+    @property
+    def status(self) -> DataFrame:
+        return marts.grid_status(
+            self.gold_region,
+            self.gold_fuel,
+            AS_OF,
+            drop_unmeasured=True,
+            keep=lambda measures: tables.materialized(measures, "grid-measures"),
+        )
+
+    @property
+    def planning(self) -> DataFrame:
+        return marts.planning_daily(self.gold_region, self.gold_fuel, self.dim_fuel, AS_OF)
 
 
 def status(spark: SparkSession, root: str) -> DataFrame:
-    return marts.grid_status(
-        gold_region(spark, root), gold_fuel(spark, root), AS_OF, drop_unmeasured=True
-    )
+    return Stored(spark, root).status
 
 
 def planning(spark: SparkSession, root: str) -> DataFrame:
-    region = tables.materialized(gold_region(spark, root), "gold-region")
-    fuel = tables.materialized(gold_fuel(spark, root), "gold-fuel")
-    return marts.planning_daily(region, fuel, fuel_dimension(spark, root), AS_OF)
+    return Stored(spark, root).planning
 
 
 def stored_status(spark: SparkSession, root: str) -> DataFrame:
@@ -413,19 +443,18 @@ def bounds_check(spark: SparkSession, root: str) -> DataFrame:
 @query
 def mart_checks(spark: SparkSession, root: str) -> DataFrame:
     start, end = datetime(2024, 1, 1), AS_OF
-    daily = marts.region_daily(gold_region(spark, root), start, end, AS_OF)
+    layers = Stored(spark, root)
+    daily = marts.region_daily(layers.gold_region, start, end, AS_OF)
     power = marts.power_mart(gold_power(spark, root), start, end, AS_OF)
     return quality.union_reports(
         [
             (
                 "grid_operations_hourly",
-                quality.report(stored_status(spark, root), marts.grid_published_rules(AS_OF)),
+                quality.report(layers.status, marts.grid_published_rules(AS_OF)),
             ),
             (
                 "resource_planning_daily",
-                quality.report(
-                    stored_planning(spark, root), marts.planning_published_rules(AS_OF)
-                ),
+                quality.report(layers.planning, marts.planning_published_rules(AS_OF)),
             ),
             (
                 "region_demand_daily",
@@ -508,7 +537,7 @@ def fuel_mix_hourly(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def demand_ramp(spark: SparkSession, root: str) -> DataFrame:
-    measured = gold_region(spark, root).filter(F.col("actual_demand_mwh").isNotNull())
+    measured = Stored(spark, root).gold_region.filter(F.col("actual_demand_mwh").isNotNull())
     return present(
         marts.demand_ramp(measured).select(
             "period", "respondent", "actual_demand_mwh", "demand_ramp_mwh"
@@ -519,7 +548,7 @@ def demand_ramp(spark: SparkSession, root: str) -> DataFrame:
 @query
 def zscores(spark: SparkSession, root: str) -> DataFrame:
     scored = marts.zscores(
-        gold_region(spark, root),
+        Stored(spark, root).gold_region,
         "respondent",
         {"demand_zscore": "actual_demand_mwh", "forecast_error_zscore": "forecast_error_mwh"},
     )
@@ -550,13 +579,15 @@ def planning_daily(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def fuel_diversity(spark: SparkSession, root: str) -> DataFrame:
-    days = marts.generation_daily(gold_fuel(spark, root), fuel_dimension(spark, root))
+    layers = Stored(spark, root)
+    days = marts.generation_daily(gold.fuel_hourly(layers.silver_fuel), layers.dim_fuel)
     return present(days.select("date", "respondent", "fuel_diversity_index"))
 
 
 @query
 def carbon_intensity(spark: SparkSession, root: str) -> DataFrame:
-    days = marts.generation_daily(gold_fuel(spark, root), fuel_dimension(spark, root))
+    layers = Stored(spark, root)
+    days = marts.generation_daily(gold.fuel_hourly(layers.silver_fuel), layers.dim_fuel)
     return present(
         days.select("date", "respondent", "emissions_kg", "carbon_intensity_kg_per_mwh")
     )
@@ -565,7 +596,8 @@ def carbon_intensity(spark: SparkSession, root: str) -> DataFrame:
 @query
 def peak_hour_gas(spark: SparkSession, root: str) -> DataFrame:
     demand = marts.demand_daily(gold_region(spark, root))
-    return present(marts.peak_hour_gas(demand, gold_fuel(spark, root)))
+    days = marts.with_peak_hour_gas(demand, gold_fuel(spark, root))
+    return present(days.select("date", "respondent", "peak_period", "peak_hour_gas_share_pct"))
 
 
 @query
@@ -626,12 +658,12 @@ def status_rollup(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def table_counts(spark: SparkSession, root: str) -> DataFrame:
-    region = tables.materialized(gold_region(spark, root), "gold-region")
+    layers = Stored(spark, root)
     return serving.table_counts(
         {
-            "platinum.region_demand_daily": marts.region_daily(region),
-            "platinum.grid_operations_hourly": status(spark, root),
-            "platinum.resource_planning_daily": planning(spark, root),
+            "platinum.region_demand_daily": marts.region_daily(layers.gold_region),
+            "platinum.grid_operations_hourly": layers.status,
+            "platinum.resource_planning_daily": layers.planning,
             "platinum.electric_power_operations_monthly": marts.power_mart(
                 gold_power(spark, root)
             ),

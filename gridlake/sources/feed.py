@@ -159,7 +159,7 @@ def power_row() -> Column:
             "ash-content": _money(F.col("l_tax") * 100),
             "ash-content-units": F.lit("percent"),
             "consumption-for-eg": F.when(_every(59, "l_orderkey"), "n/a").otherwise(
-                _money(F.col("l_extendedprice") / 1000)
+                _money(F.col("l_extendedprice"))
             ),
             "consumption-for-eg-units": F.lit("Thousand Short Tons"),
             "generation": _money(generation),
