@@ -6,6 +6,24 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "binary": T.BinaryType(),
+}
+
+
+def table(columns: str) -> T.StructType:
+    """A schema from ``name type, ...``; unlike DDL parsing it needs no session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # --- fixed values -----------------------------------------------------------
 # Codes, factors, thresholds, labels and message texts that results must carry.
 
@@ -73,7 +91,7 @@ ENVELOPE = T.StructType(
     + [T.StructField(n, STRING_MAP) for n in ("metadata", "payload")]
 )
 
-MESSAGE = T.StructType.fromDDL(
+MESSAGE = table(
     "value binary, topic string, partition int, offset bigint, timestamp timestamp"
 )
 
@@ -87,7 +105,7 @@ BRONZE_PARTITIONS = (
 
 BRONZE = T.StructType(
     ENVELOPE.fields
-    + T.StructType.fromDDL(
+    + table(
         "raw_json string, kafka_topic string, kafka_partition int, kafka_offset bigint,"
         " kafka_timestamp timestamp, event_ts timestamp, ingestion_ts timestamp,"
         " bronze_loaded_at timestamp, event_date date, dataset_partition string,"
@@ -259,39 +277,39 @@ SPECS = {spec.dataset: spec for spec in (REGION_SPEC, FUEL_SPEC, POWER_SPEC)}
 
 # --- gold -------------------------------------------------------------------
 
-GOLD_REGION = T.StructType.fromDDL(
+GOLD_REGION = table(
     "period timestamp, event_date date, respondent string, respondent_name string,"
     " value_units string, actual_demand_mwh double, day_ahead_forecast_mwh double,"
     " forecast_error_mwh double, forecast_error_pct double, loaded_at timestamp"
 )
-GOLD_FUEL = T.StructType.fromDDL(
+GOLD_FUEL = table(
     "period timestamp, event_date date, respondent string, respondent_name string,"
     " fueltype string, fueltype_name string, value_units string, generation_mwh double,"
     " loaded_at timestamp"
 )
-GOLD_POWER = T.StructType.fromDDL(
+GOLD_POWER = table(
     "period timestamp, event_date date, location string, location_name string,"
     " sector_id string, sector_name string, fueltype_id string, fueltype_name string,"
     " ash_content_pct double, consumption_for_eg_thousand_units double,"
     " generation_mwh double, heat_content_btu_per_unit double, loaded_at timestamp"
 )
-DIM_RESPONDENT = T.StructType.fromDDL(
+DIM_RESPONDENT = table(
     "respondent string, respondent_name string, first_seen_date date,"
     " last_seen_date date, source_dataset_count bigint, updated_at timestamp"
 )
-DIM_FUEL = T.StructType.fromDDL(
+DIM_FUEL = table(
     "fueltype string, fueltype_name string, fuel_category string,"
     " emissions_factor_kg_per_mwh double, updated_at timestamp"
 )
 
 # --- platinum ---------------------------------------------------------------
 
-REGION_DAILY = T.StructType.fromDDL(
+REGION_DAILY = table(
     "date date, respondent string, daily_demand_mwh double, avg_hourly_demand_mwh double,"
     " peak_hourly_demand_mwh double, loaded_at timestamp, source_window_start timestamp,"
     " source_window_end timestamp, updated_at timestamp"
 )
-GRID_STATUS = T.StructType.fromDDL(
+GRID_STATUS = table(
     "period timestamp, respondent string, respondent_name string, actual_demand_mwh double,"
     " day_ahead_forecast_mwh double, forecast_error_mwh double, forecast_error_pct double,"
     " forecast_error_zscore double, demand_ramp_mwh double, demand_ramp_zscore double,"
@@ -300,12 +318,12 @@ GRID_STATUS = T.StructType.fromDDL(
     " fossil_share_pct double, gas_share_pct double, generation_gap_mwh double,"
     " coverage_ratio double, alert_count int, updated_at timestamp"
 )
-GRID_ALERTS = T.StructType.fromDDL(
+GRID_ALERTS = table(
     "period timestamp, respondent string, respondent_name string, alert_type string,"
     " severity string, metric_value double, threshold_value double, message string,"
     " updated_at timestamp"
 )
-PLANNING_DAILY = T.StructType.fromDDL(
+PLANNING_DAILY = table(
     "date date, respondent string, respondent_name string, daily_demand_mwh double,"
     " peak_hourly_demand_mwh double, avg_abs_forecast_error_pct double,"
     " renewable_share_pct double, fossil_share_pct double, gas_share_pct double,"
@@ -313,7 +331,7 @@ PLANNING_DAILY = T.StructType.fromDDL(
     " peak_hour_gas_share_pct double, clean_coverage_ratio double, weekend_flag boolean,"
     " updated_at timestamp"
 )
-POWER_MONTHLY = T.StructType.fromDDL(
+POWER_MONTHLY = table(
     "period timestamp, location string, location_name string, sector_id string,"
     " sector_name string, fueltype_id string, fueltype_name string, generation_mwh double,"
     " generation_share_pct double, consumption_for_eg_thousand_units double,"
@@ -321,12 +339,12 @@ POWER_MONTHLY = T.StructType.fromDDL(
     " fuel_heat_input_mmbtu double, heat_rate_btu_per_kwh double, loaded_at timestamp,"
     " source_window_start timestamp, source_window_end timestamp, updated_at timestamp"
 )
-HOURLY_COVERAGE = T.StructType.fromDDL(
+HOURLY_COVERAGE = table(
     "dataset_id string, hour_start_utc timestamp, observed_row_count bigint,"
     " expected_row_count int, row_count_delta bigint, status string,"
     " oldest_hour_utc timestamp, newest_hour_utc timestamp,"
     " verification_boundary_hour_utc timestamp, verified_at timestamp"
 )
-GRAIN_KEYS = T.StructType.fromDDL(
+GRAIN_KEYS = table(
     "grain_key string, period_start_utc timestamp, respondent string, dimension_value string"
 )
