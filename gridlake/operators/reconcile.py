@@ -73,12 +73,18 @@ def mart_keys(mart: DataFrame, name: str) -> DataFrame:
 def expected_keys(raw: DataFrame, spec: DatasetSpec, target: str) -> DataFrame:
     """Keys that ``target`` (a layer or a mart) should hold, derived from the raw feed.
 
-    ``raw`` has the columns of a Bronze batch. Bronze expects every row, Silver one
-    per complete event, Gold one per business key, marts one per row of their grain.
+    ``raw`` has the columns of a Bronze batch. Bronze expects every row with its text as
+    fetched, Silver one trimmed row per complete event, Gold one per business key,
+    marts one per row of their grain.
     """
-    rows = extract(raw, spec)
     if target == "bronze":
-        return keys_of(rows, "period", spec.entity, spec.dimension)
+        source = {f.column: f.key for f in spec.fields}
+        rows = raw.filter(F.col("dataset") == spec.dataset).select(
+            parse_ts(F.col("payload")["period"]).alias("period"),
+            *[F.col("payload")[source[c]].alias(c) for c in (spec.entity, *spec.dimension)],
+        )
+        return keys_of(rows.dropna(), "period", spec.entity, spec.dimension)
+    rows = extract(raw, spec)
     complete = rows.dropna(subset=list(spec.expected))
     if target == "silver":
         events = first_by_key(complete, ["event_id"], [F.col("loaded_at"), F.col("period")])

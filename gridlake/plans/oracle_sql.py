@@ -1113,7 +1113,8 @@ union all select 'gold fuel', {FUEL_KEY} from gold_fuel"""
     power_gold = f"""select {power_key} from (
   select distinct {power_keys} from extract_power where sector_name is not null)"""
     q["expected_keys"] = f"""
-select 'bronze' as stage, {region_key} from extract_region where period is not null
+select 'bronze' as stage, {grain('period', 'respondent_text', 'type')}
+from ev where period is not null
 union all select 'silver' as stage, * from ({region_silver})
 union all select 'gold' as stage, * from ({region_gold})
 union all select '{daily_mart}' as stage, * from ({region_daily_keys})
