@@ -29,8 +29,7 @@ def normalize_period(text: Column) -> Column:
 
 def to_number(value: Column) -> Column:
     """Text to double; bad text and NaN become null, so comparisons stay false."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def clean_text(value: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.columns import now_or, parse_ts
+from gridlake.functions.frames import evaluated_once
 from gridlake.operators.rank import first_by_key
 from gridlake.schemas import BRONZE, BRONZE_PARTITIONS, ENVELOPE
 
@@ -20,8 +21,11 @@ def decode(messages: DataFrame, loaded_at: datetime | Column | None = None) -> D
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("bigint").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
-    ).withColumn("event", F.from_json("raw_json", ENVELOPE))
-    timed = opened.select("*", "event.*").withColumns(
+    )
+    events = evaluated_once(
+        opened, F.from_json("raw_json", ENVELOPE).alias("event"), keep=tuple(opened.columns)
+    )
+    timed = events.select("*", "event.*").withColumns(
         {
             "event_ts": parse_ts(F.col("event_timestamp")),
             "ingestion_ts": parse_ts(F.col("ingestion_timestamp")),

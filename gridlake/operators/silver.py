@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.columns import clean_text, clean_unit, now_or, parse_ts, to_number
+from gridlake.functions.frames import evaluated_once
 from gridlake.operators.quality import Allowed, Consistent, NotNull, QualityError, Rule, Unique
 from gridlake.operators.rank import latest_by_key
 from gridlake.schemas import FUEL_SPEC, MIN_RETENTION, POWER_SPEC, REGION_SPEC, DatasetSpec
@@ -20,8 +21,9 @@ def extract(
 ) -> DataFrame:
     """Every row of the dataset with its payload typed, before anything is dropped."""
     payload = F.col("payload")
-    return bronze.filter(F.col("dataset") == spec.dataset).select(
-        "event_id",
+    return evaluated_once(
+        bronze.filter(F.col("dataset") == spec.dataset),
+        F.col("event_id"),
         parse_ts(payload["period"]).alias("period"),
         *[_CONVERT[f.kind](payload[f.key]).alias(f.column) for f in spec.fields],
         F.coalesce("ingestion_ts", now_or(as_of)).alias("loaded_at"),

@@ -284,22 +284,22 @@ def write_plan(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def hourly_counts(spark: SparkSession, root: str) -> DataFrame:
-    return coverage.hourly_counts(feed.bronze_region(spark, root))
+    return coverage.hourly_counts(feed.event_hours(spark, root))
 
 
 @query
 def modal_count(spark: SparkSession, root: str) -> DataFrame:
-    return coverage.modal_count(coverage.hourly_counts(feed.bronze_region(spark, root)))
+    return coverage.modal_count(coverage.hourly_counts(feed.event_hours(spark, root)))
 
 
 @query
 def hour_spine(spark: SparkSession, root: str) -> DataFrame:
-    counts = coverage.hourly_counts(feed.bronze_region(spark, root))
+    counts = coverage.hourly_counts(feed.event_hours(spark, root))
     return coverage.hour_spine(coverage.count_profile(counts, BOUNDARY))
 
 
 def region_coverage(spark: SparkSession, root: str) -> DataFrame:
-    return coverage.hourly_coverage(feed.bronze_region(spark, root), REGION, BOUNDARY, AS_OF)
+    return coverage.hourly_coverage(feed.event_hours(spark, root), REGION, BOUNDARY, AS_OF)
 
 
 @query

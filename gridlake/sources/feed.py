@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.functions.frames import evaluated_once
 from gridlake.operators.envelope import build_envelopes, envelope, envelope_json
 from gridlake.schemas import FUEL, FUEL_SPEC, POWER, REGION, REGION_SPEC, DatasetSpec
 
@@ -179,17 +180,6 @@ def power_loaded() -> Column:
     return F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(hours=F.col("l_linenumber"))
 
 
-def _batch(rows: DataFrame, dataset: str, event_id: Column, row: Column, loaded: Column):
-    return rows.select(
-        event_id.alias("event_id"),
-        F.lit(dataset).alias("dataset"),
-        F.lit(dataset).alias("dataset_partition"),
-        row.alias("payload"),
-        loaded.alias("ingestion_ts"),
-        *[c for c in ("event_ts", "kafka_partition", "kafka_offset") if c in rows.columns],
-    )
-
-
 def _placed(rows: DataFrame) -> DataFrame:
     """Events with a place in the topic and the hour they are about."""
     return rows.withColumns(
@@ -201,15 +191,26 @@ def _placed(rows: DataFrame) -> DataFrame:
     )
 
 
+def _batch(rows: DataFrame, dataset: str, event_id: Column, row: Column, loaded: Column):
+    """The columns of Bronze that cleaning reads. The payload is built once per row."""
+    return evaluated_once(
+        rows,
+        event_id.alias("event_id"),
+        F.lit(dataset).alias("dataset"),
+        row.alias("payload"),
+        loaded.alias("ingestion_ts"),
+    )
+
+
 def bronze_region(spark: SparkSession, root: str, faulty: bool = False) -> DataFrame:
     """Region events with the Bronze columns that cleaning reads."""
-    rows = _placed(events(spark, root))
+    rows = events(spark, root)
     event_id = F.col("event_id").cast("string")
     return _batch(rows, REGION, event_id, region_row(faulty), F.col("ingestion_ts"))
 
 
 def bronze_fuel(spark: SparkSession, root: str) -> DataFrame:
-    rows = _placed(events(spark, root))
+    rows = events(spark, root)
     event_id = F.col("event_id").cast("string")
     return _batch(rows, FUEL, event_id, fuel_row(), F.col("ingestion_ts"))
 
@@ -218,22 +219,15 @@ def bronze_power(spark: SparkSession, root: str) -> DataFrame:
     return _batch(load(spark, root, "lineitem"), POWER, power_id(), power_row(), power_loaded())
 
 
-def with_partitions(batch: DataFrame) -> DataFrame:
-    """A batch with the hour partition columns of Bronze."""
-    at = F.col("event_ts")
-    return batch.withColumns(
-        {
-            "event_year": F.year(at),
-            "event_month": F.month(at),
-            "event_day": F.dayofmonth(at),
-            "event_hour": F.hour(at),
-        }
-    )
+def event_hours(spark: SparkSession, root: str) -> DataFrame:
+    """The hour every event is about, all that coverage reads of Bronze."""
+    return _placed(events(spark, root)).select("event_ts")
 
 
 def _hourly_rows(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     row = {REGION: region_row, FUEL: fuel_row}[spec.dataset]()
-    return _placed(events(spark, root)).withColumn("row", row)
+    placed = _placed(events(spark, root))
+    return evaluated_once(placed, row.alias("row"), keep=tuple(placed.columns))
 
 
 def envelopes(spark: SparkSession, root: str, spec: DatasetSpec = REGION_SPEC) -> DataFrame:
@@ -246,7 +240,8 @@ def messages(spark: SparkSession, root: str, spec: DatasetSpec = REGION_SPEC) ->
     """Topic messages of an hourly feed; some of them are not JSON."""
     built = envelope(spec, F.col("row"), RUN_ID, *WINDOW, ingested_at=F.col("ingestion_ts"))
     text = F.when(_every(43), "{broken").otherwise(envelope_json(built))
-    return _hourly_rows(spark, root, spec).select(
+    return evaluated_once(
+        _hourly_rows(spark, root, spec),
         text.cast("binary").alias("value"),
         F.lit(f"feed_{spec.table}").alias("topic"),
         F.col("kafka_partition").alias("partition"),
