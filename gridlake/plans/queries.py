@@ -366,8 +366,9 @@ def retention_ratio(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def quality_report(spark: SparkSession, root: str) -> DataFrame:
-    faulty = feed.bronze_region(spark, root, faulty=True)
-    power = feed.bronze_power(spark, root)
+    faulty = tables.materialized(feed.bronze_region(spark, root, faulty=True), "bronze-region")
+    region = tables.materialized(silver.clean(faulty, REGION_SPEC), "silver-region")
+    power = tables.materialized(silver_power(spark, root), "silver-power")
     return quality.union_reports(
         [
             (
@@ -384,14 +385,12 @@ def quality_report(spark: SparkSession, root: str) -> DataFrame:
             ),
             (
                 "region",
-                quality.report(
-                    silver.clean(faulty, REGION_SPEC), silver.clean_rules(REGION_SPEC)
-                ),
+                quality.report(region, silver.clean_rules(REGION_SPEC)),
             ),
             (
                 "power",
                 quality.report(
-                    silver.clean(power, POWER_SPEC),
+                    power,
                     [
                         *silver.clean_rules(POWER_SPEC),
                         quality.NonNegative(("generation_thousand_mwh", "ash_content_pct")),
@@ -445,16 +444,23 @@ def mart_checks(spark: SparkSession, root: str) -> DataFrame:
     start, end = datetime(2024, 1, 1), AS_OF
     layers = Stored(spark, root)
     daily = marts.region_daily(layers.gold_region, start, end, AS_OF)
-    power = marts.power_mart(gold_power(spark, root), start, end, AS_OF)
+    facts = tables.materialized(gold_power(spark, root), "gold-power")
+    power = tables.materialized(marts.power_mart(facts, start, end, AS_OF), "power-mart")
     return quality.union_reports(
         [
             (
                 "grid_operations_hourly",
-                quality.report(layers.status, marts.grid_published_rules(AS_OF)),
+                quality.report(
+                    tables.materialized(layers.status, "grid-status"),
+                    marts.grid_published_rules(AS_OF),
+                ),
             ),
             (
                 "resource_planning_daily",
-                quality.report(layers.planning, marts.planning_published_rules(AS_OF)),
+                quality.report(
+                    tables.materialized(layers.planning, "planning"),
+                    marts.planning_published_rules(AS_OF),
+                ),
             ),
             (
                 "region_demand_daily",
@@ -602,7 +608,8 @@ def peak_hour_gas(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def power_mart(spark: SparkSession, root: str) -> DataFrame:
-    return present(marts.power_mart(gold_power(spark, root), *WINDOW, AS_OF))
+    facts = tables.materialized(gold_power(spark, root), "gold-power")
+    return present(marts.power_mart(facts, *WINDOW, AS_OF))
 
 
 @query
