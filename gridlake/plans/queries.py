@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ from gridlake.schemas import (
     REGION_DAILY,
     REGION_SPEC,
 )
-from gridlake.session import scratch_path
+from gridlake.session import scratch_path, use_utc
 from gridlake.sources import feed, tables
 from gridlake.streaming import ingest
 
@@ -59,8 +59,13 @@ CLOCKS = ("updated_at", "verified_at", "last_verified_at", "bronze_loaded_at")
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def in_utc(spark: SparkSession, root: str) -> DataFrame:
+        use_utc(spark)
+        return function(spark, root)
+
+    QUERIES[function.__name__] = in_utc
+    return in_utc
 
 
 def present(df: DataFrame) -> DataFrame:

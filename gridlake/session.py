@@ -37,6 +37,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+def use_utc(spark: SparkSession) -> None:
+    """Put the session in UTC: dates, hours and text forms of instants depend on it."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

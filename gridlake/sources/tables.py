@@ -30,6 +30,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def _old(path: str) -> str:
+    """Where ``replace_table`` keeps the old version while it puts the new one in place."""
+    return f"{path.rstrip('/')}.old"
+
+
 def has_rows(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     """Whether the table exists and holds at least one row."""
     return not read_table(spark, path, schema).isEmpty()
@@ -42,11 +47,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     """A layer table; empty but typed where the path does not exist.
 
     The explicit schema saves the job that infers one, gives old files without a
-    newer column nulls in it, and keeps partition columns typed.
+    newer column nulls in it, and keeps partition columns typed. Where replacing the
+    table was interrupted, its old version is read.
     """
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    for place in (path, _old(path)):
+        if exists(spark, place):
+            return spark.read.schema(schema).parquet(place).select(*schema.names)
+    return spark.createDataFrame([], schema)
 
 
 def read_window(
@@ -185,15 +192,15 @@ def replace_table(df: DataFrame, path: str) -> None:
     so a failure leaves one of the two readable. No rows, no change.
     """
     spark = df.sparkSession
-    fresh, old = f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
+    fresh = f"{path.rstrip('/')}.new"
     df.write.mode("overwrite").parquet(fresh)
     if spark.read.schema(df.schema).parquet(fresh).isEmpty():
         return
     fs, target = _hadoop(spark, path)
     _, fresh_path = _hadoop(spark, fresh)
-    _, old_path = _hadoop(spark, old)
-    fs.delete(old_path, True)
+    _, old_path = _hadoop(spark, _old(path))
     if fs.exists(target):
+        fs.delete(old_path, True)
         fs.rename(target, old_path)
     fs.mkdirs(target.getParent())
     if not fs.rename(fresh_path, target):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridlake.operators.bronze import (
     decode,
@@ -66,8 +67,12 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
         fresh = replay_safe_batch(events, existing_ids(spark, events, bronze_path))
         append_partitioned(fresh, bronze_path)
         refused = rejected(messages)
-        known = read_table(spark, quarantine_path, refused.schema)
         place = ["kafka_topic", "kafka_partition", "kafka_offset"]
+        # a replayed message keeps its time, so older rows of the quarantine are skipped
+        oldest = refused.agg(F.min("kafka_timestamp")).scalar()
+        known = read_table(spark, quarantine_path, refused.schema).filter(
+            F.col("kafka_timestamp") >= oldest
+        )
         new = refused.join(known.select(*place), place, "left_anti")
         new.write.mode("append").parquet(quarantine_path)
     finally:

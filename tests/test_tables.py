@@ -156,6 +156,16 @@ def test_dimension_is_rebuilt_from_itself(spark, tmp_path):
     assert not tables.exists(spark, f"{path}.old")
 
 
+def test_an_interrupted_swap_leaves_the_old_table_readable(spark, tmp_path):
+    path, schema = f"{tmp_path}/dim", table("id bigint")
+    tables.write_dimension(spark.range(3), path)
+    (tmp_path / "dim").rename(tmp_path / "dim.old")
+    assert tables.read_table(spark, path, schema).count() == 3
+    tables.write_dimension(tables.read_table(spark, path, schema).union(spark.range(1)), path)
+    assert tables.read_table(spark, path, schema).count() == 4
+    assert not tables.exists(spark, f"{path}.old")
+
+
 def test_merged_schema(spark, tmp_path):
     path = f"{tmp_path}/t"
     spark.range(1).write.parquet(f"{path}/p=1")
