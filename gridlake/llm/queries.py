@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.llm.decontamination import contamination
+from gridlake.llm.licenses import scan_licenses
 from gridlake.llm.rules import quality_rules
+from gridlake.llm.secrets import find_secrets, report
 from gridlake.llm.simhash import near_duplicates
 
 
@@ -27,9 +29,19 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents")).drop("matches")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(find_secrets(_table(spark, sf_dir, "documents")))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op3_simhash": op3_simhash,
         "op8_decontamination": op8_decontamination,
+        "op9_licenses": op9_licenses,
+        "op10_secrets": op10_secrets,
     }
