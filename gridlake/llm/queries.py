@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.llm.decontamination import contamination
 from gridlake.llm.licenses import scan_licenses
+from gridlake.llm.quality_model import score_quality
 from gridlake.llm.rules import quality_rules
 from gridlake.llm.secrets import find_secrets, report
 from gridlake.llm.simhash import near_duplicates
@@ -21,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_quality_classifier": op2_quality_classifier,
         "op3_simhash": op3_simhash,
         "op8_decontamination": op8_decontamination,
         "op9_licenses": op9_licenses,
