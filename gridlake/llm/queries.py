@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.llm.decontamination import contamination
+from gridlake.llm.language import identify
 from gridlake.llm.licenses import scan_licenses
 from gridlake.llm.quality_model import score_quality
 from gridlake.llm.rules import quality_rules
@@ -30,6 +31,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +52,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_simhash": op3_simhash,
+        "op5_language": op5_language,
         "op8_decontamination": op8_decontamination,
         "op9_licenses": op9_licenses,
         "op10_secrets": op10_secrets,
