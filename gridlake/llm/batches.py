@@ -11,25 +11,28 @@ from pyspark.sql import DataFrame
 TEXT_ROWS = 500
 
 
-def map_batches(
+def map_partitions(
     df: DataFrame,
-    function: Callable[[pa.RecordBatch], pa.RecordBatch],
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str,
     rows: int = TEXT_ROWS,
 ) -> DataFrame:
-    """``function`` over batches of at most ``rows`` rows.
+    """``function`` over the batches of each partition, at most ``rows`` rows each.
 
     The session's batch size is set, since Spark reads it when the plan runs.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df.mapInArrow(lambda batches: function(b for b in batches if b.num_rows), schema)
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
 
-    return df.mapInArrow(each, schema)
+def map_batches(
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str,
+    rows: int = TEXT_ROWS,
+) -> DataFrame:
+    """``function`` over batches of at most ``rows`` rows."""
+    return map_partitions(df, lambda batches: map(function, batches), schema, rows)
 
 
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:

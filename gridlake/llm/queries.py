@@ -14,6 +14,8 @@ from gridlake.llm.rules import quality_rules
 from gridlake.llm.secrets import find_secrets, report
 from gridlake.llm.simhash import near_duplicates
 
+from gridlake.llm.warc import archive_pages
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,6 +37,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages"))[1]
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +59,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_classifier": op2_quality_classifier,
         "op3_simhash": op3_simhash,
         "op5_language": op5_language,
+        "op6_warc": op6_warc,
         "op8_decontamination": op8_decontamination,
         "op9_licenses": op9_licenses,
         "op10_secrets": op10_secrets,
