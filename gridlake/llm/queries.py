@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.llm.decontamination import contamination
+from gridlake.llm.extraction import extract_text
 from gridlake.llm.language import identify
 from gridlake.llm.licenses import scan_licenses
 from gridlake.llm.quality_model import score_quality
@@ -41,6 +42,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(_table(spark, sf_dir, "pages"))[1]
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +65,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": op3_simhash,
         "op5_language": op5_language,
         "op6_warc": op6_warc,
+        "op7_html": op7_html,
         "op8_decontamination": op8_decontamination,
         "op9_licenses": op9_licenses,
         "op10_secrets": op10_secrets,
