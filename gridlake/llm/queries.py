@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridlake.llm.decontamination import contamination
 from gridlake.llm.extraction import extract_text
 from gridlake.llm.language import identify
 from gridlake.llm.licenses import scan_licenses
+from gridlake.llm.pieces import load_vocabulary, sample_segmentations
 from gridlake.llm.quality_model import score_quality
 from gridlake.llm.rules import quality_rules
 from gridlake.llm.secrets import find_secrets, report
@@ -34,6 +36,24 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def segmentation_digests(documents: DataFrame) -> DataFrame:
+    """The sampled segmentations with their number of pieces and a hash of the ids."""
+    return sample_segmentations(documents, load_vocabulary()).select(
+        "doc_id",
+        "sample",
+        F.size("ids").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "log_prob",
+        "perturbed",
+        "log_inclusion",
+        "decoded",
+    )
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation_digests(_table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +83,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_simhash": op3_simhash,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_language": op5_language,
         "op6_warc": op6_warc,
         "op7_html": op7_html,
