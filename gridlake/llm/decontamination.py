@@ -144,8 +144,9 @@ def contamination(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM,
     doc_id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """One row per row of ``documents``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """One row per row of ``documents``.
 
+    doc_id, body (a hash of the text), n_words, n_hit, n_items, items_sha256, contaminated.
     ``n_hit`` counts words inside an occurrence of a window; ``contaminated`` asks for a
     hit in at least one word of twenty. Null or empty texts have no words and no hits;
     equal rows get equal results, one each; an empty benchmark contaminates nothing;
@@ -210,15 +211,32 @@ def contamination(
         )
     )
     hit = F.coalesce("hit", F.lit(0).cast("long"))
-    return narrow.join(
+    judged = narrow.join(
         found,
         narrow["doc_id"].eqNullSafe(found["hit_id"]) & (narrow["body"] == found["hit_body"]),
         "left",
-    ).select(
+    )
+    return judged.select(
         "doc_id",
+        "body",
         "n_words",
         hit.alias("n_hit"),
         F.coalesce("items", F.lit(0).cast("long")).alias("n_items"),
         F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def uncontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that are not contaminated, with all their columns."""
+    found = materialized(
+        contamination(documents, benchmark)
+        .filter("contaminated")
+        .select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"))
+        .distinct(),
+        "contaminated",
+    )
+    same = documents["doc_id"].eqNullSafe(F.col("_id")) & (
+        F.xxhash64(documents["text"]) == F.col("_body")
+    )
+    return documents.join(found, same, "left_anti")

@@ -33,7 +33,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents")).drop("body")
 
 
 def segmentation_digests(documents: DataFrame) -> DataFrame:
@@ -67,7 +67,8 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return contamination(documents, benchmark).drop("body")
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

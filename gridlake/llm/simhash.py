@@ -58,14 +58,19 @@ def fingerprint(text: bytes) -> int:
 def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
     marks = [fingerprint(text) for text in utf8(batch, "text")]
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), pa.array(marks, pa.int64())], ["doc_id", "mark"]
+        [batch.column("doc_id"), batch.column("body"), pa.array(marks, pa.int64())],
+        ["doc_id", "body", "mark"],
     )
 
 
 def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, mark) of each row."""
-    narrow = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return map_batches(narrow, _fingerprints, "doc_id long, mark long")
+    """(doc_id, body, mark) of each row; ``body`` is a hash of the text."""
+    narrow = documents.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.xxhash64(F.col(text)).alias("body"),
+        F.col(text).alias("text"),
+    )
+    return map_batches(narrow, _fingerprints, "doc_id long, body long, mark long")
 
 
 def _segment(mark: Column, first: int, bits: int) -> Column:
@@ -113,10 +118,11 @@ def links(marks: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``documents``: doc_id, fingerprint, component_id, n_links.
+    """One row per row of ``documents``: doc_id, body, fingerprint, component_id, n_links, root.
 
     ``component_id`` is the least id reachable over links of at most DISTANCE bits,
-    ``n_links`` the number of other fingerprints linked to the row's own. Null, empty and
+    ``n_links`` the number of other fingerprints linked to the row's own, ``root`` the least
+    fingerprint of the group and ``body`` a hash of the row's text. Null, empty and
     blank texts have fingerprint zero, which links like any other. Repeated rows get
     equal results. A null id is never the least; a group of only null ids has a null id.
     """
@@ -139,7 +145,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     named = (
         linked.join(least, "root")
         .join(degrees.withColumnRenamed("node", "mark"), "mark")
-        .select("mark", "component", "degree")
+        .select("mark", "component", "degree", "root")
     )
     return (
         marked.join(
@@ -147,13 +153,40 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
                 "mark",
                 F.coalesce("component", "least").alias("component_id"),
                 F.coalesce("degree", F.lit(0)).alias("n_links"),
+                F.coalesce("root", "mark").alias("root"),
             ),
             "mark",
         )
         .select(
             "doc_id",
+            "body",
             F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"),
             "component_id",
             "n_links",
+            "root",
         )
     )
+
+
+def one_per_group(documents: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that stay: one of each group, the one with its least id.
+
+    Among rows with a group's least id, or in a group without ids, any one of equal rows is
+    kept; if their texts differ, that with the least text hash.
+    """
+    groups = materialized(near_duplicates(documents), "groups")
+    least = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = materialized(
+        least.groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("row"), F.count("*").alias("n")),
+        "stay",
+    )
+    kept = stay.select(
+        F.col("row.doc_id").alias("_id"), F.col("row.body").alias("_body"), F.col("root").alias("_root")
+    )
+    chosen = documents.join(
+        kept,
+        documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_body")),
+    )
+    if not stay.filter("n > 1").isEmpty():  # repeated rows: one of them
+        chosen = chosen.dropDuplicates(["_root"])
+    return chosen.select(*documents.columns)
