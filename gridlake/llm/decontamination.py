@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.frames import evaluated_once
+from gridlake.llm.names import unused
 from gridlake.llm.words import alnum_words, hashes, windowed
 from gridlake.sources.tables import materialized
 
@@ -229,14 +230,15 @@ def contamination(
 
 def uncontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that are not contaminated, with all their columns."""
+    row_id, body = unused(documents, "row_id", "body")
     found = materialized(
         contamination(documents, benchmark)
         .filter("contaminated")
-        .select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"))
+        .select(F.col("doc_id").alias(row_id), F.col("body").alias(body))
         .distinct(),
         "contaminated",
     )
-    same = documents["doc_id"].eqNullSafe(F.col("_id")) & (
-        F.xxhash64(documents["text"]) == F.col("_body")
+    same = documents["doc_id"].eqNullSafe(F.col(row_id)) & (
+        F.xxhash64(documents["text"]) == F.col(body)
     )
     return documents.join(found, same, "left_anti")

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm.batches import map_batches, utf8
+from gridlake.llm.names import unused
 from gridlake.sources.tables import materialized
 
 #: The base patterns, and the least length of what they must catch.
@@ -317,34 +318,42 @@ def redact(documents: DataFrame, q: float = Q, mark: str = "[SECRET]") -> DataFr
     All columns and rows stay. Overlapping spans are replaced as one. Spans come
     from the row's own text, so repeated ids get their own spans.
     """
-    narrow = find_secrets(documents, q).filter(F.size("found") > 0).dropDuplicates(["doc_id", "body"])
-    side = narrow.select(
-        F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.array_sort("found").alias("_spans")
+    row_id, body, spans = unused(documents, "row_id", "body", "spans")
+    found = (
+        find_secrets(documents, q)
+        .filter(F.size("found") > 0)
+        .dropDuplicates(["doc_id", "body"])
+        .select(
+            F.col("doc_id").alias(row_id),
+            F.col("body").alias(body),
+            F.array_sort("found").alias(spans),
+        )
     )
     joined = documents.join(
-        side,
-        documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_body")),
+        found,
+        documents["doc_id"].eqNullSafe(F.col(row_id))
+        & (F.xxhash64(documents["text"]) == F.col(body)),
         "left",
     )
-    whole = F.col("text")
+    whole, has = F.col("text"), F.col(spans).isNotNull()
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    cut = F.aggregate(
-        "_spans",
-        zero,
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                F.concat(acc["out"], F.substring(whole, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out"),
-                s["end"].alias("at"),
-            ),
-        ).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))),
-        lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.length(whole))),
+
+    def part(start: Column, end: Column) -> Column:
+        return F.substring(whole, start + 1, end - start)
+
+    def cut(acc: Column, span: Column) -> Column:
+        """The text up to the span's end; a span that overlaps the last one adds no mark."""
+        before = F.concat(acc["out"], part(acc["at"], span["start"]), F.lit(mark))
+        return F.struct(
+            F.when(span["start"] >= acc["at"], before).otherwise(acc["out"]).alias("out"),
+            F.greatest(acc["at"], span["end"]).alias("at"),
+        )
+
+    clean = F.aggregate(
+        spans, zero, cut, lambda acc: F.concat(acc["out"], part(acc["at"], F.length(whole)))
     )
-    clean = F.when(F.col("_spans").isNull(), whole).otherwise(cut)
-    changed = joined.withColumn("text", clean)
+    changed = joined.withColumn("text", F.when(has, clean).otherwise(whole))
     if "n_chars" in documents.columns:
-        changed = changed.withColumn(
-            "n_chars",
-            F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast("long"),
-        )
+        length = F.length("text").cast(dict(documents.dtypes)["n_chars"])
+        changed = changed.withColumn("n_chars", F.when(has, length).otherwise(F.col("n_chars")))
     return changed.select(*documents.columns)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from gridlake.llm.batches import map_batches, utf8
 from gridlake.llm.components import components
+from gridlake.llm.names import unused
 from gridlake.sources.tables import materialized
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
@@ -180,13 +181,15 @@ def one_per_group(documents: DataFrame) -> DataFrame:
         least.groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("row"), F.count("*").alias("n")),
         "stay",
     )
+    row_id, body, root = unused(documents, "row_id", "body", "root")
     kept = stay.select(
-        F.col("row.doc_id").alias("_id"), F.col("row.body").alias("_body"), F.col("root").alias("_root")
+        F.col("row.doc_id").alias(row_id), F.col("row.body").alias(body), F.col("root").alias(root)
     )
     chosen = documents.join(
         kept,
-        documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_body")),
+        documents["doc_id"].eqNullSafe(F.col(row_id))
+        & (F.xxhash64(documents["text"]) == F.col(body)),
     )
     if not stay.filter("n > 1").isEmpty():  # repeated rows: one of them
-        chosen = chosen.dropDuplicates(["_root"])
+        chosen = chosen.dropDuplicates([root])
     return chosen.select(*documents.columns)
