@@ -300,13 +300,14 @@ def find_secrets(documents: DataFrame, q: float = Q, doc_id: str = "doc_id", tex
 
 def report(found: DataFrame) -> DataFrame:
     """Counts and digests of ``find_secrets``."""
-    kinds = {"assign": 0, "access": 1, "hex": 2}
+
+    def count(name: str) -> Column:
+        own = F.filter("base", lambda s: s["kind"] == KINDS.index(name))
+        return F.size(own).cast("long").alias(f"n_{name}")
+
     return found.select(
         "doc_id",
-        *[
-            F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-            for name, k in kinds.items()
-        ],
+        *[count(name) for name in ("assign", "access", "hex")],
         F.sha2(_spans_text("base"), 256).alias("base_sha256"),
         _spans_text("found").alias("spans"),
     )
