@@ -8,9 +8,10 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry_points
+from gridlake.plans import oracle_sql, queries
 
 ROOT = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = queries.registered(), oracle_sql.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="no test tables")
 
@@ -26,6 +27,8 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
