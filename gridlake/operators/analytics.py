@@ -332,32 +332,34 @@ def score_range(scored: DataFrame) -> DataFrame:
 # --- rankings and figures -----------------------------------------------------
 
 
-def _top(df: DataFrame, ranking: str, column: str, order: Column, shown: Column) -> DataFrame:
+def _top(
+    df: DataFrame, ranking: str, column: str, order: Column, shown: Column, top: int
+) -> DataFrame:
     return (
         df.filter(F.col(column).isNotNull())
         .orderBy(order, "respondent")
-        .limit(TOP)
+        .limit(top)
         .select(F.lit(ranking).alias("ranking"), "respondent", shown.alias("value"))
     )
 
 
-def grid_rankings(snapshot: DataFrame) -> DataFrame:
-    """Ten largest forecast misses and ten lowest coverages."""
+def grid_rankings(snapshot: DataFrame, top: int = TOP) -> DataFrame:
+    """The ``top`` largest forecast misses and lowest coverages."""
     miss, cover = F.col("forecast_error_mwh"), F.col("coverage_ratio")
     return _top(
-        snapshot, "forecast_miss", "forecast_error_mwh", F.abs(miss).desc(), miss
-    ).unionByName(_top(snapshot, "lowest_coverage", "coverage_ratio", cover.asc(), cover))
+        snapshot, "forecast_miss", "forecast_error_mwh", F.abs(miss).desc(), miss, top
+    ).unionByName(_top(snapshot, "lowest_coverage", "coverage_ratio", cover.asc(), cover, top))
 
 
-def planning_rankings(snapshot: DataFrame) -> DataFrame:
-    """Ten highest carbon and peak gas, ten lowest renewable share and diversity."""
+def planning_rankings(snapshot: DataFrame, top: int = TOP) -> DataFrame:
+    """The ``top`` highest carbon and peak gas, lowest renewable share and diversity."""
     rankings = (
         ("highest_carbon", CARBON, F.col(CARBON).desc()),
         ("lowest_renewable", RENEWABLE, F.col(RENEWABLE).asc()),
         ("highest_peak_gas", GAS_PEAK, F.col(GAS_PEAK).desc()),
         ("lowest_diversity", DIVERSITY, F.col(DIVERSITY).asc()),
     )
-    parts = [_top(snapshot, name, c, order, F.col(c)) for name, c, order in rankings]
+    parts = [_top(snapshot, name, c, order, F.col(c), top) for name, c, order in rankings]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

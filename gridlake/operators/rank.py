@@ -51,14 +51,14 @@ def upsert(
 
     New rows carry ``insert_cols`` and nulls elsewhere; present rows take only
     ``update_cols`` from the stage. Both sides hold a key at most once, so one full
-    outer join on the key is enough and cannot be skewed.
+    outer join on the key is enough and cannot be skewed. A null in a key is a value.
     """
     insert_cols = list(insert_cols or stage.columns)
     if update_cols is None:
         update_cols = [c for c in insert_cols if c not in conflict_cols]
     t = target.withColumn("_t", F.lit(True)).alias("t")
     s = stage.select(*insert_cols).withColumn("_s", F.lit(True)).alias("s")
-    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in conflict_cols]
+    on = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in conflict_cols]
 
     def merged(name: str) -> Column:
         if name in conflict_cols:

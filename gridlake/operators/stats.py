@@ -7,23 +7,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A quantile looks at all values of a metric up to this many rows, and beyond it
-# only at those between two sketched values around the wanted rank.
-QUANTILE_WHOLE = 100_000
-QUANTILE_MARGIN = 1e-4
-QUANTILE_ACCURACY = 100_000
+from gridlake.sources.tables import materialized
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
     """``df`` plus one column per aggregate over its group.
 
     An unordered window over the group would bring all of its rows to one task. Here
-    the aggregate is combined before its shuffle and its one row per group joined
-    back: adaptive execution broadcasts that side when its measured size allows it,
-    and otherwise splits hot partitions of the big side.
+    the aggregate is combined before its shuffle and its one row per group stored and
+    joined back. The stored side has a measured size, so the join is planned as a
+    broadcast where that size allows it and the rows of ``df`` do not move; a larger
+    side is joined by shuffle, where adaptive execution splits hot partitions.
     """
     per_group = df.groupBy(*keys).agg(*[stat.alias(name) for name, stat in stats.items()])
-    return df.join(per_group, list(keys), "left")
+    return df.join(materialized(per_group, "group-stats"), list(keys), "left")
 
 
 def with_previous(
@@ -74,78 +71,68 @@ def unpivot_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
     ).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _ranked_counts(values: DataFrame) -> DataFrame:
+    """(metric, value, rows, part): rows per distinct value, in parts ordered by value.
+
+    Counting is combined before its shuffle, so a value that very many rows share is one
+    row. Ranges are sampled, so parts are of about the same size for any distribution.
+    """
+    counted = values.groupBy("metric", "value").agg(F.count("*").alias("rows"))
+    ranged = counted.repartitionByRange("metric", "value")
+    return materialized(ranged.withColumn("part", F.spark_partition_id()), "quantiles")
+
+
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
     """One row with an exact, linearly interpolated quantile per name.
 
     ``wanted`` maps a result name to (column, probability). Nulls and NaN do not
-    count; a column without values gives null. A sketch first finds values safely
-    below and above each wanted rank. Then rows are counted per distinct value
-    between them, rows below form one more count, and the running total of those
-    counts finds the two neighbours of the rank. All counting is combined before
-    the shuffle, and only distinct values near the rank meet in one task.
+    count; a column without values gives null. Distinct values with their counts are
+    range-partitioned. One total per part and their running total (as many rows as
+    parts) tell which part holds a rank, and only that part is looked into.
     """
     columns = sorted({column for column, _ in wanted.values()})
-    values = unpivot_values(df, columns)
-    near = sorted(
-        {
-            min(max(p + side * QUANTILE_MARGIN, 0.0), 1.0)
-            for _, p in wanted.values()
-            for side in (-1, 1)
-        }
+    ranked = _ranked_counts(unpivot_values(df, columns))
+    in_order = Window.partitionBy("metric").orderBy("part")
+    parts = (
+        ranked.groupBy("metric", "part")
+        .agg(F.sum("rows").alias("rows"))
+        .withColumn("upto", F.sum("rows").over(in_order))
+        .withColumn("n", F.sum("rows").over(Window.partitionBy("metric")))
     )
-    sketch = values.groupBy("metric").agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("value", near, QUANTILE_ACCURACY).alias("near"),
-    )
-
-    def bracket(column: str, p: float, name: str) -> Column:
-        def sketched(side: int) -> Column:
-            limit = float("-inf") if side < 0 else float("inf")
-            at = p + side * QUANTILE_MARGIN
-            if not 0.0 < at < 1.0:
-                return F.lit(limit)
-            inside = F.col("near")[near.index(at)]
-            return F.when(F.col("n") <= QUANTILE_WHOLE, F.lit(limit)).otherwise(inside)
-
-        return F.when(
-            F.col("metric") == column,
+    targets = F.array(
+        *[
             F.struct(
                 F.lit(name).alias("name"),
-                sketched(-1).alias("low"),
-                sketched(1).alias("high"),
+                F.lit(column).alias("column"),
                 (F.lit(p) * (F.col("n") - 1)).alias("rank"),
-            ),
-        )
-
-    brackets = F.array(*[bracket(c, p, name) for name, (c, p) in wanted.items()])
-    targets = sketch.select(
-        F.col("metric").alias("_metric"),
-        F.explode(F.filter(brackets, lambda b: b.isNotNull())).alias("b"),
-    ).select("_metric", "b.*")
-    # at most one row per wanted quantile: safe to broadcast
-    counted = (
-        values.join(F.broadcast(targets), F.col("metric") == F.col("_metric"))
-        .filter(F.col("value") <= F.col("high"))
-        .groupBy("name", "rank", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("v"))
-        .agg(F.count("*").alias("rows"))
+                F.lit(upper).alias("upper"),
+            )
+            for name, (column, p) in wanted.items()
+            for upper in (False, True)
+        ]
+    )
+    before = F.col("upto") - F.col("rows")
+    place = F.when(F.col("upper"), F.ceil("rank")).otherwise(F.floor("rank"))
+    # two rows per wanted quantile: safe to broadcast
+    places = (
+        parts.select("metric", "part", "rows", "upto", F.inline(targets))
+        .filter((F.col("metric") == F.col("column")) & (place >= before) & (place < F.col("upto")))
+        .select("metric", "part", "name", "rank", "upper", (place - before).alias("within"))
     )
-    running = Window.partitionBy("name").orderBy(F.col("v").asc_nulls_first())
-    reached = counted.withColumn(
-        "upto", F.sum("rows").over(running.rowsBetween(Window.unboundedPreceding, 0))
+    inside = Window.partitionBy("name", "upper").orderBy("value")
+    found = (
+        ranked.join(F.broadcast(places), ["metric", "part"])
+        .withColumn("reached", F.sum("rows").over(inside))
+        .filter(F.col("reached") > F.col("within"))
+        .groupBy("name", "rank", "upper")
+        .agg(F.min("value").alias("value"))
     )
-    per_name = (
-        reached.groupBy("name")
-        .agg(
-            F.min(F.when(F.col("upto") > F.floor("rank"), F.col("v"))).alias("lower"),
-            F.min(F.when(F.col("upto") > F.ceil("rank"), F.col("v"))).alias("upper"),
-            F.max("rank").alias("rank"),
-        )
-        .withColumn(
-            "q",
-            F.col("lower")
-            + (F.col("upper") - F.col("lower")) * (F.col("rank") - F.floor("rank")),
-        )
+    per_name = found.groupBy("name").agg(
+        F.max(F.when(~F.col("upper"), F.col("value"))).alias("low"),
+        F.max(F.when(F.col("upper"), F.col("value"))).alias("high"),
+        F.max(F.col("rank") - F.floor("rank")).alias("share"),
     )
+    quantile = F.col("low") + (F.col("high") - F.col("low")) * F.col("share")
     return per_name.agg(
-        *[F.max(F.when(F.col("name") == name, F.col("q"))).alias(name) for name in wanted]
+        *[F.max(F.when(F.col("name") == name, quantile)).alias(name) for name in wanted]
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from py4j.java_gateway import JavaObject
@@ -116,9 +117,36 @@ def overwrite_partitions(df: DataFrame, path: str, by: str = DAY) -> None:
     )
 
 
-def touched_values(df: DataFrame, by: str) -> list[date | str]:
-    """The partitions of ``df``: at most one value per day or month of the data."""
-    return [row[0] for row in df.select(by).dropna().distinct().collect()]
+def touched(df: DataFrame, by: str) -> Column | None:
+    """The partitions of ``df`` as a predicate on ``by``; None if ``df`` has no rows.
+
+    A literal list, so that Spark skips all other partitions: at most one value per day
+    or month of the data. Rows whose partition value is null have a partition too.
+    """
+    values: list[date | str | None] = [row[0] for row in df.select(by).distinct().collect()]
+    if not values:
+        return None
+    known = F.col(by).isin([value for value in values if value is not None])
+    return F.col(by).isNull() | known if None in values else known
+
+
+_OPENED: list[list[str]] = []
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``materialized`` writes inside of the block when the block ends.
+
+    For jobs that have published their results by then; frames read from such a
+    stage cannot be used afterwards.
+    """
+    _OPENED.append([])
+    try:
+        yield
+    finally:
+        for path in _OPENED.pop():
+            fs, target = _hadoop(spark, path)
+            fs.delete(target, True)
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:
@@ -129,24 +157,32 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _OPENED:
+        _OPENED[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def merge_partitions(
-    df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str], by: str = DAY
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    newest: Sequence[str],
+    by: str = DAY,
+    stored: bool = False,
 ) -> None:
     """Merge rows into the partitions they touch, keeping the newest row per key.
 
     Only touched partitions are read and rewritten. The merged rows are written
     under new names first and moved into place when all tasks have finished.
+    ``stored`` says that ``df`` reads a stage, which then isn't written again.
     """
     spark = df.sparkSession
-    incoming = materialized(df, "merge")
-    touched = touched_values(incoming, by)
-    if not touched:
+    incoming = df if stored else materialized(df, "merge")
+    changed = touched(incoming, by)
+    if changed is None:
         return
-    current = read_table(spark, path, df.schema).filter(F.col(by).isin(*touched))
+    current = read_table(spark, path, df.schema).filter(changed)
     overwrite_partitions(merge_latest(current, incoming, keys, newest), path, by)
 
 
@@ -158,9 +194,11 @@ def upsert_table(
     by: tuple[str, Column] | None = None,
     insert_cols: Sequence[str] | None = None,
     update_cols: Sequence[str] | None = None,
+    stored: bool = False,
 ) -> None:
     """Upsert a stage into a keyed mart; an empty stage changes nothing.
 
+    ``stored`` says that ``stage`` reads a stage, which then isn't written again.
     ``by`` names the mart's partition column and how it follows from the key, for
     instance the month of the period. Then only the touched partitions are read and
     rewritten; without it the whole mart is.
@@ -174,12 +212,13 @@ def upsert_table(
             replace_table(merged, path)
         return
     name, expression = by
-    placed = materialized(stage.withColumn(name, expression), "upsert")
-    touched = touched_values(placed, name)
-    if not touched:
+    placed = stage if stored else materialized(stage, "upsert")
+    placed = placed.withColumn(name, expression)
+    changed = touched(placed, name)
+    if changed is None:
         return
-    stored = T.StructType([*schema.fields, placed.schema[name]])
-    current = read_table(spark, path, stored).filter(F.col(name).isin(*touched))
+    fields = T.StructType([*schema.fields, placed.schema[name]])
+    current = read_table(spark, path, fields).filter(changed)
     columns = [*(insert_cols or [c for c in stage.columns if c in schema.names]), name]
     merged = upsert(current, placed, [*conflict_cols, name], columns, update_cols)
     overwrite_partitions(merged, path, name)

@@ -55,11 +55,7 @@ def test_thresholds_golden_case(spark):
     assert set(empty.values()) == {None} and len(empty) == 6
 
 
-@pytest.mark.parametrize("whole", [stats.QUANTILE_WHOLE, 50])
-def test_quantiles_are_exact(spark, monkeypatch, whole):
-    """Also when the values outside of the bracket are only counted."""
-    monkeypatch.setattr(stats, "QUANTILE_WHOLE", whole)
-    monkeypatch.setattr(stats, "QUANTILE_MARGIN", 1e-4 if whole > 50 else 0.005)
+def test_quantiles_are_exact(spark):
     rng = random.Random(5)
     values = [round(rng.gauss(0, 1), 2) for _ in range(3000)] + [0.0] * 1500
     values += [None] * 10 + [float("nan")] * 10
@@ -76,6 +72,35 @@ def test_quantiles_are_exact(spark, monkeypatch, whole):
     assert got["z"] is None
 
 
+def test_quantiles_of_many_values(spark):
+    """300,000 values, a third of them equal, equal Spark's own exact percentile."""
+    value = F.when(F.col("id") % 3 == 0, 7.5).otherwise(F.rand(3) * 100 - 20)
+    df = spark.range(300_000).select(value.alias("x"), F.randn(4).alias("y"))
+    df = df.cache()
+    points = [0.0, 0.0001, 0.25, 0.5, 0.75, 0.9, 0.9999, 1.0]
+    wanted = {f"{c}{i}": (c, p) for c in ("x", "y") for i, p in enumerate(points)}
+    got = stats.exact_quantiles(df, wanted).first().asDict()
+    expected = df.agg(*[F.percentile(c, p).alias(n) for n, (c, p) in wanted.items()]).first().asDict()
+    assert got == {name: pytest.approx(value) for name, value in expected.items()}
+
+
+def test_group_statistics_do_not_move_the_rows(spark):
+    df = spark.range(1000).select((F.col("id") % 6).alias("k"), F.col("id").alias("x"))
+    joined = stats.with_group_stats(df, ["k"], total=F.sum("x"))
+    joined.count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(k" not in plan
+    assert joined.agg(F.sum("total")).first()[0] == sum(
+        sum(range(k, 1000, 6)) * len(range(k, 1000, 6)) for k in range(6)
+    )
+
+
+def test_rankings_take_their_size(spark):
+    rows = [(DAY, f"R{i}", 100.0 * i, 10.0 * i, 50.0, 0.0, 0.5, float(i)) for i in range(1, 5)]
+    got = analytics.planning_rankings(plan(spark, *rows), top=2)
+    assert got.count() == 8
+
+
 def test_planning_priority_and_driver(spark):
     thresholds = limits(
         spark,

@@ -181,3 +181,32 @@ def test_csv_and_publish(spark, tmp_path):
         "v": "1.5",
         "n": None,
     }
+
+
+def test_null_partitions_are_merged_and_upserted(spark, tmp_path, at):
+    """Rows without a partition value are stored, found again and replaced like others."""
+    path = f"{tmp_path}/t"
+
+    def hidden(*found):
+        df = rows(spark, *found)
+        return df.withColumn("event_date", F.lit(None).cast("date"))
+
+    merge(hidden(("a", 1.0, at(1)), ("b", 2.0, at(2))), path)
+    merge(rows(spark, ("c", 3.0, at(3))).unionByName(hidden(("b", 9.0, at(4)))), path)
+    stored = tables.read_table(spark, path, ROW)
+    assert content(stored, "event_id", "value") == [("a", 1.0), ("b", 9.0), ("c", 3.0)]
+
+    mart = f"{tmp_path}/mart"
+    schema = T.StructType.fromDDL("k int, day date, v int")
+    by = ("month", F.date_format("day", "yyyy-MM"))
+    for batch in ([(1, None, 1), (2, None, 2)], [(2, None, 5), (3, at(1).date(), 3)]):
+        tables.upsert_table(spark.createDataFrame(batch, schema), mart, schema, ["k"], by=by)
+    assert content(tables.read_table(spark, mart, schema), "k", "v") == [(1, 1), (2, 5), (3, 3)]
+
+
+def test_stages_are_deleted(spark):
+    with tables.stages(spark):
+        stage = tables.materialized(spark.range(3), "gone")
+        place = stage.inputFiles()[0].rsplit("/", 1)[0]
+        assert tables.exists(spark, place)
+    assert not tables.exists(spark, place)
