@@ -10,21 +10,41 @@ from pyspark.sql import functions as F
 
 HOUR_WITH_OFFSET = "yyyy-MM-dd'T'HH[X]"
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ssxxx"
+ISO_UTC_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 GRAIN_TIME = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+# A four-digit year, then month, day, time and offset as far as they are given.
+PERIOD = (
+    r"^(?!0000)\d{4}(-\d{2}(-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.]\d{1,9})?)?)?"
+    r"(Z|[+-]\d{2}(:?\d{2})?)?)?)?)?$"
+)
+
+
 def parse_ts(text: Column) -> Column:
     """Text period to UTC instant, null when it does not parse.
 
-    Spark's own parser takes years, months, days, hours, minutes, seconds and
-    offsets; only the hour followed by an offset needs a pattern of its own.
+    Only the notations of ``PERIOD`` are periods. Spark's own parser also takes a bare
+    time as one of today, years of more digits and names of zones. Of the notations only the
+    hour followed by an offset needs a pattern of its own.
     """
-    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(text, F.lit(HOUR_WITH_OFFSET)))
+    parsed = F.coalesce(
+        F.try_to_timestamp(text), F.try_to_timestamp(text, F.lit(HOUR_WITH_OFFSET))
+    )
+    return F.when(text.rlike(PERIOD), parsed)
+
+
+def iso_utc(instant: Column) -> Column:
+    """ISO-8601 UTC text; with microseconds where the instant has a part of a second."""
+    whole = F.date_trunc("second", instant) == instant
+    return F.when(whole, F.date_format(instant, ISO_UTC)).otherwise(
+        F.date_format(instant, ISO_UTC_MICROS)
+    )
 
 
 def normalize_period(text: Column) -> Column:
     """Text period to ISO-8601 UTC text, null when it does not parse."""
-    return F.date_format(parse_ts(text), ISO_UTC)
+    return iso_utc(parse_ts(text))
 
 
 def to_number(value: Column) -> Column:

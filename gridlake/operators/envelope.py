@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.columns import ISO_UTC, event_id, normalize_period, now_or
+from gridlake.functions.columns import event_id, iso_utc, normalize_period, now_or
 from gridlake.schemas import ENVELOPE, ENVELOPE_SOURCE, DatasetSpec
 
 SAMPLE_ERRORS = 5
@@ -43,7 +43,7 @@ def envelope(
         F.lit(spec.dataset).alias("dataset"),
         F.lit(ENVELOPE_SOURCE).alias("source"),
         normalize_period(row["period"]).alias("event_timestamp"),
-        F.date_format(now_or(ingested_at), ISO_UTC).alias("ingestion_timestamp"),
+        iso_utc(now_or(ingested_at)).alias("ingestion_timestamp"),
         F.create_map(*[x for k, v in metadata.items() for x in (F.lit(k), v)]).alias("metadata"),
         row.alias("payload"),
     )

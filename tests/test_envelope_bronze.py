@@ -27,8 +27,18 @@ def test_periods_of_every_notation(spark):
         "2026-02-03T04:05:06Z": "2026-02-03T04:05:06+00:00",
         "2026-02-03T04Z": "2026-02-03T04:00:00+00:00",
         "2026-02-03T04:05:06-05:00": "2026-02-03T09:05:06+00:00",
+        "2026-02-03 04:05:06.25+0100": "2026-02-03T03:05:06.250000+00:00",
+        "2026-02-03T04:05:06.123456Z": "2026-02-03T04:05:06.123456+00:00",
         "not-a-date": None,
         "": None,
+        "12:30": None,
+        "T12:30": None,
+        "12:30:00": None,
+        "99999": None,
+        "0000": None,
+        "2026-02-03T04:05:06 PST": None,
+        "2026-02-30": None,
+        " 2026": None,
     }
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = df.select("t", normalize_period(F.col("t")).alias("p")).collect()
