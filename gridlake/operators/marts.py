@@ -445,12 +445,13 @@ def recent(column: str, days: int, as_of: datetime) -> str:
     return f"{column} >= TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S}' - INTERVAL {days} DAYS"
 
 
-def same_window(start: datetime, end: datetime) -> str:
+def same_window(start: datetime | None, end: datetime | None) -> str:
     """SQL text: the row was built from exactly this source window."""
-    return (
-        f"source_window_start = TIMESTAMP '{start:%Y-%m-%d %H:%M:%S}'"
-        f" AND source_window_end = TIMESTAMP '{end:%Y-%m-%d %H:%M:%S}'"
-    )
+
+    def is_(column: str, value: datetime | None) -> str:
+        return f"{column} IS NULL" if value is None else f"{column} = TIMESTAMP '{value:%Y-%m-%d %H:%M:%S}'"
+
+    return f"{is_('source_window_start', start)} AND {is_('source_window_end', end)}"
 
 
 def _published(where: str, entity: str, *bounds: tuple[str, float, float | None]) -> list[Rule]:
@@ -481,11 +482,11 @@ def planning_published_rules(as_of: datetime) -> list[Rule]:
     )
 
 
-def region_daily_published_rules(start: datetime, end: datetime) -> list[Rule]:
+def region_daily_published_rules(start: datetime | None, end: datetime | None) -> list[Rule]:
     return _published(same_window(start, end), "respondent", ("daily_demand_mwh", 0.0, None))
 
 
-def power_published_rules(start: datetime, end: datetime) -> list[Rule]:
+def power_published_rules(start: datetime | None, end: datetime | None) -> list[Rule]:
     return _published(
         same_window(start, end), "fueltype_id", ("generation_share_pct", 0.0, 100.0)
     )

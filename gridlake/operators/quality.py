@@ -48,6 +48,10 @@ def _bounds_text(low: float | None, high: float | None) -> str:
     return " and ".join(s for s in sides if s)
 
 
+def _where_text(where: str | None) -> str:
+    return f" where {where}" if where else ""
+
+
 def _outside(column: str, low: float | None, high: float | None) -> Column:
     """True where the value is present and beyond a bound; null passes."""
     value, bad = F.col(column), F.lit(False)
@@ -133,7 +137,7 @@ class Bounds(RowRule):
 
     @property
     def name(self) -> str:
-        return f"bounds({self.column})"
+        return f"bounds({self.column} {_bounds_text(self.low, self.high)})"
 
     @property
     def message(self) -> str:
@@ -156,7 +160,7 @@ class MinRows(RowRule):
 
     @property
     def name(self) -> str:
-        return f"min_rows({self.least})"
+        return f"min_rows({self.least}){_where_text(self.where)}"
 
     @property
     def message(self) -> str:
@@ -179,7 +183,7 @@ class MinDistinct(RowRule):
 
     @property
     def name(self) -> str:
-        return f"min_distinct({self.column})"
+        return f"min_distinct({self.column} {self.least}){_where_text(self.where)}"
 
     @property
     def message(self) -> str:
@@ -197,6 +201,10 @@ class BoundsWhere(Bounds):
 
     where: str = "true"
 
+    @property
+    def name(self) -> str:
+        return f"{super().name}{_where_text(self.where)}"
+
     def violations(self) -> Column:
         return F.count_if(F.expr(self.where) & _outside(self.column, self.low, self.high))
 
@@ -220,7 +228,7 @@ class Consistent(KeyRule):
 
     @property
     def name(self) -> str:
-        return f"consistent({','.join(self.keys)})"
+        return f"consistent({','.join(self.keys)}: {','.join(self.columns)})"
 
     @property
     def message(self) -> str:
@@ -230,19 +238,20 @@ class Consistent(KeyRule):
         )
 
 
-def key_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
-    """Rows per key and whether they carry more than one version of ``columns``.
+def _conflicting(columns: Sequence[str]) -> Column:
+    """Whether a key's rows carry more than one version of ``columns``.
 
     The smallest and largest version differ exactly when there are two of them, so
     no set of versions is kept, however many rows a key has.
     """
-    rows = F.count("*").alias("rows")
-    if not columns:
-        return df.groupBy(*keys).agg(rows, F.lit(False).alias("conflicting"))
     version = F.struct(*columns)
-    return df.groupBy(*keys).agg(
-        rows, (~F.min(version).eqNullSafe(F.max(version))).alias("conflicting")
-    )
+    return ~F.min(version).eqNullSafe(F.max(version))
+
+
+def key_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
+    """Rows per key and whether they carry more than one version of ``columns``."""
+    conflicting = _conflicting(columns) if columns else F.lit(False)
+    return df.groupBy(*keys).agg(F.count("*").alias("rows"), conflicting.alias("conflicting"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -296,24 +305,27 @@ def numeric_bounds(
     ).withColumn("ok", F.col("invalid_count") == 0)
 
 
-def report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: its name and number of violations. Lazy."""
+def _results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(position, rule, violations) per rule. Rules may have equal names."""
     parts = []
-    row_rules = [r for r in rules if isinstance(r, RowRule)]
+    row_rules = [(i, r) for i, r in enumerate(rules) if isinstance(r, RowRule)]
     if row_rules:
-        one_row = df.agg(
-            *[r.violations().cast("bigint").alias(f"r{i}") for i, r in enumerate(row_rules)]
-        )
-        parts.append(_as_rows(one_row, [(r.name, f"r{i}") for i, r in enumerate(row_rules)]))
+        one_row = df.agg(*[r.violations().cast("bigint").alias(f"r{i}") for i, r in row_rules])
+        parts.append(_as_rows(one_row, [(i, r.name, f"r{i}") for i, r in row_rules]))
     for keys in dict.fromkeys(r.keys for r in rules if isinstance(r, KeyRule)):
-        about = [r for r in rules if isinstance(r, KeyRule) and r.keys == keys]
-        columns = next((r.columns for r in about if isinstance(r, Consistent)), ())
-        counts = key_counts(df, keys, columns)
-        one_row = counts.agg(
+        about = [(i, r) for i, r in enumerate(rules) if isinstance(r, KeyRule) and r.keys == keys]
+        consistent = [(i, r.columns) for i, r in about if isinstance(r, Consistent)]
+        per_key = df.groupBy(*keys).agg(
+            F.count("*").alias("rows"),
+            *[_conflicting(columns).alias(f"conflicting{i}") for i, columns in consistent],
+        )
+        one_row = per_key.agg(
             F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("repeats"),
-            F.count_if("conflicting").alias("conflicts"),
+            *[F.count_if(f"conflicting{i}").alias(f"conflicts{i}") for i, _ in consistent],
         )
-        named = [(r.name, "repeats" if isinstance(r, Unique) else "conflicts") for r in about]
+        named = [
+            (i, r.name, "repeats" if isinstance(r, Unique) else f"conflicts{i}") for i, r in about
+        ]
         parts.append(_as_rows(one_row, named))
     result = parts[0]
     for part in parts[1:]:
@@ -321,21 +333,30 @@ def report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return result
 
 
-def _as_rows(one_row: DataFrame, named: Sequence[tuple[str, str]]) -> DataFrame:
+def report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule: its name and number of violations. Lazy."""
+    return _results(df, rules).select("rule", "violations")
+
+
+def _as_rows(one_row: DataFrame, named: Sequence[tuple[int, str, str]]) -> DataFrame:
     rows = [
-        F.struct(F.lit(name).alias("rule"), F.col(column).cast("bigint").alias("violations"))
-        for name, column in named
+        F.struct(
+            F.lit(position).alias("position"),
+            F.lit(name).alias("rule"),
+            F.col(column).cast("bigint").alias("violations"),
+        )
+        for position, name, column in named
     ]
     return one_row.select(F.inline(F.array(*rows)))
 
 
 def check(df: DataFrame, rules: Sequence[Rule], label: str) -> None:
     """Raise ``QualityError`` naming every broken rule. One job, one row per rule back."""
-    found = {row["rule"]: row["violations"] for row in report(df, rules).collect()}
-    broken = [r for r in rules if found[r.name]]
+    found = {row["position"]: row["violations"] for row in _results(df, rules).collect()}
+    broken = [(rule, found[i]) for i, rule in enumerate(rules) if found[i]]
     if broken:
         raise QualityError(
-            "; ".join(f"{label} {r.message} ({found[r.name]} found)" for r in broken)
+            "; ".join(f"{label} {rule.message} ({count} found)" for rule, count in broken)
         )
 
 

@@ -219,3 +219,24 @@ def test_window_is_half_open(spark, at):
 def test_lookback(at):
     assert lookback(at(20, 5), 14) == (at(6, 5), at(20, 5))
     assert lookback(at(20, 5), 14, whole_days=True) == (at(6), at(20, 5))
+
+
+def test_rules_that_differ_in_one_part_only(spark):
+    df = spark.createDataFrame(
+        [(1, "x", "p", 5.0), (1, "x", "q", 5.0), (2, "y", "p", 50.0)], "k int, a string, b string, v double"
+    )
+    first = quality.BoundsWhere("v", 0.0, 10.0, "k = 2")
+    second = quality.BoundsWhere("v", 0.0, 10.0, "k = 1")
+    third = quality.Consistent(("k",), ("a",))
+    fourth = quality.Consistent(("k",), ("b",))
+    found = [tuple(r) for r in quality.report(df, [first, second, third, fourth]).collect()]
+    assert found == [
+        ("bounds(v >= 0.0 and <= 10.0) where k = 2", 1),
+        ("bounds(v >= 0.0 and <= 10.0) where k = 1", 0),
+        ("consistent(k: a)", 0),
+        ("consistent(k: b)", 1),
+    ]
+    check(df, [second, third], "t")
+    for rules in ([first, second], [second, first], [third, fourth], [fourth, third], [first, first]):
+        with pytest.raises(QualityError):
+            check(df, rules, "t")
