@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from gridlake.plans import jobs
 from gridlake.schemas import FUEL, GRID_LOOKBACK_DAYS, PLANNING_LOOKBACK_DAYS, REGION, SPECS
 from gridlake.session import build_session
+from gridlake.sources.tables import export_csv, stages
 from gridlake.streaming.ingest import read_topic
 
 
@@ -53,45 +54,73 @@ def parser() -> argparse.ArgumentParser:
     job("power-monthly", "monthly power mart")
     verify = job("verify-coverage", "hourly coverage", start=False)
     verify.add_argument("--dataset", choices=sorted(SPECS), required=True)
+    repairs = job("choose-repairs", "hour windows to fetch again, as CSV", start=False)
+    repairs.add_argument("--dataset", choices=sorted(SPECS), required=True)
+    repairs.add_argument("--open-jobs", help="parquet: dataset_id, hour_start_utc, status")
+    repairs.add_argument("--statuses", nargs="+", default=["missing"])
+    repairs.add_argument("--max-open", type=int, default=0, help="0: no limit")
+    repairs.add_argument("--output", required=True)
+    compare = job("compare", "keys of freshly fetched rows against all layers, as CSV")
+    compare.add_argument("--dataset", choices=sorted(SPECS), required=True)
+    compare.add_argument("--raw", required=True, help="parquet with the columns of Bronze")
+    compare.add_argument("--output", required=True)
     return main
 
 
+OPEN_JOBS = "dataset_id string, hour_start_utc timestamp, status string"
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"gridlake-{args.job}")
     lake = jobs.Lake(args.root.rstrip("/"))
-    if args.job == "ingest":
-        stream = read_topic(
-            spark,
-            args.servers,
-            args.topic,
-            args.starting_offsets,
-            maxOffsetsPerTrigger=args.max_offsets_per_trigger,
-        )
-        jobs.ingest_topic(stream, lake, args.topic)
-    elif args.job == "clean":
-        for dataset in [args.dataset] if args.dataset else SPECS:
-            jobs.clean_dataset(
-                spark, lake, dataset, args.start, args.end, args.validation_only
+    with stages(spark):
+        if args.job == "ingest":
+            stream = read_topic(
+                spark,
+                args.servers,
+                args.topic,
+                args.starting_offsets,
+                maxOffsetsPerTrigger=args.max_offsets_per_trigger,
             )
-    elif args.job == "curate-hourly":
-        jobs.curate_hourly(spark, lake, args.dataset, args.start, args.end)
-    elif args.job == "curate-power":
-        jobs.curate_power(spark, lake, args.start, args.end)
-    elif args.job == "region-daily":
-        jobs.build_region_daily(spark, lake, args.start, args.end)
-    elif args.job == "grid-operations":
-        jobs.build_grid_operations(
-            spark, lake, args.end, args.lookback_days, drop_unmeasured=args.drop_unmeasured
-        )
-    elif args.job == "resource-planning":
-        jobs.build_resource_planning(spark, lake, args.end, args.lookback_days)
-    elif args.job == "power-monthly":
-        jobs.build_power_monthly(spark, lake, args.start, args.end)
-    elif args.job == "verify-coverage":
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        jobs.verify_coverage(spark, lake, args.dataset, args.end or now)
-
+            jobs.ingest_topic(stream, lake, args.topic)
+        elif args.job == "clean":
+            for dataset in [args.dataset] if args.dataset else SPECS:
+                jobs.clean_dataset(
+                    spark, lake, dataset, args.start, args.end, args.validation_only
+                )
+        elif args.job == "curate-hourly":
+            jobs.curate_hourly(spark, lake, args.dataset, args.start, args.end)
+        elif args.job == "curate-power":
+            jobs.curate_power(spark, lake, args.start, args.end)
+        elif args.job == "region-daily":
+            jobs.build_region_daily(spark, lake, args.start, args.end)
+        elif args.job == "grid-operations":
+            jobs.build_grid_operations(
+                spark, lake, args.end, args.lookback_days, drop_unmeasured=args.drop_unmeasured
+            )
+        elif args.job == "resource-planning":
+            jobs.build_resource_planning(spark, lake, args.end, args.lookback_days)
+        elif args.job == "power-monthly":
+            jobs.build_power_monthly(spark, lake, args.start, args.end)
+        elif args.job == "verify-coverage":
+            now = datetime.now(timezone.utc).replace(tzinfo=None)
+            jobs.verify_coverage(spark, lake, args.dataset, args.end or now)
+        elif args.job == "choose-repairs":
+            now = datetime.now(timezone.utc).replace(tzinfo=None)
+            open_jobs = (
+                spark.read.parquet(args.open_jobs)
+                if args.open_jobs
+                else spark.createDataFrame([], OPEN_JOBS)
+            )
+            chosen = jobs.choose_repairs(
+                spark, lake, args.dataset, args.end or now, open_jobs, args.statuses, args.max_open
+            )
+            export_csv(chosen, args.output)
+        elif args.job == "compare":
+            raw = spark.read.parquet(args.raw)
+            compared = jobs.compare_layers(spark, lake, args.dataset, raw, args.start, args.end)
+            export_csv(compared, args.output)
 
 if __name__ == "__main__":
     main()

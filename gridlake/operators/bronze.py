@@ -59,17 +59,18 @@ def parse_envelope(messages: DataFrame, loaded_at: datetime | Column | None = No
 
 def rejected(messages: DataFrame, loaded_at: datetime | Column | None = None) -> DataFrame:
     """The messages ``parse_envelope`` leaves out, for the quarantine table."""
-    return (
-        decode(messages, loaded_at)
-        .filter(~usable())
-        .select(
-            "raw_json",
-            "kafka_topic",
-            "kafka_partition",
-            "kafka_offset",
-            "kafka_timestamp",
-            "bronze_loaded_at",
-        )
+    return refusals(decode(messages, loaded_at))
+
+
+def refusals(decoded: DataFrame) -> DataFrame:
+    """The rows of ``decode`` that cannot be used."""
+    return decoded.filter(~usable()).select(
+        "raw_json",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        "kafka_timestamp",
+        "bronze_loaded_at",
     )
 
 
@@ -91,14 +92,6 @@ def touched_partitions(batch: DataFrame) -> DataFrame:
     return batch.select(*BRONZE_PARTITIONS).distinct()
 
 
-def partition_text() -> Column:
-    """The partition columns as one text, to test many partitions with one ``isin``.
-
-    It uses partition columns only, so Spark evaluates it while listing files.
-    """
-    return F.concat_ws("/", *[F.col(c).cast("string") for c in BRONZE_PARTITIONS])
-
-
 def replay_safe_batch(batch: DataFrame, existing_ids: DataFrame) -> DataFrame:
     """One row per event of the batch that Bronze does not hold yet."""
     return dedupe_batch(batch).join(existing_ids.select("event_id"), "event_id", "left_anti")

@@ -20,6 +20,19 @@ def hourly_counts(events: DataFrame) -> DataFrame:
     )
 
 
+def partition_counts(bronze: DataFrame) -> DataFrame:
+    """Rows per hour of one dataset's Bronze table, from its partition columns alone.
+
+    The hour is the partition, so Spark counts rows without reading a column.
+    """
+    hour = F.make_timestamp(
+        "event_year", "event_month", "event_day", "event_hour", F.lit(0), F.lit(0)
+    )
+    return bronze.groupBy(hour.alias("hour_start_utc")).agg(
+        F.count("*").alias("observed_row_count")
+    )
+
+
 def count_profile(counts: DataFrame, boundary: datetime | str | Column) -> DataFrame:
     """One row: the usual hourly count and the ends of the hour spine.
 
@@ -51,10 +64,22 @@ def modal_count(counts: DataFrame) -> DataFrame:
 
 
 def hour_spine(profile: DataFrame) -> DataFrame:
-    """One row per hour between the ends of the profile; none without observations."""
-    hours = F.expr("sequence(oldest_hour_utc, newest_hour_utc, INTERVAL 1 HOUR)")
-    return profile.filter(F.col("oldest_hour_utc").isNotNull()).select(
-        "*", F.explode(hours).alias("hour_start_utc")
+    """One row per hour between the ends of the profile; none without observations.
+
+    Days come first and are dealt out before they are opened into hours, so no row holds
+    an array of all hours and no single task makes them.
+    """
+    days = F.expr("sequence(to_date(oldest_hour_utc), to_date(newest_hour_utc))")
+    hours = F.expr(
+        "sequence(timestamp(_day), timestamp(_day) + INTERVAL 23 HOURS, INTERVAL 1 HOUR)"
+    )
+    return (
+        profile.filter(F.col("oldest_hour_utc").isNotNull())
+        .select("*", F.explode(days).alias("_day"))
+        .repartition("_day")
+        .select("*", F.explode(hours).alias("hour_start_utc"))
+        .filter(F.col("hour_start_utc").between(F.col("oldest_hour_utc"), F.col("newest_hour_utc")))
+        .drop("_day")
     )
 
 
@@ -65,7 +90,16 @@ def hourly_coverage(
     verified_at: datetime | str | Column | None = None,
 ) -> DataFrame:
     """Every hour of the spine with its observed and expected count and a status."""
-    counts = hourly_counts(events)
+    return coverage_of(hourly_counts(events), dataset, boundary, verified_at)
+
+
+def coverage_of(
+    counts: DataFrame,
+    dataset: str,
+    boundary: datetime | str | Column,
+    verified_at: datetime | str | Column | None = None,
+) -> DataFrame:
+    """The same from counts per hour."""
     spine = hour_spine(count_profile(counts, boundary))
     observed, expected = F.col("observed_row_count"), F.col("expected_row_count")
     return (
@@ -107,12 +141,12 @@ def repair_windows(
     dataset: str,
     boundary: datetime | str | Column,
     statuses: Sequence[str] = ("missing",),
-    max_open: int = 24,
+    max_open: int = 0,
 ) -> DataFrame:
     """Hour windows to fetch again, oldest first.
 
-    At most ``max_open`` windows may be open at a time, those already open included;
-    0 means no limit. ``open_jobs`` holds (dataset_id, hour_start_utc, status).
+    All of them, unless ``max_open`` says how many windows may be open at a time, those
+    already open included. ``open_jobs`` holds (dataset_id, hour_start_utc, status).
     """
     wanted = coverage.filter(
         (F.col("dataset_id") == dataset)

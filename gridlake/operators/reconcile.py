@@ -39,17 +39,14 @@ def keys_of(df: DataFrame, time: str, entity: str, dimension: Sequence[str]) ->
 
 
 def bronze_keys(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Keys of stored events, read from their raw JSON."""
+    """Keys of stored events, read from their payload; the raw message isn't opened."""
     source = {f.column: f.key for f in spec.fields}
-
-    def payload(key: str) -> Column:
-        return F.get_json_object("raw_json", f"$.payload['{key}']")
-
+    payload = F.col("payload")
     hourly = spec.frequency == "hourly"
-    period = F.date_trunc("hour", "event_ts") if hourly else parse_ts(payload("period"))
+    period = F.date_trunc("hour", "event_ts") if hourly else parse_ts(payload["period"])
     rows = bronze.filter(F.col("dataset_partition") == spec.dataset).select(
         period.alias("period"),
-        *[payload(source[c]).alias(c) for c in (spec.entity, *spec.dimension)],
+        *[payload[source[c]].alias(c) for c in (spec.entity, *spec.dimension)],
     )
     return keys_of(rows.dropna(), "period", spec.entity, spec.dimension)
 
@@ -159,34 +156,56 @@ def by_period(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return matched(expected, actual).groupBy("period_start_utc").agg(*_counts())
 
 
-def summary(expected: DataFrame, actual: DataFrame, stage: str, dataset: str) -> DataFrame:
-    """One row of totals with a status."""
+def _status() -> Column:
     same_keys = (F.col("missing_count") == 0) & (F.col("extra_count") == 0)
-    status = (
+    return (
         F.when((F.col("expected_count") == 0) & (F.col("actual_count") == 0), "not_populated")
         .when(same_keys & (F.col("expected_count") == F.col("actual_count")), "ok")
         .when(same_keys, "count_mismatch")
         .otherwise("mismatch")
     )
-    return (
-        matched(expected, actual)
-        .agg(*_counts())
-        .select(
-            F.lit(stage).alias("stage"),
-            F.lit(dataset).alias("dataset_id"),
-            status.alias("status"),
-            "expected_count",
-            "actual_count",
-            "missing_count",
-            "extra_count",
-        )
-    )
+
+
+def summary(expected: DataFrame, actual: DataFrame, stage: str, dataset: str) -> DataFrame:
+    """One row of totals with a status."""
+    return snapshot([(stage, dataset, expected, actual)])
 
 
 def snapshot(pairs: Sequence[tuple[str, str, DataFrame, DataFrame]]) -> DataFrame:
-    """Summaries of several (stage, dataset, expected, actual) comparisons."""
-    parts = [summary(expected, actual, stage, name) for stage, name, expected, actual in pairs]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """One row per (stage, dataset, expected, actual) comparison.
+
+    Keys of all comparisons go through one grouped pass: they are counted per comparison,
+    key and side before the shuffle, then rolled up to one row per comparison.
+    """
+
+    def tagged(number: int, keys: DataFrame, expected: bool) -> DataFrame:
+        return keys.select(
+            F.lit(number).alias("pair"),
+            "grain_key",
+            F.lit(int(expected)).alias("expected"),
+            F.lit(int(not expected)).alias("actual"),
+        )
+
+    sides = [
+        tagged(i, keys, expected)
+        for i, (_, _, *both) in enumerate(pairs)
+        for keys, expected in zip(both, (True, False), strict=True)
+    ]
+    rows = sides[0]
+    for side in sides[1:]:
+        rows = rows.unionByName(side)
+    per_key = rows.groupBy("pair", "grain_key").agg(
+        F.sum("expected").alias("expected_rows"), F.sum("actual").alias("actual_rows")
+    )
+    totals = per_key.groupBy("pair").agg(*_counts())
+    # a row per comparison, also for those without a key
+    named = rows.sparkSession.createDataFrame(
+        [(i, stage, name) for i, (stage, name, _, _) in enumerate(pairs)],
+        "pair int, stage string, dataset_id string",
+    )
+    counts = ["expected_count", "actual_count", "missing_count", "extra_count"]
+    return (
+        named.join(totals, "pair", "left")
+        .fillna(0, counts)
+        .select("stage", "dataset_id", _status().alias("status"), *counts)
+    )

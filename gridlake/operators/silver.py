@@ -34,7 +34,12 @@ def clean(
     bronze: DataFrame, spec: DatasetSpec, as_of: datetime | Column | None = None
 ) -> DataFrame:
     """Rows with all required fields, newest per event."""
-    complete = extract(bronze, spec, as_of).dropna(subset=list(spec.required))
+    return newest_complete(extract(bronze, spec, as_of), spec)
+
+
+def newest_complete(typed: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The same from rows that ``extract`` has typed."""
+    complete = typed.dropna(subset=list(spec.required))
     newest = latest_by_key(complete, ["event_id"], ["loaded_at", "period"])
     return newest.withColumn("event_date", F.to_date("period"))
 
@@ -62,11 +67,14 @@ def clean_rules(spec: DatasetSpec) -> list[Rule]:
     return [NotNull(("event_id", *spec.required, "event_date")), *allowed, Unique(("event_id",))]
 
 
-def retention(bronze: DataFrame, cleaned: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """One row: distinct source events, cleaned rows and their ratio."""
-    source = bronze.filter(F.col("dataset") == spec.dataset).agg(
-        F.count_distinct("event_id").alias("source_events")
-    )
+def retention(source_rows: DataFrame, cleaned: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """One row: distinct source events, cleaned rows and their ratio.
+
+    ``source_rows`` are events of Bronze, or the typed rows of the dataset.
+    """
+    if "dataset" in source_rows.columns:
+        source_rows = source_rows.filter(F.col("dataset") == spec.dataset)
+    source = source_rows.agg(F.count_distinct("event_id").alias("source_events"))
     kept = cleaned.agg(F.count("*").alias("cleaned_rows")).scalar()
     return source.withColumn("cleaned_rows", kept).select(
         F.lit(spec.dataset).alias("dataset"),
@@ -81,9 +89,9 @@ def retention(bronze: DataFrame, cleaned: DataFrame, spec: DatasetSpec) -> DataF
     )
 
 
-def check_retention(bronze: DataFrame, cleaned: DataFrame, spec: DatasetSpec) -> None:
+def check_retention(source_rows: DataFrame, cleaned: DataFrame, spec: DatasetSpec) -> None:
     """Raise when cleaning loses more of a window than it may."""
-    row = retention(bronze, cleaned, spec).first()
+    row = retention(source_rows, cleaned, spec).first()
     if row["ok"]:
         return
     if row["cleaned_rows"] == 0:

@@ -133,7 +133,7 @@ def _staged(df: DataFrame, rules: Sequence[Rule], label: str) -> DataFrame:
 
 def _publish(lake: Lake, mart: Mart, stage: DataFrame, afterwards: Sequence[Rule] = ()) -> None:
     tables.upsert_table(
-        stage, lake.mart(mart.name), mart.schema, mart.key, by=mart.placed()
+        stage, lake.mart(mart.name), mart.schema, mart.key, by=mart.placed(), stored=True
     )
     if afterwards:
         check(read_mart(stage.sparkSession, lake, mart), afterwards, f"platinum.{mart.name}")
@@ -158,14 +158,16 @@ def clean_dataset(
     """Bronze window to Silver; ``validate_only`` checks without publishing."""
     spec = S.SPECS[dataset]
     events = tables.read_bronze(spark, lake.bronze, dataset, start, end)
-    check(silver.extract(events, spec), silver.extract_rules(spec), f"silver.{spec.table}")
+    # Bronze is opened once; rules, cleaning and retention read the typed rows
+    typed = tables.materialized(silver.extract(events, spec), f"extract-{spec.table}")
+    check(typed, silver.extract_rules(spec), f"silver.{spec.table}")
     cleaned = _staged(
-        silver.clean(events, spec), silver.clean_rules(spec), f"silver.{spec.table}"
+        silver.newest_complete(typed, spec), silver.clean_rules(spec), f"silver.{spec.table}"
     )
-    silver.check_retention(events, cleaned, spec)
+    silver.check_retention(typed, cleaned, spec)
     if not validate_only:
         tables.merge_partitions(
-            cleaned, lake.silver(spec), ["event_id"], ["loaded_at", "period"]
+            cleaned, lake.silver(spec), ["event_id"], ["loaded_at", "period"], stored=True
         )
     return cleaned
 
@@ -183,7 +185,7 @@ def _fact(
     lake: Lake, name: str, built: DataFrame, rules: Sequence[Rule], key: Sequence[str]
 ) -> None:
     stage = _staged(built, rules, f"gold.{name}")
-    tables.merge_partitions(stage, lake.fact(name), key, ["loaded_at"])
+    tables.merge_partitions(stage, lake.fact(name), key, ["loaded_at"], stored=True)
 
 
 def curate_hourly(
@@ -234,29 +236,45 @@ def curate_power(
 
 
 def build_region_daily(
-    spark: SparkSession, lake: Lake, start: datetime, end: datetime, as_of: Time = None
+    spark: SparkSession,
+    lake: Lake,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    as_of: Time = None,
 ) -> None:
     """Daily demand of a window. Its start is floored to the day, so days are whole.
 
     Rows are stamped with the floored window, and that is also what is checked
-    afterwards.
+    afterwards. Without a bound all facts on that side are taken and the stamp is null.
     """
-    start = start.replace(hour=0, minute=0, second=0, microsecond=0)
+    if start is not None:
+        start = start.replace(hour=0, minute=0, second=0, microsecond=0)
     facts = tables.read_window(spark, lake.fact(REGION_FACT), S.GOLD_REGION, start, end)
     built = marts.region_daily(facts, start, end, as_of)
     stage = _staged(built, marts.REGION_DAILY_RULES, "platinum.region_demand_daily_stage")
     _publish(lake, REGION_DAILY, stage, marts.region_daily_published_rules(start, end))
 
 
+def _after_newest(facts: DataFrame) -> datetime | None:
+    """The hour after the newest fact, as a window's end; None without facts."""
+    after = F.max("period") + F.expr("INTERVAL 1 HOUR")
+    text = facts.agg(F.date_format(after, "yyyy-MM-dd HH:mm:ss")).first()[0]
+    return datetime.fromisoformat(text) if text else None
+
+
 def build_grid_operations(
     spark: SparkSession,
     lake: Lake,
-    end: datetime,
+    end: datetime | None = None,
     days: int = S.GRID_LOOKBACK_DAYS,
     as_of: Time = None,
     drop_unmeasured: bool = False,
 ) -> None:
-    """Grid status and alerts over the lookback before ``end``."""
+    """Grid status and alerts over the lookback before ``end``, or up to the newest fact."""
+    if end is None:
+        end = _after_newest(tables.read_table(spark, lake.fact(REGION_FACT), S.GOLD_REGION))
+        if end is None:
+            return
     start, end = lookback(end, days)
     region = tables.read_window(spark, lake.fact(REGION_FACT), S.GOLD_REGION, start, end)
     fuel = tables.read_window(spark, lake.fact(FUEL_FACT), S.GOLD_FUEL, start, end)
@@ -280,11 +298,15 @@ def build_grid_operations(
 def build_resource_planning(
     spark: SparkSession,
     lake: Lake,
-    end: datetime,
+    end: datetime | None = None,
     days: int = S.PLANNING_LOOKBACK_DAYS,
     as_of: Time = None,
 ) -> None:
-    """Daily planning figures over the lookback before ``end``."""
+    """Daily planning figures over the lookback before ``end``, or up to the newest fact."""
+    if end is None:
+        end = _after_newest(tables.read_table(spark, lake.fact(REGION_FACT), S.GOLD_REGION))
+        if end is None:
+            return
     start, end = lookback(end, days)
     region = tables.read_window(spark, lake.fact(REGION_FACT), S.GOLD_REGION, start, end)
     fuel = tables.read_window(spark, lake.fact(FUEL_FACT), S.GOLD_FUEL, start, end)
@@ -295,9 +317,13 @@ def build_resource_planning(
 
 
 def build_power_monthly(
-    spark: SparkSession, lake: Lake, start: datetime, end: datetime, as_of: Time = None
+    spark: SparkSession,
+    lake: Lake,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    as_of: Time = None,
 ) -> None:
-    """Monthly power figures of a window."""
+    """Monthly power figures of a window; without a bound, of all facts on that side."""
     facts = tables.read_window(spark, lake.fact(POWER_FACT), S.GOLD_POWER, start, end)
     built = marts.power_mart(facts, start, end, as_of)
     stage = _staged(
@@ -310,9 +336,10 @@ def verify_coverage(
     spark: SparkSession, lake: Lake, dataset: str, boundary: datetime, as_of: Time = None
 ) -> None:
     """Hourly coverage of a dataset up to ``boundary``."""
-    events = tables.read_bronze(spark, lake.bronze, dataset).select("event_ts")
+    events = tables.read_bronze(spark, lake.bronze, dataset)
     hour = boundary.replace(minute=0, second=0, microsecond=0)
-    built = coverage.hourly_coverage(events, dataset, hour, as_of)
+    counts = coverage.partition_counts(events)
+    built = coverage.coverage_of(counts, dataset, hour, as_of)
     _publish(lake, COVERAGE, tables.materialized(built, "coverage"))
 
 
@@ -323,7 +350,7 @@ def choose_repairs(
     boundary: datetime,
     open_jobs: DataFrame,
     statuses: Sequence[str] = ("missing",),
-    max_open: int = 24,
+    max_open: int = 0,
 ) -> DataFrame:
     """Windows to fetch again, from the stored coverage."""
     stored = read_mart(spark, lake, COVERAGE)
@@ -375,12 +402,16 @@ def compare_layers(
 def run_window(
     spark: SparkSession, lake: Lake, start: datetime, end: datetime, as_of: Time = None
 ) -> None:
-    """All layers of one source window for the hourly datasets, after ingestion."""
-    for dataset in (S.REGION, S.FUEL):
-        clean_dataset(spark, lake, dataset, start, end)
-    curate_hourly(spark, lake, "all", start, end, as_of)
-    build_region_daily(spark, lake, start, end, as_of)
-    build_grid_operations(spark, lake, end, as_of=as_of, drop_unmeasured=True)
-    build_resource_planning(spark, lake, end, as_of=as_of)
-    for dataset in (S.REGION, S.FUEL):
-        verify_coverage(spark, lake, dataset, end + timedelta(hours=1), as_of)
+    """All layers of one source window for the hourly datasets, after ingestion.
+
+    Stages are deleted at the end, also after a failure; the tables hold what was published.
+    """
+    with tables.stages(spark):
+        for dataset in (S.REGION, S.FUEL):
+            clean_dataset(spark, lake, dataset, start, end)
+        curate_hourly(spark, lake, "all", start, end, as_of)
+        build_region_daily(spark, lake, start, end, as_of)
+        build_grid_operations(spark, lake, end, as_of=as_of, drop_unmeasured=True)
+        build_resource_planning(spark, lake, end, as_of=as_of)
+        for dataset in (S.REGION, S.FUEL):
+            verify_coverage(spark, lake, dataset, end + timedelta(hours=1), as_of)

@@ -7,19 +7,23 @@ from pyspark.sql import functions as F
 
 from gridlake.operators.bronze import (
     decode,
-    partition_text,
-    rejected,
+    refusals,
     replay_safe_batch,
     usable,
 )
-from gridlake.schemas import BRONZE, MESSAGE
-from gridlake.sources.tables import append_partitioned, read_table
+from gridlake.schemas import BRONZE, BRONZE_PARTITIONS, MESSAGE
+from gridlake.sources.tables import append_partitioned, exists, read_table
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, starting: str = "earliest", **options: str
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting: str = "earliest",
+    fail_on_data_loss: bool = True,
+    **options: str,
 ) -> DataFrame:
-    """A topic as a stream.
+    """A topic as a stream. Offsets that the topic has lost are an error, unless waived.
 
     ``latest`` as the first start would skip what the topic already holds, so it is
     read as ``earliest``. A restart continues from the checkpoint in any case.
@@ -32,7 +36,7 @@ def read_topic(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .options(**options)
         .load()
     )
@@ -46,12 +50,26 @@ def read_topic_files(spark: SparkSession, path: str, **options: str) -> DataFram
 def existing_ids(spark: SparkSession, batch: DataFrame, bronze_path: str) -> DataFrame:
     """Ids stored in the hour partitions that ``batch`` touches.
 
-    The list of touched partitions is bounded by the batch size and becomes one
-    predicate on partition columns, so no other partition is opened.
+    Only the day folders the batch touches are listed; at most one path per dataset and day
+    of its events comes to the driver. Hours are then met by a join on partition columns.
     """
-    touched = [row[0] for row in batch.select(partition_text()).distinct().collect()]
-    stored = read_table(spark, bronze_path, BRONZE)
-    return stored.filter(partition_text().isin(touched)).select("event_id").distinct()
+    days = batch.select(*BRONZE_PARTITIONS[:-1]).distinct().collect()
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    places = [
+        "/".join(
+            [bronze_path]
+            + [named.getPartitionPathString(c, str(row[c])) for c in BRONZE_PARTITIONS[:-1]]
+        )
+        for row in days
+    ]
+    present = [place for place in places if exists(spark, place)]
+    if not present:
+        return spark.createDataFrame([], "event_id string")
+    stored = spark.read.schema(BRONZE).option("basePath", bronze_path).parquet(*present)
+    hours = batch.select(*BRONZE_PARTITIONS).distinct()
+    return (
+        stored.join(hours, list(BRONZE_PARTITIONS), "left_semi").select("event_id").distinct()
+    )
 
 
 def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) -> None:
@@ -61,12 +79,12 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
     by its id. So a batch that failed half way can simply be repeated.
     """
     spark = messages.sparkSession
-    messages = messages.persist()  # read once from the source, used three times
+    decoded = decode(messages).persist()  # JSON is opened once, its rows used four times
     try:
-        events = decode(messages).filter(usable())
+        events = decoded.filter(usable())
         fresh = replay_safe_batch(events, existing_ids(spark, events, bronze_path))
         append_partitioned(fresh, bronze_path)
-        refused = rejected(messages)
+        refused = refusals(decoded)
         place = ["kafka_topic", "kafka_partition", "kafka_offset"]
         # a replayed message keeps its time, so older rows of the quarantine are skipped
         oldest = refused.agg(F.min("kafka_timestamp")).scalar()
@@ -76,7 +94,7 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
         new = refused.join(known.select(*place), place, "left_anti")
         new.write.mode("append").parquet(quarantine_path)
     finally:
-        messages.unpersist()
+        decoded.unpersist()
 
 
 def ingest_available_now(

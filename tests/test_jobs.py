@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from test_envelope_bronze import event, message
 
 from gridlake import schemas as S
-from gridlake.__main__ import instant, parser
+from gridlake.__main__ import instant, main, parser
+from gridlake.operators import coverage
 from gridlake.operators.quality import QualityError
 from gridlake.plans import jobs, queries
+from gridlake.session import shared_dir
 from gridlake.sources import feed, tables
 from gridlake.streaming import ingest
 
@@ -37,12 +39,14 @@ def test_hourly_pipeline_equals_the_direct_build_and_repeats(spark, tmp_path):
         feed.messages(spark, ROOT, spec).filter(early).write.parquet(topic)
         jobs.ingest_topic(ingest.read_topic_files(spark, topic), lake, spec.table)
     contents = []
+    before = set(os.listdir(shared_dir(spark)))
     for _ in range(2):
         jobs.run_window(spark, lake, START, END, AS_OF)
         contents.append(
             {m.name: rows(jobs.read_mart(spark, lake, m)) for m in jobs.MARTS}
         )
     assert contents[0] == contents[1]
+    assert set(os.listdir(shared_dir(spark))) == before  # stages are gone
     assert {name for name, found in contents[0].items() if not found} == {jobs.POWER.name}
 
     bronze = {
@@ -83,7 +87,9 @@ def test_hourly_pipeline_equals_the_direct_build_and_repeats(spark, tmp_path):
     }
     open_jobs = spark.createDataFrame([], "dataset_id string, hour_start_utc timestamp, status string")
     chosen = jobs.choose_repairs(spark, lake, S.REGION, END, open_jobs)
-    assert 0 < chosen.count() <= 24
+    stored = jobs.read_mart(spark, lake, jobs.COVERAGE)
+    gaps = stored.filter(f"dataset_id = '{S.REGION}' and status = 'missing'")
+    assert 0 < chosen.count() == gaps.filter(F.col("hour_start_utc") < F.lit(END)).count()
     assert chosen.filter("coverage_status <> 'missing'").count() == 0
 
 
@@ -186,6 +192,56 @@ def test_region_daily_floors_its_window(spark, tmp_path, at):
     assert (row["source_window_start"], row["source_window_end"]) == (at(1), at(1, 10))
 
 
+def test_jobs_without_a_window(spark, tmp_path, at):
+    lake = jobs.Lake(str(tmp_path))
+    texts = [region_event(h, value=str(h), hour=h) for h in (1, 9)]
+    fuels = [power_event(1, "COL", "60"), power_event(2, "NG", "40")]
+    ingest.write_batch(message(spark, *texts, *fuels), lake.bronze, lake.quarantine)
+    jobs.clean_dataset(spark, lake, S.REGION)
+    jobs.clean_dataset(spark, lake, S.POWER)
+    jobs.curate_hourly(spark, lake, S.REGION)
+    jobs.curate_power(spark, lake)
+    jobs.build_region_daily(spark, lake)
+    jobs.build_grid_operations(spark, lake, drop_unmeasured=True)
+    jobs.build_resource_planning(spark, lake)
+    jobs.build_power_monthly(spark, lake)
+    daily = jobs.read_mart(spark, lake, jobs.REGION_DAILY).first()
+    assert (daily["daily_demand_mwh"], daily["source_window_start"]) == (10.0, None)
+    assert jobs.read_mart(spark, lake, jobs.GRID_STATUS).count() == 2
+    assert jobs.read_mart(spark, lake, jobs.PLANNING).count() == 1
+    assert jobs.read_mart(spark, lake, jobs.POWER).count() == 2
+
+
+def test_coverage_reads_partition_columns_only(spark, tmp_path, at):
+    lake = jobs.Lake(str(tmp_path))
+    texts = [region_event(h, value=str(h), hour=h) for h in (1, 1, 9)]
+    ingest.write_batch(message(spark, *texts), lake.bronze, lake.quarantine)
+    counts = coverage.partition_counts(tables.read_bronze(spark, lake.bronze, S.REGION))
+    got = {r["hour_start_utc"]: r["observed_row_count"] for r in counts.collect()}
+    assert got == {at(1, 1): 1, at(1, 9): 1}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_repairs_and_comparison_from_the_command_line(spark, tmp_path, at):
+    lake = jobs.Lake(str(tmp_path))
+    texts = [region_event(h, value=str(h), hour=h) for h in (1, 4)]
+    ingest.write_batch(message(spark, *texts), lake.bronze, lake.quarantine)
+    root = ["--root", str(tmp_path), "--dataset", S.REGION]
+    main(["clean", *root])
+    main(["verify-coverage", *root, "--end", "2026-01-01T06:00:00Z"])
+    main(["choose-repairs", *root, "--end", "2026-01-01T06:00:00Z", "--output", f"{tmp_path}/gaps"])
+    assert spark.read.csv(f"{tmp_path}/gaps", header=True).count() == 3
+    raw = f"{tmp_path}/raw"
+    tables.read_bronze(spark, lake.bronze, S.REGION).write.parquet(raw)
+    main(["compare", *root, "--raw", raw, "--output", f"{tmp_path}/compared"])
+    found = spark.read.csv(f"{tmp_path}/compared", header=True).collect()
+    assert {r["stage"]: r["status"] for r in found if r["stage"] in ("bronze", "silver")} == {
+        "bronze": "ok",
+        "silver": "ok",
+    }
+
+
 def test_command_line():
     args = parser().parse_args(["clean", "--root", "/x", "--start", "2026-01-01T00:00:00Z"])
     assert (args.job, args.start, args.dataset) == ("clean", datetime(2026, 1, 1), None)
