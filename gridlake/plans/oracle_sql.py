@@ -386,7 +386,8 @@ select *, case when sum(generation_mwh) over (partition by period, location) > 0
   consumption_for_eg_thousand_units * heat_content_btu_per_unit * 1000.0 as fuel_heat_input_mmbtu,
   case when generation_mwh > 0 then consumption_for_eg_thousand_units * heat_content_btu_per_unit
     * 1000.0 * 1000.0 / generation_mwh end as heat_rate_btu_per_kwh,
-  {ts(WINDOW[0])} as source_window_start, {ts(WINDOW[1])} as source_window_end
+  timestamp '1996-01-01 00:00:00' as source_window_start,
+  timestamp '1998-01-01 00:00:00' as source_window_end
 from gold_power
 """
 
@@ -430,7 +431,10 @@ STRATEGY_LABEL = f"""case when {CARBON} >= carbon_p90 or {WEAK_GAS}
   or {DIV} <= diversity_p25 then 'Elevated' else 'Stable' end"""
 CTES["labelled"] = f"""
 select p.*, {PLANNING_LABEL} as planning_priority, {DRIVER_LABEL} as primary_driver
-from planning p, limits
+from planning p, snapshot_limits
+"""
+CTES["labelled_by_all"] = f"""
+select p.*, {PLANNING_LABEL} as planning_priority from planning p, limits
 """
 
 
@@ -610,12 +614,28 @@ def half(table: str, first: bool) -> str:
 
 
 def report(table: str, rule: str, violations: str, source: str) -> str:
+    name = rule.replace("'", "''")
     return (
-        f"select '{table}' as table_name, '{rule}' as rule,"
+        f"select '{table}' as table_name, '{name}' as rule,"
         f" cast({violations} as bigint) as violations from {source}"
     )
 
 
+def short_of(least: int, found: str, allow_empty: bool = False) -> str:
+    """How many are missing to ``least``; none may be allowed to be there."""
+    short = f"greatest({least} - {found}, 0)"
+    return f"case when {found} = 0 then 0 else {short} end" if allow_empty else short
+
+
+def repeats(keys: str) -> str:
+    return f"count(*) - count(distinct ({keys}))"
+
+
+def conflicts(table: str, keys: str, columns: str) -> str:
+    return f"""(select count(*) from (select 1 from {table} group by {keys}
+  having count(distinct ({columns})) > 1))"""
+
+
 def violations_of(condition: str) -> str:
     return f"count(*) filter (where {condition})"
 
@@ -636,11 +656,18 @@ def _queries() -> dict[str, str]:
     # envelopes
     q["normalize_period"] = """
 select event_id, period_text,
-  case when event_id % 41 = 0 then null
+  case when event_id % 41 < 4 then null
+    when event_id % 41 = 4 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.250000+00:00'
+    when event_id % 41 = 5 then strftime(ts - interval 2 hour, '%Y-%m-%dT%H:%M:%S+00:00')
     else strftime(date_trunc(case event_type when 'click' then 'year' when 'view' then 'month'
       when 'purchase' then 'hour' when 'signup' then 'minute' else 'second' end, ts),
       '%Y-%m-%dT%H:%M:%S+00:00') end as event_timestamp
 from (select *, case when event_id % 41 = 0 then 'not-a-date'
+  when event_id % 41 = 1 then strftime(ts, '%H:%M')
+  when event_id % 41 = 2 then strftime(ts, '%Y') || '9'
+  when event_id % 41 = 3 then strftime(ts, '%Y-%m-%dT%H:%M:%S PST')
+  when event_id % 41 = 4 then strftime(ts, '%Y-%m-%dT%H:%M:%S.250Z')
+  when event_id % 41 = 5 then strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00')
   when event_type = 'click' then strftime(ts, '%Y')
   when event_type = 'view' then strftime(ts, '%Y-%m')
   when event_type = 'purchase' then strftime(ts, '%Y-%m-%dT%H')
@@ -721,9 +748,15 @@ from (select (select count(distinct event_id) from extract_{name}) as s,
     not_null_power = ",".join(("event_id", *power.required, "event_date"))
     key_power = ",".join(power.business_key)
     bad_unit = "cast(event_id as bigint) % 71 = 0"
+    versions = "period, respondent, respondent_name, type, type_name, value, value_units"
     q["quality_report"] = " union all ".join(
         [
-            report("region_raw", "non_empty", "0", "(select 1)"),
+            report(
+                "region_raw",
+                "non_empty",
+                "case when count(*) = 0 then 1 else 0 end",
+                "extract_region",
+            ),
             report(
                 "region_raw",
                 "not_null(period,value)",
@@ -732,22 +765,44 @@ from (select (select count(distinct event_id) from extract_{name}) as s,
             ),
             report(
                 "region_raw",
-                "bounds(value)",
+                "bounds(value >= 0.0 and <= 100.0)",
                 violations_of("value < 0 or value > 100"),
                 "extract_region",
             ),
-            report("region_raw", "consistent(event_id)", "0", "(select 1)"),
-            report("region", f"not_null({not_null_region})", "0", "(select 1)"),
-            report("region", "allowed(type)", "0", "(select 1)"),
+            report(
+                "region_raw",
+                f"consistent(event_id: {versions.replace(' ', '')})",
+                conflicts("extract_region", "event_id", versions),
+                "(select 1)",
+            ),
+            report(
+                "region",
+                f"not_null({not_null_region})",
+                violations_of(" or ".join(f"{c} is null" for c in not_null_region.split(","))),
+                "silver_region",
+            ),
+            report(
+                "region", "allowed(type)", violations_of("type not in ('D', 'DF')"), "silver_region"
+            ),
             report("region", "allowed(value_units)", violations_of(bad_unit), "silver_region"),
-            report("region", "unique(event_id)", "0", "(select 1)"),
-            report("power", f"not_null({not_null_power})", "0", "(select 1)"),
+            report("region", "unique(event_id)", repeats("event_id"), "silver_region"),
+            report(
+                "power",
+                f"not_null({not_null_power})",
+                violations_of(" or ".join(f"{c} is null" for c in not_null_power.split(","))),
+                "silver_power",
+            ),
             *[
-                report("power", f"allowed({f.column})", "0", "(select 1)")
+                report(
+                    "power",
+                    f"allowed({f.column})",
+                    violations_of(f"{f.column} not in ({texts(f.allowed)})"),
+                    "silver_power",
+                )
                 for f in power.fields
                 if f.allowed
             ],
-            report("power", "unique(event_id)", "0", "(select 1)"),
+            report("power", "unique(event_id)", repeats("event_id"), "silver_power"),
             report(
                 "power",
                 "non_negative(generation_thousand_mwh,ash_content_pct)",
@@ -780,56 +835,128 @@ select count(*) as row_count, {violations_of('forecast_error_pct < -50 or foreca
   as invalid_count,
   {violations_of('forecast_error_pct < -50 or forecast_error_pct > 50')} = 0 as ok
 from gold_region where {RECENT}"""
+    planning_days = "date >= timestamp '2024-01-31 00:00:00' - interval 35 day"
+
+    def published(table: str, source: str, where: str, entity: str, *bounds) -> list[str]:
+        """The rules on a published mart, named as the engine names them."""
+        rows, entities = "count(*)", f"count(distinct {entity})"
+        return [
+            report(table, f"min_rows(1) where {where}", short_of(1, rows, True), source),
+            report(
+                table,
+                f"min_distinct({entity} 1) where {where}",
+                short_of(1, entities, True),
+                source,
+            ),
+            *[
+                report(
+                    table,
+                    f"bounds({column} >= 0.0{' and <= 100.0' if high else ''}) where {where}",
+                    violations_of(f"{column} < 0{f' or {column} > 100' if high else ''}"),
+                    source,
+                )
+                for column, high in bounds
+            ],
+        ]
+
+    as_of = "TIMESTAMP '2024-01-31 00:00:00'"
+    built = f"source_window_start = TIMESTAMP '2024-01-01 00:00:00' AND source_window_end = {as_of}"
     q["mart_checks"] = " union all ".join(
+        published(
+            "grid_operations_hourly",
+            f"status where {RECENT}",
+            f"period >= {as_of} - INTERVAL 14 DAYS",
+            "respondent",
+            ("coverage_ratio", False),
+            ("renewable_share_pct", True),
+        )
+        + published(
+            "resource_planning_daily",
+            f"planning where {planning_days}",
+            f"date >= {as_of} - INTERVAL 35 DAYS",
+            "respondent",
+            ("renewable_share_pct", True),
+            ("carbon_intensity_kg_per_mwh", False),
+        )
+        + published(
+            "region_demand_daily", "region_days", built, "respondent", ("daily_demand_mwh", False)
+        )
+        + published(
+            "electric_power_operations_monthly",
+            "power_rows",
+            built,
+            "fueltype_id",
+            ("generation_share_pct", True),
+        )
+    )
+    share = "renewable_share_pct"
+    outside = f"({share} < 10 or {share} > 20)"
+    grid, key = "grid_operations_hourly", "period, respondent, type"
+    q["broken_rules"] = " union all ".join(
         [
-            report("grid_operations_hourly", rule, bad, f"status where {RECENT}")
-            for rule, bad in (
-                ("min_rows(1)", "0"),
-                ("min_distinct(respondent)", "0"),
-                ("bounds(coverage_ratio)", "0"),
-                ("bounds(renewable_share_pct)", "0"),
-            )
-        ]
-        + [
-            report("resource_planning_daily", rule, "0", "planning")
-            for rule in (
-                "min_rows(1)",
-                "min_distinct(respondent)",
-                "bounds(renewable_share_pct)",
-                "bounds(carbon_intensity_kg_per_mwh)",
-            )
-        ]
-        + [
-            report("region_demand_daily", rule, "0", "region_days")
-            for rule in ("min_rows(1)", "min_distinct(respondent)", "bounds(daily_demand_mwh)")
-        ]
-        + [
-            report("electric_power_operations_monthly", rule, "0", "power_rows")
-            for rule in (
-                "min_rows(1)",
-                "min_distinct(fueltype_id)",
-                "bounds(generation_share_pct)",
-            )
+            report(
+                grid,
+                "min_rows(1000000) where respondent = 'PJM'",
+                short_of(1_000_000, "count(*) filter (where respondent = 'PJM')"),
+                "status",
+            ),
+            report(
+                grid,
+                "min_rows(1000000) where respondent = 'none'",
+                short_of(1_000_000, "count(*) filter (where respondent = 'none')", True),
+                "status",
+            ),
+            report(
+                grid, "min_distinct(respondent 99)", short_of(99, "count(distinct respondent)"), "status"
+            ),
+            report(
+                grid,
+                "min_distinct(respondent 99) where coverage_ratio < -1",
+                short_of(99, "count(distinct respondent) filter (where coverage_ratio < -1)", True),
+                "status",
+            ),
+            *[
+                report(
+                    grid,
+                    f"bounds({share} >= 10.0 and <= 20.0) where respondent {sign} 'PJM'",
+                    violations_of(f"respondent {sign} 'PJM' and {outside}"),
+                    "status",
+                )
+                for sign in ("=", "<>")
+            ],
+            report(
+                grid,
+                f"bounds({share} <= 20.0) where respondent = 'PJM'",
+                violations_of(f"respondent = 'PJM' and {share} > 20"),
+                "status",
+            ),
+            report(
+                grid,
+                "non_negative(forecast_error_mwh)",
+                violations_of("forecast_error_mwh < 0"),
+                "status",
+            ),
+            report(grid, "unique(respondent)", repeats("respondent"), "status"),
+            report("region", "not_null(event_id)", violations_of("event_id is null"), "silver_region"),
+            report("region", "allowed(type)", violations_of("type <> 'D'"), "silver_region"),
+            *[
+                report(
+                    "region",
+                    f"consistent({key.replace(' ', '')}: {columns.replace(' ', '')})",
+                    conflicts("silver_region", key, columns),
+                    "(select 1)",
+                )
+                for columns in ("respondent_name", "value", "value, loaded_at")
+            ],
+            report("region", f"unique({key.replace(' ', '')})", repeats(key), "silver_region"),
+            report(
+                "nothing",
+                "non_empty",
+                "case when count(*) = 0 then 1 else 0 end",
+                "silver_region where false",
+            ),
         ]
     )
-    checks = q["mart_checks"].split(" union all ")
-    bad = {
-        "bounds(coverage_ratio)": "coverage_ratio < 0",
-        "bounds(renewable_share_pct)": "renewable_share_pct < 0 or renewable_share_pct > 100",
-        "bounds(carbon_intensity_kg_per_mwh)": "carbon_intensity_kg_per_mwh < 0",
-        "bounds(daily_demand_mwh)": "daily_demand_mwh < 0",
-        "bounds(generation_share_pct)": "generation_share_pct < 0 or generation_share_pct > 100",
-        "min_rows(1)": None,
-        "min_distinct(respondent)": None,
-        "min_distinct(fueltype_id)": None,
-    }
-    filled = []
-    for text in checks:
-        rule = text.split("'")[3]
-        condition = bad[rule]
-        value = f"count(*) filter (where {condition})" if condition else "count(*) * 0"
-        filled.append(text.replace("cast(0 as bigint)", f"cast({value} as bigint)"))
-    q["mart_checks"] = " union all ".join(filled)
 
     # gold
     q["latest_by_key"] = f"select {shown(REGION_COLS)} from latest_region"
@@ -861,7 +988,8 @@ from (select s.*, d.fuel_category, d.emissions_factor_kg_per_mwh
   from silver_fuel s join dim_fuel d on s.fueltype = d.fueltype) group by fueltype"""
 
     # platinum
-    q["region_daily"] = f"select {shown(S.REGION_DAILY.names)} from region_days"
+    q["region_daily"] = f"""
+select {shown(S.REGION_DAILY.names)} from ({daily(f'select * from gold_region where {IN_WINDOW}')})"""
     mix_cols = ["total_generation_mwh", "renewable_generation_mwh", "fossil_generation_mwh"]
     q["fuel_mix_hourly"] = f"""
 select period, respondent, fuel_respondent_name,
@@ -881,7 +1009,9 @@ select {shown(['date', 'respondent'])}, {six('emissions_kg', 'emissions_kg')},
   {six('case when total_generation_mwh > 0 then emissions_kg / total_generation_mwh end', CARBON)}
 from fuel_days"""
     q["peak_hour_gas"] = f"select {shown(['date', 'respondent', 'peak_period', GAS])} from peaks"
-    q["power_mart"] = f"select {shown(S.POWER_MONTHLY.names)} from power_rows"
+    q["power_mart"] = f"""
+select {shown(S.POWER_MONTHLY.names)} from power_rows
+where period >= source_window_start and period < source_window_end"""
     q["lookback_window"] = f"""
 select {shown(S.GOLD_REGION.names)} from gold_region where {RECENT} and period < {ts(AS_OF)}"""
     q["window_filter"] = f"select {shown(S.GOLD_FUEL.names)} from gold_fuel where {IN_WINDOW}"
@@ -987,10 +1117,9 @@ select * from (select '{name}' as ranking, {entity} as respondent, {six(column,
             ("lowest_diversity", DIV, "asc"),
         )
     )
-    # New York is five hours behind UTC throughout the feed's month
     q["alert_volume"] = """
-select cast(cast(period - interval 5 hour as date) as varchar) as alert_day, severity,
-  count(*) as count from alerts group by 1, 2"""
+select cast(cast((period at time zone 'UTC') at time zone 'America/New_York' as date) as varchar)
+  as alert_day, severity, count(*) as count from alerts group by 1, 2"""
     q["series_long"] = " union all ".join(
         f"""select period, respondent, '{label}' as series, {six(column, 'value')}
 from status where {column} is not null"""
@@ -1004,6 +1133,8 @@ from status where {column} is not null"""
     q["history_thresholds"] = limits(PLANNING_QUANTILES, "limits")
     q["planning_priority"] = """
 select cast(date as varchar) as date, respondent, planning_priority from labelled"""
+    q["planning_priority_all_days"] = """
+select cast(date as varchar) as date, respondent, planning_priority from labelled_by_all"""
     q["planning_driver"] = """
 select cast(date as varchar) as date, respondent, primary_driver from labelled"""
     q["planning_ranked"] = f"""
@@ -1023,10 +1154,15 @@ from (select unnest([{labels}]) as label) p
 left join labelled l on l.planning_priority = p.label group by 1"""
     q["strategy_priority"] = f"""
 select cast(date as varchar) as date, respondent, {STRATEGY_LABEL} as strategy_priority
+from snapshot, snapshot_strategy_limits"""
+    q["strategy_priority_all_days"] = f"""
+select cast(date as varchar) as date, respondent, {STRATEGY_LABEL} as strategy_priority
 from planning, strategy_limits"""
     score_cols = ["carbon", "renewable", "gas", "clean", "diversity"]
     score_list = ", ".join(six(f"score_{c}", f"score_{c}") for c in score_cols)
     q["minmax_scores"] = f"""
+select cast(date as varchar) as date, respondent, {score_list} from snapshot_scores"""
+    q["minmax_scores_all_days"] = f"""
 select cast(date as varchar) as date, respondent, {score_list} from scores"""
     q["health_score"] = f"""
 select cast(date as varchar) as date, respondent,
@@ -1141,7 +1277,11 @@ select 'silver' as stage, '{S.FUEL}' as dataset_id, {STATUS}, expected_count, ac
             compared(
                 "silver",
                 S.POWER,
-                f"select {power_key} from silver_power",
+                f"""select {power_key} from (select event_id, max(period) as period,
+  max(location) as location, max(sector_id) as sector_id, max(fueltype_id) as fueltype_id
+  from extract_power where period is not null and location is not null and sector_id is not null
+  and fueltype_id is not null and sector_name is not null and fueltype_name is not null
+  and location_name is not null group by event_id)""",
                 f"select {power_key} from silver_power",
             ),
             compared("gold", S.POWER, power_gold, f"select {power_key} from gold_power"),
@@ -1180,8 +1320,9 @@ union all select {shown(S.GOLD_REGION.names)} from gold_region where {new}"""
     q["union_missing_columns"] = f"select {shown_fuel} from latest_fuel"
     q["write_dimension"] = f"""
 select {shown(dim_cols.split(', '))}, source_dataset_count from ({dimension(all_region)})"""
-    target = f"({daily(region_fact(first_half))})"
-    stage = f"({daily(f'select * from ({region_fact(second_half)}) where {new}')})"
+    target = f"({daily(f'select * from ({region_fact(first_half)}) where {IN_WINDOW}')})"
+    late = f"{new} and {IN_WINDOW}"
+    stage = f"({daily(f'select * from ({region_fact(second_half)}) where {late}')})"
     both = f"{target} t full join {stage} s on t.date = s.date and t.respondent = s.respondent"
 
     def upserted(peak: str) -> str:
@@ -1225,6 +1366,34 @@ from ids where period is not null"""
         CLEAN,
     ]
     q["export_csv"] = f"select {shown(extract)} from planning where respondent = '{FOCUS}'"
+    q["discrepancy_export"] = q["reconcile_diff"]
+    kinds = ("click", "error", "purchase", "signup", "view")
+    q["event_quantiles"] = "select " + ", ".join(
+        six(f"quantile_cont(value, {p / 100}) filter (where event_type = '{kind}')", f"{kind}_p{p}")
+        for kind in kinds
+        for p in (25, 50, 99)
+    ) + " from events"
+    q["merge_null_partition"] = f"""
+select event_id, case when respondent <> '{FOCUS}' then cast(event_date as varchar) end as event_date
+from silver_region"""
+    q["read_absent"] = """
+select 0 as rows, 'absent' as state union all select count(*), 'present' from gold_region"""
+    q["read_merged_schema"] = """
+select event_id, case when minute(loaded_at) >= 30 then fueltype_name end as fueltype_name,
+  case when minute(loaded_at) < 30 then 1 else 2 end as half from silver_fuel"""
+    q["table_has_rows"] = """
+select 'absent' as name, false as has_rows
+union all select 'empty', count(*) > 0 from gold_region where respondent = 'none'
+union all select 'full', count(*) > 0 from gold_region"""
+    # messages of every 43rd event are broken
+    q["validate_only"] = """
+select count(*) as checked, 0 as published from silver_fuel where cast(event_id as bigint) % 43 <> 0"""
+    several = "respondent in ('PJM', 'MISO', 'NYIS')"
+    q["alert_history"] = f"""
+select {shown(S.GRID_ALERTS.names)} from alerts where {inclusive} and {several}"""
+    q["planning_history"] = f"""
+select {shown(S.PLANNING_DAILY.names)} from planning
+where date >= date '2024-01-05' and date <= date '2024-01-20' and {several}"""
     return q
 
 

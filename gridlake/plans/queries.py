@@ -29,8 +29,10 @@ from gridlake.operators import (
     reconcile,
     serving,
     silver,
+    stats,
     windowing,
 )
+from gridlake.plans import jobs
 from gridlake.schemas import (
     FUEL,
     FUEL_SPEC,
@@ -54,6 +56,7 @@ BOUNDARY = datetime(2024, 2, 1, 6)
 MID = "2024-01-10"
 RUNS_AS_OF = datetime(2001, 8, 3)
 WINDOW = (datetime(2024, 1, 5), datetime(2024, 1, 20))
+POWER_WINDOW = (datetime(1996, 1, 1), datetime(1998, 1, 1))
 FOCUS = "PJM"
 CLOCKS = ("updated_at", "verified_at", "last_verified_at", "bronze_loaded_at")
 
@@ -183,6 +186,11 @@ def normalize_period_(spark: SparkSession, root: str) -> DataFrame:
     day = "yyyy-MM-dd'T'HH"
     text = (
         F.when(F.col("event_id") % 41 == 0, "not-a-date")
+        .when(F.col("event_id") % 41 == 1, F.date_format("ts", "HH:mm"))
+        .when(F.col("event_id") % 41 == 2, F.concat(F.date_format("ts", "yyyy"), F.lit("9")))
+        .when(F.col("event_id") % 41 == 3, F.date_format("ts", f"{day}:mm:ss' PST'"))
+        .when(F.col("event_id") % 41 == 4, F.date_format("ts", f"{day}:mm:ss'.250Z'"))
+        .when(F.col("event_id") % 41 == 5, F.date_format("ts", f"{day}:mm:ss'+02:00'"))
         .when(F.col("event_type") == "click", F.date_format("ts", "yyyy"))
         .when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM"))
         .when(F.col("event_type") == "purchase", F.date_format("ts", day))
@@ -371,15 +379,16 @@ def retention_ratio(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def quality_report(spark: SparkSession, root: str) -> DataFrame:
-    faulty = tables.materialized(feed.bronze_region(spark, root, faulty=True), "bronze-region")
-    region = tables.materialized(silver.clean(faulty, REGION_SPEC), "silver-region")
+    faulty = silver.extract(feed.bronze_region(spark, root, faulty=True), REGION_SPEC)
+    typed = tables.materialized(faulty, "extract-region")
+    region = tables.materialized(silver.newest_complete(typed, REGION_SPEC), "silver-region")
     power = tables.materialized(silver_power(spark, root), "silver-power")
     return quality.union_reports(
         [
             (
                 "region_raw",
                 quality.report(
-                    silver.extract(faulty, REGION_SPEC),
+                    typed,
                     [
                         quality.NonEmpty(),
                         quality.NotNull(("period", "value")),
@@ -479,6 +488,50 @@ def mart_checks(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query
+def broken_rules(spark: SparkSession, root: str) -> DataFrame:
+    """Rules that the tables break, among them several that differ in one part only."""
+    layers = Stored(spark, root)
+    hours = tables.materialized(layers.status, "grid-status")
+    region = tables.materialized(silver_region(spark, root), "silver-region")
+    return quality.union_reports(
+        [
+            (
+                "grid_operations_hourly",
+                quality.report(
+                    hours,
+                    [
+                        quality.MinRows(1_000_000, "respondent = 'PJM'"),
+                        quality.MinRows(1_000_000, "respondent = 'none'", allow_empty=True),
+                        quality.MinDistinct("respondent", 99),
+                        quality.MinDistinct("respondent", 99, "coverage_ratio < -1", True),
+                        quality.BoundsWhere("renewable_share_pct", 10.0, 20.0, "respondent = 'PJM'"),
+                        quality.BoundsWhere("renewable_share_pct", 10.0, 20.0, "respondent <> 'PJM'"),
+                        quality.BoundsWhere("renewable_share_pct", None, 20.0, "respondent = 'PJM'"),
+                        quality.NonNegative(("forecast_error_mwh",)),
+                        quality.Unique(("respondent",)),
+                    ],
+                ),
+            ),
+            (
+                "region",
+                quality.report(
+                    region,
+                    [
+                        quality.NotNull(("event_id",)),
+                        quality.Allowed("type", ("D",)),
+                        quality.Consistent(REGION_SPEC.business_key, ("respondent_name",)),
+                        quality.Consistent(REGION_SPEC.business_key, ("value",)),
+                        quality.Consistent(REGION_SPEC.business_key, ("value", "loaded_at")),
+                        quality.Unique(REGION_SPEC.business_key),
+                    ],
+                ),
+            ),
+            ("nothing", quality.report(region.filter("false"), [quality.NonEmpty()])),
+        ]
+    )
+
+
 # --- gold ---------------------------------------------------------------------
 
 
@@ -538,7 +591,8 @@ def dim_fuel_type(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def region_daily(spark: SparkSession, root: str) -> DataFrame:
-    return present(marts.region_daily(gold_region(spark, root), *WINDOW, AS_OF))
+    facts = windowing.in_window(gold_region(spark, root), "period", *WINDOW)
+    return present(marts.region_daily(facts, *WINDOW, AS_OF))
 
 
 @query
@@ -613,8 +667,9 @@ def peak_hour_gas(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def power_mart(spark: SparkSession, root: str) -> DataFrame:
-    facts = tables.materialized(gold_power(spark, root), "gold-power")
-    return present(marts.power_mart(facts, *WINDOW, AS_OF))
+    facts = windowing.in_window(gold_power(spark, root), "period", *POWER_WINDOW)
+    stored = tables.materialized(facts, "gold-power")
+    return present(marts.power_mart(stored, *POWER_WINDOW, AS_OF))
 
 
 @query
@@ -783,10 +838,13 @@ def history_thresholds(spark: SparkSession, root: str) -> DataFrame:
     return present(analytics.planning_thresholds(stored_planning(spark, root)))
 
 
-def with_limits(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """All planning days, and thresholds taken over all of them."""
+def with_limits(
+    spark: SparkSession, root: str, all_days: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """All planning days, and thresholds of the latest one or of all of them."""
     days = stored_planning(spark, root)
-    return days, tables.materialized(analytics.planning_thresholds(days), "limits")
+    source = days if all_days else serving.latest_snapshot(days, "date")
+    return days, tables.materialized(analytics.planning_thresholds(source), "limits")
 
 
 @query
@@ -795,6 +853,13 @@ def planning_priority(spark: SparkSession, root: str) -> DataFrame:
     return present(labelled.select("date", "respondent", "planning_priority"))
 
 
+@query
+def planning_priority_all_days(spark: SparkSession, root: str) -> DataFrame:
+    """The same with thresholds taken over all days."""
+    labelled = analytics.planning_priority(*with_limits(spark, root, all_days=True))
+    return present(labelled.select("date", "respondent", "planning_priority"))
+
+
 @query
 def planning_driver(spark: SparkSession, root: str) -> DataFrame:
     labelled = analytics.planning_driver(*with_limits(spark, root))
@@ -815,6 +880,15 @@ def priority_history(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def strategy_priority(spark: SparkSession, root: str) -> DataFrame:
+    snapshot = stored_snapshot(spark, root)
+    limits = tables.materialized(analytics.strategy_thresholds(snapshot), "limits")
+    labelled = analytics.strategy_priority(snapshot, limits)
+    return present(labelled.select("date", "respondent", "strategy_priority"))
+
+
+@query
+def strategy_priority_all_days(spark: SparkSession, root: str) -> DataFrame:
+    """All days with thresholds taken over all of them."""
     days = stored_planning(spark, root)
     limits = tables.materialized(analytics.strategy_thresholds(days), "limits")
     labelled = analytics.strategy_priority(days, limits)
@@ -828,6 +902,12 @@ def scored_days(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def minmax_scores(spark: SparkSession, root: str) -> DataFrame:
+    scored = analytics.minmax_scores(stored_snapshot(spark, root))
+    return present(scored.select("date", "respondent", *analytics.SCORES))
+
+
+@query
+def minmax_scores_all_days(spark: SparkSession, root: str) -> DataFrame:
     return present(scored_days(spark, root).select("date", "respondent", *analytics.SCORES))
 
 
@@ -1114,8 +1194,11 @@ def daily_runs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Two overlapping builds of the daily mart, from the first and the second half run."""
     first, second = half_hours(silver_region(spark, root))
     late = F.col("event_date") >= F.lit(MID)
-    target = marts.region_daily(gold.region_hourly(first), *WINDOW, AS_OF)
-    stage = marts.region_daily(gold.region_hourly(second).filter(late), *WINDOW, AS_OF)
+    older, newer = (
+        windowing.in_window(gold.region_hourly(rows), "period", *WINDOW) for rows in (first, second)
+    )
+    target = marts.region_daily(older, *WINDOW, AS_OF)
+    stage = marts.region_daily(newer.filter(late), *WINDOW, AS_OF)
     return target, stage
 
 
@@ -1173,5 +1256,101 @@ def export_csv(spark: SparkSession, root: str) -> DataFrame:
     return present(spark.read.schema(extract.schema).csv(path, header=True))
 
 
+@query
+def discrepancy_export(spark: SparkSession, root: str) -> DataFrame:
+    """The keys on one side only, written as CSV and read back."""
+    path = scratch_path(spark, "discrepancies")
+    found = reconcile.reconcile(*compared(spark, root))
+    tables.export_csv(found, path)
+    return spark.read.schema(found.schema).csv(path, header=True)
+
+
+@query
+def event_quantiles(spark: SparkSession, root: str) -> DataFrame:
+    """Quartiles of the value of each type of event, over all events."""
+    kinds = ("click", "error", "purchase", "signup", "view")
+    rows = feed.load(spark, root, "events").select(
+        *[F.when(F.col("event_type") == kind, F.col("value")).alias(kind) for kind in kinds]
+    )
+    wanted = {f"{kind}_p{p}": (kind, p / 100) for kind in kinds for p in (25, 50, 99)}
+    return present(stats.exact_quantiles(rows, wanted))
+
+
+@query
+def merge_null_partition(spark: SparkSession, root: str) -> DataFrame:
+    """Two merges whose rows for one respondent have no partition value."""
+    path = scratch_path(spark, "null-partition")
+    hidden = F.when(F.col("respondent") != FOCUS, F.col("event_date"))
+    for part in half_hours(silver_region(spark, root)):
+        rows = part.withColumn("event_date", hidden)
+        tables.merge_partitions(rows, path, ["event_id"], ["loaded_at", "period"])
+    return present(
+        tables.read_table(spark, path, REGION_SPEC.schema).select("event_id", "event_date")
+    )
+
+
+@query
+def read_absent(spark: SparkSession, root: str) -> DataFrame:
+    """A table that does not exist yet has its columns and no rows; then it has rows."""
+    path = scratch_path(spark, "absent")
+    before = tables.read_table(spark, path, GOLD_REGION).agg(F.count("*").alias("rows"))
+    counted = [before.withColumn("state", F.lit("absent"))]
+    counted = [tables.materialized(counted[0], "absent-count")]
+    gold_region(spark, root).write.parquet(path)
+    after = tables.read_table(spark, path, GOLD_REGION).agg(F.count("*").alias("rows"))
+    return counted[0].unionByName(after.withColumn("state", F.lit("present")))
+
+
+@query
+def read_merged_schema(spark: SparkSession, root: str) -> DataFrame:
+    """Files with and without a column, read as one table."""
+    path = scratch_path(spark, "merged")
+    first, second = half_hours(silver_fuel(spark, root))
+    first.drop("fueltype_name").write.parquet(f"{path}/half=1")
+    second.write.parquet(f"{path}/half=2")
+    rows = tables.read_merged_schema(spark, path)
+    return rows.select("event_id", "fueltype_name", F.col("half").cast("int").alias("half"))
+
+
+@query
+def table_has_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Whether tables hold rows: one that is absent, one that is empty and one that is not."""
+    rows = gold_region(spark, root)
+    empty, full = scratch_path(spark, "empty"), scratch_path(spark, "full")
+    rows.filter("respondent = 'none'").write.parquet(empty)
+    rows.write.parquet(full)
+    found = [
+        (name, tables.has_rows(spark, path, GOLD_REGION))
+        for name, path in (("absent", f"{full}-none"), ("empty", empty), ("full", full))
+    ]
+    return spark.createDataFrame(found, "name string, has_rows boolean")
+
+
+@query
+def validate_only(spark: SparkSession, root: str) -> DataFrame:
+    """Cleaning that only checks: its rows, and what is in the table afterwards."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    stored = bronze.parse_envelope(feed.messages(spark, root, FUEL_SPEC))
+    tables.append_partitioned(stored, lake.bronze)
+    cleaned = jobs.clean_dataset(spark, lake, FUEL, validate_only=True)
+    published = tables.read_table(spark, lake.silver(FUEL_SPEC), FUEL_SPEC.schema)
+    return cleaned.agg(F.count("*").alias("checked")).withColumn(
+        "published", published.agg(F.count("*")).scalar()
+    )
+
+
+@query
+def alert_history(spark: SparkSession, root: str) -> DataFrame:
+    alerts = marts.grid_alerts(stored_status(spark, root), AS_OF)
+    return present(serving.history(alerts, "period", *WINDOW, ["PJM", "MISO", "NYIS"]))
+
+
+@query
+def planning_history(spark: SparkSession, root: str) -> DataFrame:
+    days = stored_planning(spark, root)
+    first, last = (day.date() for day in WINDOW)
+    return present(serving.history(days, "date", first, last, ["PJM", "MISO", "NYIS"]))
+
+
 def registered() -> dict[str, Query]:
     return {name.rstrip("_"): function for name, function in QUERIES.items()}
