@@ -85,6 +85,12 @@ IN_WINDOW = f"period >= {ts(WINDOW[0])} and period < {ts(WINDOW[1])}"
 RECENT = f"period >= {ts(AS_OF)} - interval 14 day"
 
 
+# with microseconds where the instant has a part of a second
+INGESTED = """(strftime(ingestion_ts, '%Y-%m-%dT%H:%M:%S') || case when
+  date_trunc('second', ingestion_ts) = ingestion_ts then '' else strftime(ingestion_ts, '.%f') end
+  || '+00:00')"""
+
+
 def jtext(column: str) -> str:
     return f"coalesce('\"' || {column} || '\"', 'null')"
 
@@ -508,10 +514,10 @@ select *, {identity(S.REGION_SPEC, region_json())} as sha from ev
 CTES["batch"] = f"""
 select sha as event_id, '{S.REGION}' as dataset, 'eia_api_v2' as source,
   strftime(period, '%Y-%m-%dT%H:%M:%S+00:00') as event_timestamp,
-  strftime(ingestion_ts, '%Y-%m-%dT%H:%M:%S+00:00') as ingestion_timestamp,
+  {INGESTED} as ingestion_timestamp,
   'feed_region_data' as kafka_topic, kafka_partition, kafka_offset,
   ingestion_ts as kafka_timestamp, period as event_ts,
-  date_trunc('second', ingestion_ts) as ingestion_ts, cast(period as date) as event_date,
+  ingestion_ts, cast(period as date) as event_date,
   '{S.REGION}' as dataset_partition, cast(year(period) as int) as event_year,
   cast(month(period) as int) as event_month, cast(day(period) as int) as event_day,
   cast(hour(period) as int) as event_hour, respondent_text as respondent, type
@@ -677,12 +683,12 @@ from (select *, case when event_id % 41 = 0 then 'not-a-date'
     q["build_envelopes"] = f"""
 select {identity(fuel, fuel_json())} as event_id, '{S.FUEL}' as dataset, 'eia_api_v2' as source,
   strftime(period, '%Y-%m-%dT%H:%M:%S+00:00') as event_timestamp,
-  strftime(ingestion_ts, '%Y-%m-%dT%H:%M:%S+00:00') as ingestion_timestamp,
+  {INGESTED} as ingestion_timestamp,
   'hourly' as frequency, '{fuel.route}' as route, respondent,
   '{RUN_ID}' as ingestion_run_id, '{FEED_WINDOW[1]}' as source_window_end,
   fueltype, fueltype_name as type_name, fuel_value_text as value from ev"""
-    q["quarantine_rows"] = """
-select sha as event_id, strftime(ingestion_ts, '%Y-%m-%dT%H:%M:%S+00:00') as ingestion_timestamp,
+    q["quarantine_rows"] = f"""
+select sha as event_id, {INGESTED} as ingestion_timestamp,
   value_text as value, 'Invalid period value: ' || period_text as error
 from ids where period is null"""
 
@@ -1350,7 +1356,7 @@ select {shown(dim_cols.split(', '))}, source_dataset_count from ({dimension(all_
     q["publish_records"] = f"""
 select sha as key, '{{"event_id":"' || sha || '","dataset":"{S.REGION}","source":"eia_api_v2",'
   || '"event_timestamp":"' || strftime(period, '%Y-%m-%dT%H:%M:%S+00:00')
-  || '","ingestion_timestamp":"' || strftime(ingestion_ts, '%Y-%m-%dT%H:%M:%S+00:00') || '",'
+  || '","ingestion_timestamp":"' || {INGESTED} || '",'
   || '{meta[0]}' || {jtext('respondent_text')} || '{meta[1]}' || {region_json()} || '}}' as value
 from ids where period is not null"""
     extract = [
