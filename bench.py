@@ -44,6 +44,14 @@ HEADLINE = (
     "grid_watchlist",
     "planning_thresholds",
     "reconcile_summary",
+    # write paths and the widest plans
+    "ingest_available_now",
+    "merge_partitions",
+    "upsert_table",
+    "dim_fuel_type",
+    "mart_checks",
+    "reconcile_snapshot",
+    "table_counts",
 )
 
 
