@@ -37,7 +37,7 @@ SAMPLES, SEED = 2, 20
 ZIPF, SLOPE = 10.0, 1.0
 BLANK = "▁"
 #: Characters whose tables are held at once; a longer text is held alone.
-CHARACTERS = 1 << 18
+CHARACTERS = 1 << 20
 #: The size of the tables pieces are looked up in; small enough for a processor's cache.
 SLOT_BITS = 17
 _U = np.uint64
@@ -287,6 +287,14 @@ class Lattice:
             self.width[by_bytes] = 1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF)
         weight[by_bytes] = tables.byte * self.width[by_bytes]
         self.weight = weight
+        #: the id of an edge that is one id
+        self.single = self.piece.astype(np.int32)
+        if tables.vocabulary.byte_ids:
+            ascii_only = by_bytes & (self.piece < tables.n + 128)
+            table = np.array(tables.vocabulary.byte_ids, np.int32)
+            self.single[ascii_only] = table[self.piece[ascii_only] - tables.n]
+        else:
+            self.single[by_bytes] = tables.vocabulary.unknown
 
     def _sum(self) -> None:
         """The log of all ways from each place to its atom's end, and the edges' probabilities."""
@@ -322,11 +330,10 @@ class Lattice:
     def _edges(self, node: int) -> range:
         return range(int(self.head[node]), int(self.head[node] + self.size[node]))
 
-    def sample(self, tokens: np.ndarray, key: np.ndarray, place: np.ndarray, draw: int) -> _Paths:
+    def sample(self, tokens: np.ndarray, stream: np.ndarray) -> _Paths:
         """One path of each atom, drawn by its probability."""
-        node, stop = self.start[self.atom[tokens]].copy(), self.end[self.atom[tokens]]
+        node, stop = self.start[self.atom[tokens]], self.end[self.atom[tokens]]
         chance = np.zeros(len(tokens))
-        stream = _stream(key, draw, place)
         alive = np.arange(len(tokens))
         steps: list[tuple[np.ndarray, np.ndarray]] = []
         while len(alive):
@@ -473,33 +480,38 @@ class _Search:
         total = sum(float(np.exp(lattice.log_chance[list(path)].sum())) for path in excluded)
         return float(np.log(1.0 - total)) if total < 1.0 else -np.inf
 
-    def pop(self) -> bool:
-        """Draw the path of the best open set; False if there is none."""
+    def branch(self) -> int | None:
+        """Take the best open set and draw its path up to the place where it branches off.
+
+        Returns the place after it, from which on the path is free; None without a set.
+        """
         if not self.open:
-            return False
+            return None
         best = max(range(len(self.open)), key=lambda i: self.open[i][0])
         bound, draw, place, excluded = self.open.pop(best)
         excluded = excluded or [self._path(draw, place)]
-        number = len(self.draws)
-        stream = _stream(self.key, number, place)
+        stream = _stream(self.key, len(self.draws), place)
         uniforms = (float(_uniform(stream, i)[0]) for i in range(1 << 30))
-        lattice, old = self.lattice, self.draws[draw]
-        branch = lattice.other_path(int(lattice.atom[self.tokens[place]]), excluded, uniforms)
-        rest = np.arange(place + 1, len(self.tokens))
-        new = lattice.sample(self.tokens[rest], np.broadcast_to(self.key, len(rest)), rest, number)
+        atom = int(self.lattice.atom[self.tokens[place]])
+        own = self.lattice.other_path(atom, excluded, uniforms)
+        self.branched = (bound, draw, place, excluded, own)
+        return place + 1
+
+    def complete(self, rest: _Paths) -> None:
+        """The drawn path, with the free part sampled."""
+        bound, draw, place, excluded, own = self.branched
+        old = self.draws[draw]
         kept = int(old.counts[:place].sum())
+        chance = self.lattice.log_chance[list(own)].sum()
         self.draws.append(
             _Paths(
-                np.concatenate([old.edges[:kept], np.array(branch, np.int64), new.edges]),
-                np.concatenate([old.counts[:place], [len(branch)], new.counts]),
-                np.concatenate(
-                    [old.chance[:place], [lattice.log_chance[list(branch)].sum()], new.chance]
-                ),
+                np.concatenate([old.edges[:kept], np.array(own, np.int64), rest.edges]),
+                np.concatenate([old.counts[:place], [len(own)], rest.counts]),
+                np.concatenate([old.chance[:place], [chance], rest.chance]),
             )
         )
         self.perturbed.append(bound)
-        self._split(number, place, bound, [*excluded, branch])
-        return True
+        self._split(len(self.draws) - 1, place, bound, [*excluded, own])
 
     def threshold(self) -> float:
         """The largest perturbed value that was not drawn."""
@@ -507,18 +519,16 @@ class _Search:
 
 
 #: Places of a text that are split at once.
-SPLIT_PLACES = 256
+SPLIT_PLACES = 128
 
 
 def _ids(lattice: Lattice, edges: np.ndarray) -> np.ndarray:
     """Edges as piece ids, characters without a piece as bytes."""
-    pieces, width = lattice.piece[edges], lattice.width[edges]
-    n, vocabulary = lattice.tables.n, lattice.tables.vocabulary
+    width = lattice.width[edges]
+    if len(width) == 0 or width.max() == 1:
+        return lattice.single[edges]
+    pieces, n, vocabulary = lattice.piece[edges], lattice.tables.n, lattice.tables.vocabulary
     spelled = pieces >= n
-    if not spelled.any():
-        return pieces.astype(np.int32)
-    if not vocabulary.byte_ids:
-        return np.where(spelled, vocabulary.unknown, pieces).astype(np.int32)
     result = np.repeat(pieces, width)
     ends = np.cumsum(width)
     table = np.array(vocabulary.byte_ids)
@@ -544,31 +554,52 @@ def segment(
         raise ValueError("at least one sample")
     lattice = Lattice(texts, tables)
     counts = lattice.last - lattice.first
-    tokens = np.arange(len(lattice.atom))
-    place = _ranges(np.zeros(len(counts), np.int64), counts)
     seeds = np.array(keys, np.int64).view(_U)
-    drawn = lattice.sample(tokens, np.repeat(seeds, counts), place, 0)
-    ends = np.concatenate([[0], np.cumsum(drawn.counts)])
-    result = []
-    for text, (first, last) in enumerate(zip(lattice.first, lattice.last, strict=True)):
-        if first == last:
-            result.append([])
-            continue
-        paths = _Paths(
-            drawn.edges[ends[first] : ends[last]], drawn.counts[first:last], drawn.chance[first:last]
-        )
-        search = _Search(lattice, tokens[first:last], paths, int(seeds[text]), samples)
-        while len(search.draws) < samples and search.pop():
-            pass
-        threshold = search.threshold()
-        found = []
-        for paths, perturbed in zip(search.draws, search.perturbed, strict=True):
-            chance = float(paths.chance.sum())
-            found.append(
-                Segmentation(_ids(lattice, paths.edges), chance, perturbed, _log_inclusion(chance, threshold))
+
+    def draw(number: int, which: list[int], places: list[int]) -> list[_Paths]:
+        """Sampled paths of the listed texts from a place on, all at once."""
+        own = np.array(which, np.int64)
+        from_place = np.array(places, np.int64)
+        lengths = counts[own] - from_place
+        place = _ranges(from_place, lengths)
+        tokens = np.repeat(lattice.first[own], lengths) + place
+        paths = lattice.sample(tokens, _stream(np.repeat(_stream(seeds[own], number), lengths), place))
+        cuts = np.cumsum(lengths)[:-1]
+        edges = np.cumsum(paths.counts)
+        edge_cuts = np.concatenate([[0], edges])[cuts]
+        return [
+            _Paths(*parts)
+            for parts in zip(
+                np.split(paths.edges, edge_cuts),
+                np.split(paths.counts, cuts),
+                np.split(paths.chance, cuts),
+                strict=True,
             )
-        result.append(found)
-    return result
+        ]
+
+    searches: dict[int, _Search] = {}
+    some = [i for i in range(len(texts)) if counts[i]]
+    for i, paths in zip(some, draw(0, some, [0] * len(some)) if some else [], strict=True):
+        tokens = np.arange(lattice.first[i], lattice.last[i])
+        searches[i] = _Search(lattice, tokens, paths, int(seeds[i]), samples)
+    for number in range(1, samples):
+        branched = {i: search.branch() for i, search in searches.items() if len(search.draws) == number}
+        places = {i: place for i, place in branched.items() if place is not None}
+        if not places:
+            break
+        for i, paths in zip(places, draw(number, list(places), list(places.values())), strict=True):
+            searches[i].complete(paths)
+    return [_segmentations(searches[i]) if i in searches else [] for i in range(len(texts))]
+
+
+def _segmentations(search: _Search) -> list[Segmentation]:
+    threshold = search.threshold()
+    found = []
+    for paths, perturbed in zip(search.draws, search.perturbed, strict=True):
+        chance = float(paths.chance.sum())
+        ids = _ids(search.lattice, paths.edges)
+        found.append(Segmentation(ids, chance, perturbed, _log_inclusion(chance, threshold)))
+    return found
 
 
 def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -643,5 +674,5 @@ def sample_segmentations(
         sampled,
         f"doc_id {kind}, sample int, ids array<int>, log_prob double, perturbed double,"
         " log_inclusion double, decoded boolean",
-        rows=200,
+        rows=400,
     )
