@@ -166,8 +166,10 @@ def dim_respondent(
     if fuel is not None:
         parts.append(observed(fuel, "event_date", FUEL, F.lit(None)))
     if prior is not None:
-        for day in ("first_seen_date", "last_seen_date"):
-            parts.append(observed(prior, day, None, F.col("source_dataset_count")))
+        # both dates of a row from one pass over the dimension
+        dates = F.explode(F.array("first_seen_date", "last_seen_date")).alias("seen")
+        seen = prior.select("respondent", "respondent_name", "source_dataset_count", dates)
+        parts.append(observed(seen, "seen", None, F.col("source_dataset_count")))
     if not parts:
         raise ValueError("dim_respondent needs a region or a fuel source")
     observations = parts[0]

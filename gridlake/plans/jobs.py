@@ -126,7 +126,7 @@ def read_mart(spark: SparkSession, lake: Lake, mart: Mart) -> DataFrame:
 
 def _staged(df: DataFrame, rules: Sequence[Rule], label: str) -> DataFrame:
     """Store ``df`` and return it once its rules hold."""
-    stage = tables.materialized(df, label.replace(".", "-"))
+    stage = tables.write_stage(df, label.replace(".", "-"))
     check(stage, rules, label)
     return stage
 

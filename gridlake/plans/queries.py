@@ -129,7 +129,10 @@ class Stored:
 
     @cached_property
     def gold_fuel(self) -> DataFrame:
-        return tables.materialized(gold.fuel_hourly(self.silver_fuel), "gold-fuel")
+        # the cleaned rows are stored only where the dimension reads them too
+        stored = "silver_fuel" in self.__dict__
+        cleaned = self.silver_fuel if stored else silver_fuel(self.spark, self.root)
+        return tables.materialized(gold.fuel_hourly(cleaned), "gold-fuel")
 
     @property
     def dim_fuel(self) -> DataFrame:
@@ -147,7 +150,8 @@ class Stored:
 
     @property
     def planning(self) -> DataFrame:
-        return marts.planning_daily(self.gold_region, self.gold_fuel, self.dim_fuel, AS_OF)
+        fuels = self.dim_fuel
+        return marts.planning_daily(self.gold_region, self.gold_fuel, fuels, AS_OF)
 
 
 def status(spark: SparkSession, root: str) -> DataFrame:
