@@ -148,24 +148,24 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
         .join(degrees.withColumnRenamed("node", "mark"), "mark")
         .select("mark", "component", "degree", "root")
     )
-    return (
-        marked.join(
-            classes.join(named, "mark", "left").select(
-                "mark",
-                F.coalesce("component", "least").alias("component_id"),
-                F.coalesce("degree", F.lit(0)).alias("n_links"),
-                F.coalesce("root", "mark").alias("root"),
-            ),
+    # stored, so that the join below has two plain sides and adaptive execution can split
+    # a fingerprint that very many rows share
+    names = materialized(
+        classes.join(named, "mark", "left").select(
             "mark",
-        )
-        .select(
-            "doc_id",
-            "body",
-            F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"),
-            "component_id",
-            "n_links",
-            "root",
-        )
+            F.coalesce("component", "least").alias("component_id"),
+            F.coalesce("degree", F.lit(0)).alias("n_links"),
+            F.coalesce("root", "mark").alias("root"),
+        ),
+        "names",
+    )
+    return marked.join(names, "mark").select(
+        "doc_id",
+        "body",
+        F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"),
+        "component_id",
+        "n_links",
+        "root",
     )
 
 
