@@ -21,6 +21,7 @@ library's: blanks are ``▁``, one is put in front, and characters without a pie
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -43,6 +44,7 @@ SLOT_BITS = 17
 _U = np.uint64
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
+_MASK = (1 << 64) - 1
 #: No noise of 53-bit numbers is larger.
 _MOST_NOISE = 38.0
 
@@ -54,20 +56,32 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _step(counter: np.ndarray | int) -> np.ndarray:
+    if isinstance(counter, int):
+        return _U(_FACTOR * (counter + 1) & _MASK)
+    return (counter.astype(_U) + _U(1)) * _U(_FACTOR)
+
+
 def _stream(key: np.ndarray, *counters: np.ndarray | int) -> np.ndarray:
-    """A 64-bit state that is a function of a key and counters."""
-    with np.errstate(over="ignore"):
-        x = np.asarray(key, _U)
-        for counter in counters:
-            x = _mix(x + _U(_FACTOR) * (np.asarray(counter).astype(_U) + _U(1)))
-        return x
+    """An array of 64-bit states that are a function of keys and counters."""
+    for counter in counters:
+        key = _mix(key + _step(counter))
+    return key
 
 
 def _uniform(stream: np.ndarray, step: int = 0) -> np.ndarray:
     """Numbers in (0, 1), one per state; others for each step."""
-    with np.errstate(over="ignore"):
-        x = _mix(stream + _U(_FACTOR * (step + 1) & 0xFFFFFFFFFFFFFFFF))
-        return ((x >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53
+    x = _mix(stream + _step(step))
+    return ((x >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53
+
+
+def _uniforms(state: int) -> Iterator[float]:
+    """The numbers of one state, by plain integers."""
+    for step in range(1 << 30):
+        x = state + _FACTOR * (step + 1) & _MASK
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _MASK
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _MASK
+        yield (((x ^ (x >> 31)) >> 11) + 0.5) * 2.0**-53
 
 
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -79,8 +93,7 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _powers(factor: int, n: int) -> np.ndarray:
     factors = np.full(n + 1, factor, _U)
     factors[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(factors, dtype=_U)
+    return np.cumprod(factors, dtype=_U)
 
 
 
@@ -359,33 +372,41 @@ class Lattice:
     def other_path(self, atom: int, excluded: list[tuple[int, ...]], uniforms: Iterator[float]) -> tuple[int, ...]:
         """A path of one atom, drawn from all but the excluded ones."""
         node, end, path = int(self.start[atom]), int(self.end[atom]), []
-        rest = list(excluded)
+        rest = [(other, self._tails(other)) for other in excluded]
         while node < end:
-            masses = []
-            for e in self._edges(node):
-                mass = 1.0
-                for other in rest:
-                    if other[len(path)] == e:
-                        mass -= float(np.exp(self.log_chance[list(other[len(path) + 1 :])].sum()))
-                # an excluded path that is complete leaves nothing; rounding must not either
-                alone = any(o[len(path)] == e for o in rest) and not self._others(int(self.target[e]), rest, len(path), e)
-                masses.append(0.0 if alone else max(mass, 0.0) * float(np.exp(self.log_chance[e])))
+            edges, depth = self._edges(node), len(path)
+            masses = [math.exp(x) for x in self.log_chance[edges.start : edges.stop].tolist()]
+            for i, e in enumerate(edges):
+                own = [(other, tails) for other, tails in rest if other[depth] == e]
+                if own:
+                    left = 1.0 - sum(tails[depth + 1] for _, tails in own)
+                    # excluded paths may be all there are; rounding must not leave a rest then
+                    more = self._others(int(self.target[e]), [other for other, _ in own], depth)
+                    masses[i] *= max(left, 0.0) if more else 0.0
             u, chosen = next(uniforms) * sum(masses), None
-            for e, mass in zip(self._edges(node), masses, strict=True):
+            for e, mass in zip(edges, masses, strict=True):
                 if mass > 0:
                     chosen = e
                     u -= mass
                     if u < 0:
                         break
             path.append(chosen)
-            rest = [o for o in rest if len(o) >= len(path) and o[len(path) - 1] == chosen]
+            rest = [(other, tails) for other, tails in rest if other[depth] == chosen]
             node = int(self.target[chosen])
         return tuple(path)
 
-    def _others(self, node: int, rest: list[tuple[int, ...]], depth: int, edge: int) -> bool:
-        """Whether more paths go on from ``node`` than the excluded ones through ``edge``."""
-        own = {o[depth + 1 :] for o in rest if o[depth] == edge}
-        return self.paths_from(node, len(own) + 1) > len(own)
+    def _tails(self, path: tuple[int, ...]) -> list[float]:
+        """The probability of the path's rest from each of its places on."""
+        tails, total = [1.0], 0.0
+        for chance in reversed(self.log_chance[list(path)].tolist()):
+            total += chance
+            tails.append(math.exp(total))
+        return tails[::-1]
+
+    def _others(self, node: int, own: list[tuple[int, ...]], depth: int) -> bool:
+        """Whether more paths go on from ``node`` than the rests of the given ones."""
+        rests = len({path[depth + 1 :] for path in own})
+        return self.paths_from(node, rests + 1) > rests
 
     def paths_from(self, node: int, limit: int) -> int:
         """The number of paths from a place to its atom's end, counted up to ``limit``."""
@@ -434,47 +455,55 @@ class _Search:
     last for the threshold.
     """
 
-    def __init__(self, lattice: Lattice, tokens: np.ndarray, paths: _Paths, key: int, samples: int):
-        self.lattice, self.tokens, self.samples = lattice, tokens, samples
+    def __init__(self, lattice: Lattice, first: int, paths: _Paths, key: int, samples: int):
+        self.lattice, self.first, self.samples = lattice, first, samples
         self.key = np.full(1, key, _U)
         gumbel = -np.log(-np.log(_uniform(_stream(self.key, 0, 0), 1 << 30)))
         self.draws = [paths]
         self.perturbed = [float(gumbel[0])]
         #: open sets: bound, draw they branch off from, place, excluded paths or None
         self.open: list[tuple[float, int, int, list | None]] = []
-        self._split(0, 0, float(gumbel[0]), None)
+        #: what the last draw left to split: from which place on, and what is excluded there
+        self.left: tuple[int, list | None] = (0, None)
+
+    def _atom(self, place: int) -> int:
+        return int(self.lattice.atom[self.first + place])
 
     def _path(self, draw: int, place: int) -> tuple[int, ...]:
         paths = self.draws[draw]
         end = int(paths.counts[: place + 1].sum())
         return tuple(int(e) for e in paths.edges[end - int(paths.counts[place]) : end])
 
-    def _split(self, draw: int, first: int, bound: float, excluded: list | None) -> None:
-        """What is left of a set without the path drawn from it, as sets from ``first`` on."""
-        chance = self.draws[draw].chance
-        before = np.cumsum(chance) - chance
+    def split(self, bounds: np.ndarray, before: np.ndarray) -> None:
+        """What is left of a set without the path drawn from it, as sets by place.
+
+        ``bounds`` are those of the first places, ``before`` the log probability of what
+        stands in front of each of the text's places. Later places are looked at only
+        while one of them could still be among the best.
+        """
+        first, excluded = self.left
+        draw = len(self.draws) - 1
         kept: list[tuple[float, int]] = []
-        for start in range(first, len(chance), SPLIT_PLACES):
-            if len(kept) == self.samples and before[start] + _MOST_NOISE < kept[-1][0]:
-                break  # no later place has more mass than this one
-            places = np.arange(start, min(start + SPLIT_PLACES, len(chance)))
-            with np.errstate(divide="ignore"):
-                masses = before[places] + np.log(-np.expm1(np.minimum(chance[places], 0.0)))
-            if start == first and excluded is not None:
-                masses[0] = before[first] + self._rest(first, excluded)
-            stream = _stream(self.key, len(self.draws), places)
-            noise = -np.log(-np.log(_uniform(stream, 1 << 30)))
-            # a Gumbel variable at the log mass, given that it is below the bound
-            bounds = -np.logaddexp(-bound, -(masses + noise))
+        start = first
+        while True:
             best = np.argsort(-bounds, kind="stable")[: self.samples]
-            kept += [(float(bounds[i]), int(places[i])) for i in best if np.isfinite(bounds[i])]
+            kept += [(float(bounds[i]), start + int(i)) for i in best if np.isfinite(bounds[i])]
             kept = sorted(kept, reverse=True)[: self.samples]
+            start += len(bounds)
+            if start == len(before) or (
+                len(kept) == self.samples and before[start] + _MOST_NOISE < kept[-1][0]
+            ):
+                break
+            places = np.arange(start, min(start + SPLIT_PLACES, len(before)))
+            chance = self.draws[draw].chance[places]
+            keys = np.broadcast_to(self.key, len(places))
+            bounds = _bounds(before[places] + _log_rest(chance), keys, draw + 1, places, self.perturbed[-1])
         self.open += [(b, draw, at, excluded if at == first else None) for b, at in kept]
 
-    def _rest(self, place: int, excluded: list[tuple[int, ...]]) -> float:
+    def rest(self, place: int, excluded: list[tuple[int, ...]]) -> float:
         """The log of the mass of an atom's paths without the excluded ones."""
         lattice = self.lattice
-        node = int(lattice.start[lattice.atom[self.tokens[place]]])
+        node = int(lattice.start[self._atom(place)])
         if lattice.paths_from(node, len(excluded) + 1) == len(excluded):
             return -np.inf
         total = sum(float(np.exp(lattice.log_chance[list(path)].sum())) for path in excluded)
@@ -490,10 +519,8 @@ class _Search:
         best = max(range(len(self.open)), key=lambda i: self.open[i][0])
         bound, draw, place, excluded = self.open.pop(best)
         excluded = excluded or [self._path(draw, place)]
-        stream = _stream(self.key, len(self.draws), place)
-        uniforms = (float(_uniform(stream, i)[0]) for i in range(1 << 30))
-        atom = int(self.lattice.atom[self.tokens[place]])
-        own = self.lattice.other_path(atom, excluded, uniforms)
+        state = int(_stream(self.key, len(self.draws), place)[0])
+        own = self.lattice.other_path(self._atom(place), excluded, _uniforms(state))
         self.branched = (bound, draw, place, excluded, own)
         return place + 1
 
@@ -511,7 +538,7 @@ class _Search:
             )
         )
         self.perturbed.append(bound)
-        self._split(len(self.draws) - 1, place, bound, [*excluded, own])
+        self.left = (place, [*excluded, own])
 
     def threshold(self) -> float:
         """The largest perturbed value that was not drawn."""
@@ -519,7 +546,44 @@ class _Search:
 
 
 #: Places of a text that are split at once.
-SPLIT_PLACES = 128
+SPLIT_PLACES = 64
+
+
+def _log_rest(chance: np.ndarray) -> np.ndarray:
+    """The log of 1 - p, from the log of p."""
+    with np.errstate(divide="ignore"):
+        return np.log(-np.expm1(np.minimum(chance, 0.0)))
+
+
+def _bounds(masses, keys: np.ndarray, number: int, places: np.ndarray, bound) -> np.ndarray:
+    """The maxima of sets: Gumbel variables at their log masses, given that they are below a bound."""
+    noise = -np.log(-np.log(_uniform(_stream(keys, number, places), 1 << 30)))
+    return -np.logaddexp(-bound, -(masses + noise))
+
+
+def _split_all(searches: list[_Search]) -> None:
+    """Split what the last draw of each text left; the first places of all texts at once."""
+    sizes = np.array([len(s.draws[-1].chance) for s in searches])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    chance = np.concatenate([s.draws[-1].chance for s in searches])
+    running = np.concatenate([[0.0], np.cumsum(chance)])
+    firsts = np.array([s.left[0] for s in searches])
+    lengths = np.minimum(SPLIT_PLACES, sizes - firsts)
+    at = _ranges(starts + firsts, lengths)
+    before = running[at] - np.repeat(running[starts], lengths)
+    masses = before + _log_rest(chance[at])
+    heads = np.cumsum(lengths) - lengths
+    for head, search in zip(heads, searches, strict=True):
+        place, excluded = search.left
+        if excluded is not None:
+            masses[head] = before[head] + search.rest(place, excluded)
+    number = len(searches[0].draws)
+    keys = np.repeat(np.concatenate([s.key for s in searches]), lengths)
+    limits = np.repeat([s.perturbed[-1] for s in searches], lengths)
+    bounds = _bounds(masses, keys, number, _ranges(firsts, lengths), limits)
+    for search, head, length, start, end in zip(searches, heads, lengths, starts, ends, strict=True):
+        search.split(bounds[head : head + length], running[start:end] - running[start])
 
 
 def _ids(lattice: Lattice, edges: np.ndarray) -> np.ndarray:
@@ -577,11 +641,14 @@ def segment(
             )
         ]
 
-    searches: dict[int, _Search] = {}
     some = [i for i in range(len(texts)) if counts[i]]
-    for i, paths in zip(some, draw(0, some, [0] * len(some)) if some else [], strict=True):
-        tokens = np.arange(lattice.first[i], lattice.last[i])
-        searches[i] = _Search(lattice, tokens, paths, int(seeds[i]), samples)
+    if not some:
+        return [[] for _ in texts]
+    searches = {
+        i: _Search(lattice, int(lattice.first[i]), paths, int(seeds[i]), samples)
+        for i, paths in zip(some, draw(0, some, [0] * len(some)), strict=True)
+    }
+    _split_all(list(searches.values()))
     for number in range(1, samples):
         branched = {i: search.branch() for i, search in searches.items() if len(search.draws) == number}
         places = {i: place for i, place in branched.items() if place is not None}
@@ -589,6 +656,7 @@ def segment(
             break
         for i, paths in zip(places, draw(number, list(places), list(places.values())), strict=True):
             searches[i].complete(paths)
+        _split_all([searches[i] for i in places])
     return [_segmentations(searches[i]) if i in searches else [] for i in range(len(texts))]
 
 
