@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and tokens that pass a battery of randomness tests.
 
-Candidates are long runs of letters, digits and base64 signs whose encoding can be told
-from their characters. If a token is a key, its characters are drawn uniformly from
+Candidates are long parts of runs of letters, digits and base64 signs whose encoding can be
+told from their characters: what is left of a run outside of the fixed patterns' spans, split at
+inner '=', and of that each longest part in one alphabet and each part without any sign. A part
+within another that passes isn't reported again. If a token is a key, its characters are drawn uniformly from
 the alphabet of its encoding; that is the null hypothesis of three tests:
 
 * chi-squared uniformity of the alphabet's characters,
@@ -72,6 +74,10 @@ _VALUE = {
 }
 _HEX = _class(b"0123456789abcdef")
 _TOKEN = _class(ALPHABETS[6][1] + b"-_=")
+_SIDE = re.compile(rb"[^=]+")
+_LONGEST = (re.compile(rb"[A-Za-z0-9+/]+"), re.compile(rb"[A-Za-z0-9_-]+"))
+_UNSIGNED = re.compile(rb"[A-Za-z0-9]+")
+_WORD = re.compile(rb"[A-Za-z][a-z]*[0-9]?|[A-Z]+")
 
 
 def _long_runs(codes: np.ndarray, mask: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -169,16 +175,84 @@ def base_spans(text: bytes, codes: np.ndarray) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def candidates(text: bytes, codes: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """(start, end, encoding index, band, grid step) of tokens that may be keys."""
+def _outside(
+    runs: list[tuple[int, int]], spans: list[tuple[int, int, int]], text: bytes
+) -> list[tuple[int, int]]:
+    """What the base spans leave of the runs, without signs next to a span; in order."""
+    left, k = [], 0
+    taken: list[list[int]] = []
+    for start, _, end in spans:
+        if taken and start <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([start, end])
+    for start, end in runs:
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        while k < len(taken) and taken[k][0] < end:
+            from_, to = taken[k]
+            left.append((start, from_ - (from_ > start and text[from_ - 1 : from_] in (b"/", b"_", b"-"))))
+            start = to + (text[to : to + 1] in (b"/", b"_", b"-"))
+            if to >= end:
+                break
+            k += 1
+        left.append((start, end))
+    return [(start, end) for start, end in left if end - start >= MIN_RANDOM]
+
+
+def _without_words(text: bytes, start: int, end: int) -> tuple[int, int]:
+    """A part of a path or name without the words at its ends; empty if it is only words."""
+    pieces = [m.span() for m in _UNSIGNED.finditer(text, start, end)]
+    kept = [i for i, (s, e) in enumerate(pieces) if not _WORD.fullmatch(text, s, e)]
+    if not kept:
+        return start, start
+    first, last = kept[0], kept[-1]
+    inner = (
+        pieces[first - 1][1] + 1 if first else start,  # one sign goes with the word
+        pieces[last + 1][0] - 1 if last < len(pieces) - 1 else end,
+    )
+    return inner if inner[1] - inner[0] >= MIN_RANDOM else (start, end)
+
+
+def parts(text: bytes, start: int, end: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """The parts of a run to be tested, each with the parts it lies in."""
+    found: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    body = start + len(text[start:end].rstrip(b"="))
+    for side in _SIDE.finditer(text, start, body):
+        if side.end() - side.start() < MIN_RANDOM:
+            continue
+        for longest in _LONGEST:
+            for m in longest.finditer(text, *side.span()):
+                if m.end() - m.start() < MIN_RANDOM:
+                    continue
+                outer = m.span() if m.span() == side.span() else _without_words(text, *m.span())
+                if outer[1] - outer[0] < MIN_RANDOM:
+                    continue
+                found.setdefault(outer, [])
+                for piece in _UNSIGNED.finditer(text, *outer):
+                    if piece.span() != outer and piece.end() - piece.start() >= MIN_RANDOM:
+                        found.setdefault(piece.span(), []).append(outer)
+    return found
+
+
+def candidates(
+    text: bytes, codes: np.ndarray, spans: list[tuple[int, int, int]]
+) -> list[tuple[int, int, int, int, int, list[tuple[int, int]]]]:
+    """Tokens outside of the base spans that may be keys: (start, end, encoding index, band,
+    grid step, outer); outer has (band, grid step) of the tokens that hold this one."""
     found = []
     names = [name for name, _ in ALPHABETS]
-    for start, end in _long_runs(codes, _TOKEN, MIN_RANDOM):
-        encoding, p = randomness(text[start:end])
-        if encoding is not None:
-            length = len(text[start:end].rstrip(b"="))
-            if length >= MIN_RANDOM:
-                found.append((start, end, names.index(encoding), band(length), grid_step(p)))
+    for start, end in _outside(_long_runs(codes, _TOKEN, MIN_RANDOM), spans, text):
+        body = start + len(text[start:end].rstrip(b"="))
+        own = parts(text, start, end)
+        tested = {}
+        for s, e in own:
+            encoding, p = randomness(text[s:e])
+            if encoding is not None:
+                tested[s, e] = names.index(encoding), band(e - s), grid_step(p)
+        for (s, e), values in sorted(tested.items()):
+            outer = [tested[o][1:] for o in own[s, e] if o in tested]
+            found.append((s, end if e == body else e, *values, outer))
     return found
 
 
@@ -191,17 +265,23 @@ def _in_characters(text: bytes, codes: np.ndarray, places: list[int]) -> dict[in
 
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
-_FOUND = "array<struct<start:int,end:int,encoding:int,band:int,step:int>>"
+_FOUND = "array<struct<start:int,end:int,encoding:int,band:int,step:int,outer:array<struct<band:int,step:int>>>>"
 _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 _FOUND_TYPE = pa.list_(
-    pa.struct([(name, pa.int32()) for name in ("start", "end", "encoding", "band", "step")])
+    pa.struct(
+        [
+            *[(name, pa.int32()) for name in ("start", "end", "encoding", "band", "step")],
+            ("outer", pa.list_(pa.struct([("band", pa.int32()), ("step", pa.int32())]))),
+        ]
+    )
 )
 
 
 def scan(text: bytes) -> tuple[list[dict], list[dict]]:
     """Base spans and candidate tokens of one text, in code points."""
     codes = np.frombuffer(text, np.uint8)
-    spans, tokens = base_spans(text, codes), candidates(text, codes)
+    spans = base_spans(text, codes)
+    tokens = candidates(text, codes, spans)
     if not spans and not tokens:
         return [], []
     at = _in_characters(
@@ -210,8 +290,11 @@ def scan(text: bytes) -> tuple[list[dict], list[dict]]:
     return (
         [{"start": at[s], "kind": kind, "end": at[e]} for s, kind, e in spans],
         [
-            {"start": at[s], "end": at[e], "encoding": encoding, "band": size, "step": step}
-            for s, e, encoding, size, step in tokens
+            {
+                "start": at[s], "end": at[e], "encoding": encoding, "band": size, "step": step,
+                "outer": [{"band": b, "step": x} for b, x in outer],
+            }
+            for s, e, encoding, size, step, outer in tokens
         ],
     )
 
@@ -266,8 +349,8 @@ def find_secrets(documents: DataFrame, q: float = Q, doc_id: str = "doc_id", tex
     """One row per row of ``documents``: doc_id, body (a hash of the text), base, found.
 
     ``base`` and ``found`` are arrays of (start, kind, end) in code points, end exclusive;
-    kind is an index of KINDS. ``found`` also has the tokens that pass the battery and do
-    not overlap a base span. Null and empty texts have none; repeated rows get equal results but
+    kind is an index of KINDS. ``found`` also has the tokens that pass the battery, which lie
+    outside of the base spans and not within another token that passes. Null and empty texts have none; repeated rows get equal results but
     count repeatedly among the candidates. Only spans are stored, no texts.
     """
     narrow = documents.select(
@@ -284,11 +367,11 @@ def find_secrets(documents: DataFrame, q: float = Q, doc_id: str = "doc_id", tex
     rows = token.groupBy("t.band", "t.step").count().collect()  # at most bands * grid rows
     least = thresholds({(r["band"], r["step"]): r["count"] for r in rows}, q)
     limits = F.array(*[F.lit(step) for step in least])
-    passed = F.filter(
-        "tokens",
-        lambda t: (t["step"] < F.get(limits, t["band"]))
-        & ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
-    )
+
+    def passes(token: Column) -> Column:
+        return token["step"] < F.get(limits, token["band"])
+
+    passed = F.filter("tokens", lambda t: passes(t) & ~F.exists(t["outer"], passes))
     random = F.transform(
         passed,
         lambda t: F.struct(

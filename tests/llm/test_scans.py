@@ -64,6 +64,28 @@ def test_secrets_equal_a_plain_version(documents):
     assert spans[2] == spans[12] == spans[13] == spans[1] == ""
 
 
+KEY62 = "".join(RANDOM.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=38)) + "q7"
+KEY64 = base64.b64encode(b"\xfb\xff" + RANDOM.randbytes(44)).decode()  # has / and +, ends with ==
+HEX32 = RANDOM.randbytes(16).hex()
+HIDDEN_KEYS = [
+    (f"AWS_ACCESS={KEY62}", [KEY62]), (f"AccountKey={KEY64};", [KEY64]), (f"é PRIVATE_KEY={KEY64}", [KEY64]), (f"?sv=1&sig={KEY64}", [KEY64]),
+    (f"/v1/my-app/{KEY62}", [KEY62]), (f"/v1/my-app/{KEY62}/list", [KEY62]), (f"my-app/v1/{KEY64}", [KEY64]), (f"{HEX32}_{KEY62}", [KEY62]),
+    (f"{KEY62}-{HEX32}/{KEY}", [KEY62, KEY]), (f"a={KEY62}=b/c_d={KEY}", [KEY62, KEY]), ("/v1/my-app/some/other_configuration/files/2", []),
+    (f"/usr/{KEY62}", [f"/usr/{KEY62}"]), ("A_NAME=another_name_without_key", []),
+]
+
+
+def test_keys_within_longer_runs(documents):
+    assert KEY64.endswith("==") and "/" in KEY64 and "+" in KEY64
+    table = documents([(i, text) for i, (text, _) in enumerate(HIDDEN_KEYS)])
+    spans = {r["doc_id"]: r["spans"] for r in report(find_secrets(table)).collect()}
+    clean = {r["doc_id"]: r["text"] for r in redact(table).collect()}
+    for i, (text, keys) in enumerate(HIDDEN_KEYS):
+        own = [tuple(map(int, s.split(":")[1:])) for s in spans[i].split(",") if s.startswith("random")]
+        assert [text[s:e] for s, e in own] == keys
+        assert not any(key in clean[i] for key in keys) and clean[i].count("[SECRET]") == len(keys) + (HEX32 in text)
+
+
 def test_battery_is_valid_for_random_keys():
     p = [randomness(base64.b64encode(RANDOM.randbytes(36)))[1] for _ in range(3000)]
     for level in (0.01, 0.05, 0.2):
