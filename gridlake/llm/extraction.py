@@ -64,10 +64,7 @@ _TAG = re.compile(
     r"""<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(
-    r"""\b(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
-    re.IGNORECASE,
-)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
@@ -75,6 +72,14 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) f
 _STOP = (".", "!", "?", "…", ":", "。", "”", '"')
 
 
+def attribute_values(attributes: str) -> dict[str, str]:
+    """The value of each attribute by its name in lower case; of equal names the first counts."""
+    values: dict[str, str] = {}
+    for name, *forms in _ATTRIBUTE.findall(attributes):
+        values.setdefault(name.lower(), next((form for form in forms if form), ""))
+    return values
+
+
 @dataclass
 class Block:
     text: str
@@ -92,8 +97,7 @@ def container_evidence(tag: str, attributes: str, outer: float, in_article: bool
     own = CONTAINER_FOR if tag in ("article", "main") else 0.0
     if attributes:
         words: set[str] = set()
-        for name, *values in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), next((v for v in values if v), "")
+        for name, value in attribute_values(attributes).items():
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return -SETTLED
             if name == "style":
@@ -103,7 +107,7 @@ def container_evidence(tag: str, attributes: str, outer: float, in_article: bool
                 if value.lower() in NEVER_ROLES:
                     return -SETTLED
                 own = max(own, CONTAINER_FOR if value.lower() in ("main", "article") else 0.0)
-            else:
+            elif name in ("class", "id", "itemprop"):
                 words.update(_NAME.findall(_CAMEL.sub(" ", value).lower()))
         if tag not in ("html", "body", "article", "main"):
             if words & AGAINST:

@@ -158,6 +158,23 @@ def test_odd_pages():
     assert isinstance(main_text("<" * 50000), str)
 
 
+@pytest.mark.parametrize(
+    ("attributes", "kept"),
+    [
+        ('title="A hidden valley"', True), ('data-hidden="false"', True), ('data-url="/hidden-gems"', True), ("data-id=nav", True),
+        ("data-x='class=\"ad\" hidden'", True), ("alt=hidden-lake", True), ('x-style="display:none"', True), ('aria-hidden="false"', True),
+        ('title=" id=nav role=navigation "', True), ("hidden", False), ("data-a=1 HIDDEN", False), ('title="a"hidden', False),
+        ('aria-hidden = "true"', False), ("style='display: none'", False), ('data-hidden="false" hidden=""', False),
+    ],
+)
+def test_only_exact_attribute_names_count(attributes, kept):
+    text = "This is one sentence of the main text, and it is long enough to be kept."
+    for tag in ("article", "div", "p"):
+        assert main_text(f"<body><{tag} {attributes}>{text}</{tag}></body>") == (text if kept else "")
+    inline = f"<article><p>Before it <span {attributes}>within</span> after it, as all of it is text.</p></article>"
+    assert ("within" in main_text(inline)) == kept
+
+
 @with_tables
 def test_articles_of_all_pages(spark):
     table = spark.read.parquet(f"{ROOT}/pages.parquet")
