@@ -18,6 +18,7 @@ import math
 import re
 from collections import deque
 from dataclasses import dataclass
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,7 +39,7 @@ BLOCK = {
     "p", "pre", "section", "select", "summary", "svg", "table", "tbody", "td", "tfoot", "th", "thead", "tr",
     "ul",
 }
-NEVER = {"head", "nav", "footer", "aside", "form", "button", "select", "option", "menu", "svg", "dialog"}
+NEVER = {"head", "nav", "footer", "aside", "button", "select", "option", "menu", "svg", "dialog"}
 NEVER_ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu",
 }
@@ -51,12 +52,20 @@ AGAINST = {
     "disclaimer", "skip", "toc", "masthead",
 }
 WEAK_AGAINST = {"header", "banner", "top", "bottom", "meta", "byline", "tags", "aside", "legal"}
+#: Words against that stay so however much text an element holds.
+DISCUSSION = {"comment", "comments", "disqus", "reply", "replies", "respond"}
+#: What follows these words in a class name tells of the layout around an element.
+MODIFIERS = {"has", "with", "without", "no"}
 FOR = {"content", "article", "post", "entry", "story", "body", "text", "main", "articlebody", "page"}
 
 #: Evidence and capacities.
 SETTLED = 1000.0
 CONTAINER_FOR, CONTAINER_AGAINST, WEAK = 4.0, -12.0, -3.0
 BIAS, PER_LOG_WORD, SENTENCE, PARAGRAPH, HEADING, LINKS, MARK = -1.6, 1.0, 0.8, 0.8, 0.6, -5.0, -2.5
+#: What an article takes off its containers' evidence against, and each unlinked word of a block.
+ARTICLE, PER_WORD = 8.0, 0.06
+#: So many words that are most of the page's make an element's words against it void.
+LONG = 200
 SMOOTH = 1.5
 REACH = 2
 
@@ -87,42 +96,107 @@ class Block:
     path: tuple[int, ...]
 
 
-def container_evidence(tag: str, attributes: str, outer: float, in_article: bool) -> float:
+@dataclass
+class Container:
+    """A block-level element; ``settled`` if nothing in it is content."""
+
+    parent: int
+    tag: str
+    settled: bool
+    own: float = 0.0
+    against: bool = False
+    discussion: bool = False
+    main: bool = False
+    article: bool = False
+
+
+def read_container(parent: int, tag: str, attributes: str, in_article: bool) -> Container:
+    """An element by its tag and attributes.
+
+    A class or id with a word against the element counts against it, another one with a word for
+    it counts for it; an element that has both is neutral.
+    """
+    found = Container(parent, tag, tag in NEVER or (tag == "header" and not in_article))
+    found.main, found.article = tag == "main", tag == "article"
+    names: list[set[str]] = []
+    for name, value in attribute_values(attributes).items() if attributes else ():
+        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            found.settled = True
+        elif name == "style":
+            found.settled |= bool(_INVISIBLE.search(value))
+        elif name == "role":
+            found.settled |= value.lower() in NEVER_ROLES
+            found.main |= value.lower() == "main"
+            found.article |= value.lower() == "article"
+        elif name in ("class", "id", "itemprop"):
+            for one in value.split():
+                words = _NAME.findall(_CAMEL.sub(" ", one).lower())
+                names.append(set(takewhile(lambda word: word not in MODIFIERS, words)))
+    found.own = CONTAINER_FOR if found.main or found.article else 0.0
+    against = any(words & AGAINST for words in names)
+    favour = any(words & FOR and not words & AGAINST for words in names)
+    found.against = against and not favour
+    found.discussion = found.against and any(words & DISCUSSION for words in names)
+    if tag not in ("html", "body", "article", "main"):
+        if found.against:
+            found.own = CONTAINER_AGAINST
+        elif favour and not against:
+            found.own = CONTAINER_FOR
+        elif not against and any(words & WEAK_AGAINST for words in names):
+            found.own += WEAK
+    return found
+
+
+def container_evidence(container: Container, outer: float, neutral: bool) -> float:
     """The evidence that an element passes on to all within it.
 
-    What is settled stays settled, and evidence against outlasts evidence for.
+    What is settled stays settled. Evidence against outlasts evidence for, but ends at the page's
+    main element, and an article takes a part off it. A form is settled, unless neutral.
     """
-    if outer <= -SETTLED or tag in NEVER or (tag == "header" and not in_article):
+    if outer <= -SETTLED or container.settled or (container.tag == "form" and not neutral):
         return -SETTLED
-    own = CONTAINER_FOR if tag in ("article", "main") else 0.0
-    if attributes:
-        words: set[str] = set()
-        for name, value in attribute_values(attributes).items():
-            if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return -SETTLED
-            if name == "style":
-                if _INVISIBLE.search(value):
-                    return -SETTLED
-            elif name == "role":
-                if value.lower() in NEVER_ROLES:
-                    return -SETTLED
-                own = max(own, CONTAINER_FOR if value.lower() in ("main", "article") else 0.0)
-            elif name in ("class", "id", "itemprop"):
-                words.update(_NAME.findall(_CAMEL.sub(" ", value).lower()))
-        if tag not in ("html", "body", "article", "main"):
-            if words & AGAINST:
-                own = CONTAINER_AGAINST
-            elif words & FOR:
-                own = max(own, CONTAINER_FOR)
-            elif words & WEAK_AGAINST:
-                own += WEAK
-        elif words & FOR and tag != "body" and tag != "html":
-            own = CONTAINER_FOR
-    if outer <= CONTAINER_AGAINST or own <= CONTAINER_AGAINST:
+    own = max(container.own, 0.0) if neutral and container.tag != "form" else container.own
+    if container.main and own > 0:
+        return own
+    if container.article and own > 0 and outer < 0 and not container.against:
+        return min(own, outer + ARTICLE)
+    if outer < WEAK or own <= CONTAINER_AGAINST:
         return min(outer, own)
     return own if own < 0 else max(outer, own)
 
 
+def page_evidence(containers: list[Container], words: list[float]) -> list[float]:
+    """The evidence each element of a page passes on; ``words`` has their own unlinked words.
+
+    A form is neutral if it holds an article or most of the words that aren't settled, and another
+    element if those are many, too; a discussion may be longer than the text it is about.
+    """
+
+    def passed(neutral: list[bool]) -> list[float]:
+        evidence = [0.0]
+        for i, container in enumerate(containers[1:], 1):
+            evidence.append(container_evidence(container, evidence[container.parent], neutral[i]))
+        return evidence
+
+    evidence = passed([container.tag == "form" for container in containers])
+    if not any(c.tag == "form" or c.own <= CONTAINER_AGAINST for c in containers):
+        return evidence
+    held = [n if e > -SETTLED else 0.0 for n, e in zip(words, evidence, strict=True)]
+    article = [(c.main or c.article) and e > -SETTLED for c, e in zip(containers, evidence, strict=True)]
+    for i in range(len(containers) - 1, 0, -1):
+        parent = containers[i].parent
+        held[parent] += held[i]
+        article[parent] |= article[i]
+    neutral = []
+    for i, container in enumerate(containers):
+        most = 2 * held[i] > held[0]
+        if container.tag == "form":
+            neutral.append(most or article[i])
+        else:
+            neutral.append(most and held[i] >= LONG and not container.discussion)
+    return passed(neutral)
+
+
 def text_evidence(text: str, linked: int, tag: str) -> float:
     """Evidence of a block's own words: long runs of sentences without links are content."""
     words = len(text.split())
@@ -138,22 +212,37 @@ def text_evidence(text: str, linked: int, tag: str) -> float:
     return value
 
 
+def unlinked_words(text: str, linked: int) -> float:
+    return len(text.split()) * (1 - linked / len(text))
+
+
+def block_evidence(text: str, linked: int, tag: str, outer: float) -> float:
+    """Evidence of a block; its unlinked words outweigh its containers' evidence against it."""
+    if outer <= -SETTLED:
+        return outer
+    if outer < 0:
+        outer = min(0.0, outer + PER_WORD * unlinked_words(text, linked))
+    return outer + text_evidence(text, linked, tag)
+
+
 def read_blocks(page: str) -> list[Block]:
     """The blocks of a page in order, white space collapsed and references decoded."""
-    blocks: list[Block] = []
-    # open elements: tag, number in page order, evidence, inside of an article
-    opened: list[tuple[str, int, float, bool]] = [("", 0, 0.0, False)]
+    read: list[tuple[str, int, str, tuple[int, ...]]] = []
+    containers, unlinked = [Container(0, "", False)], [0.0]
+    # open elements: tag, number in page order, inside of an article
+    opened: list[tuple[str, int, bool]] = [("", 0, False)]
     parts: list[str] = []
-    linked, link_depth, numbers, at = 0, 0, 0, 0
+    linked, link_depth, at = 0, 0, 0
 
     def close() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                tag, _, outer, _ = opened[-1]
-                evidence = outer + (text_evidence(text, min(linked, len(text)), tag) if outer > -SETTLED else 0.0)
-                blocks.append(Block(text, evidence, tuple(number for _, number, _, _ in opened)))
+                tag, number, _ = opened[-1]
+                linked = min(linked, len(text))
+                unlinked[number] += unlinked_words(text, linked)
+                read.append((text, linked, tag, tuple(number for _, number, _ in opened)))
             parts.clear()
         linked = 0
 
@@ -193,20 +282,18 @@ def read_blocks(page: str) -> list[Block]:
             elif tag not in VOID:
                 if opened[-1][0] in _ENDED_BY and tag in _ENDED_BY[opened[-1][0]]:
                     opened.pop()
-                _, _, outer, in_article = opened[-1]
-                numbers += 1
-                opened.append(
-                    (
-                        tag,
-                        numbers,
-                        container_evidence(tag, attributes, outer, in_article),
-                        in_article or tag in ("article", "main"),
-                    )
-                )
-        elif attributes and not ends and container_evidence("", attributes, 0.0, True) <= -SETTLED:
+                _, parent, in_article = opened[-1]
+                opened.append((tag, len(containers), in_article or tag in ("article", "main")))
+                containers.append(read_container(parent, tag, attributes, in_article))
+                unlinked.append(0.0)
+        elif attributes and not ends and read_container(0, "", attributes, True).settled:
             at = _skip(page, at, tag)
     close()
-    return blocks
+    evidence = page_evidence(containers, unlinked)
+    return [
+        Block(text, block_evidence(text, linked, tag, evidence[path[-1]]), path)
+        for text, linked, tag, path in read
+    ]
 
 
 #: Open elements that another start tag ends.

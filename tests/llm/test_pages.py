@@ -175,6 +175,37 @@ def test_only_exact_attribute_names_count(attributes, kept):
     assert ("within" in main_text(inline)) == kept
 
 
+LONG_TEXT = " ".join(f"word{i}" for i in range(199)) + " end."
+SHORT_TEXT = "One of the sentences of the main text, with a dozen words or so."
+MENU = '<nav><a href="/">Home</a></nav>'
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='main-content has-sidebar'>{}</div>", "<div class='layout with-nav'>{}</div>", "<section class='content social-science'>{}</section>",
+        "<div class='layout with-nav'><article>{}</article></div>", "<div class='sidebar'><article>{}</article></div>", "<div id='noSidebar'>{}</div>",
+        "<div class='menu-open'><main>{}</main></div>", "<div class='widget'><div role='main'>{}</div></div>", "<form id='aspnetForm'>{}</form>",
+        "<form><article>{}</article></form>", "<div class='page has-nav'><form class='content'><main>{}</main></form></div>",
+    ],
+)
+def test_class_words_and_forms_do_not_lose_the_main_text(page):
+    text = [LONG_TEXT, SHORT_TEXT, LONG_TEXT]
+    inner = "".join(f"<p>{t}</p>" for t in text)
+    assert main_text(f"<body>{MENU}{page.format(inner)}<footer>us</footer></body>") == "\n".join(text)
+
+
+def test_long_text_outweighs_class_words_and_short_text_does_not():
+    around = f"<article><p>{SHORT_TEXT}</p>" + f"<p>{LONG_TEXT}</p>" * 3 + "{}</article>"
+    kept = "\n".join([SHORT_TEXT] + [LONG_TEXT] * 3)
+    for name in ("social", "sidebar", "related-posts", "comments"):
+        assert main_text(around.format(f"<div class='{name}'><p>{LONG_TEXT}</p></div>")) == f"{kept}\n{LONG_TEXT}"
+        assert main_text(around.format(f"<div class='{name}'><p>{SHORT_TEXT}</p></div>")) == kept
+    assert main_text(around.format(f"<form><p>{SHORT_TEXT}</p></form>")) == kept
+    talk = "<section id='comments'>" + f"<article class='comment'><p>{SHORT_TEXT}</p></article>" * 100 + "</section>"
+    assert main_text(f"{around.format('')}{talk}") == kept
+
+
 @with_tables
 def test_articles_of_all_pages(spark):
     table = spark.read.parquet(f"{ROOT}/pages.parquet")
