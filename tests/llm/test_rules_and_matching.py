@@ -6,8 +6,12 @@ import hashlib
 import re
 from math import comb
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from compare import connect, difference
 from pyspark.sql import functions as F
 
+from gridlake.llm import oracle_sql, queries
 from gridlake.llm.decontamination import contamination, uncontaminated
 from gridlake.llm.rules import CUTOFFS, binomial_tail, quality_rules, select_cutoffs, text_counts
 
@@ -85,6 +89,27 @@ def test_false_rejections_are_limited(spark):
     assert select_cutoffs(table, 0.02, 0.05).filter("cut_symbols < 10").count() == 0
 
 
+def test_query_equals_its_sql_where_cutoffs_are_selected(spark, tmp_path):
+    """en and other languages have the 1,301 good labels that a cutoff needs at least, de one less."""
+    rows = []
+    for lang, n in (("en", 1400), (None, 1301), ("de", 1300)):
+        for i in range(n + 40):
+            bad = i >= n
+            words = [f"w{(i * 31 + j * 7) % 9973}" for j in range(30)] + ["#" * (40 if bad else i % 3)]
+            rows.append((len(rows), " ".join(words), lang, "s", 0, int(not bad)))
+    ids, texts, langs, sources, sizes, quality = (list(column) for column in zip(*rows, strict=True))
+    docs = {"doc_id": ids, "text": texts, "lang": pa.array(langs, pa.string()), "source": sources, "n_chars": sizes}
+    pq.write_table(pa.table(docs), tmp_path / "documents.parquet")
+    pq.write_table(pa.table({"doc_id": ids, "quality": quality, "toxic": [0] * len(ids)}), tmp_path / "labels.parquet")
+    result = queries.op1_quality_rules(spark, str(tmp_path)).toPandas()
+    assert difference(result, connect(str(tmp_path)).execute(oracle_sql.QUALITY_RULES).df()) is None
+    failed = dict(zip(result["doc_id"], result["failed_rules"], strict=True))
+    wrong = {i for i, good in zip(ids, quality, strict=True) if not good}
+    assert not result["base_failed"].any()
+    assert {i for i, rules in failed.items() if rules} == {i for i in wrong if langs[i] != "de"}
+    assert {rules for rules in failed.values() if rules} == {"symbols"}
+
+
 def test_quality_rules_without_labels_and_rows(documents, labels, word_text):
     docs = documents([(1, word_text(50)), (2, "short"), (None, None), (1, word_text(50))])
     rows = quality_rules(docs, labels([])).collect()
