@@ -732,6 +732,12 @@ from (select * from covered where status in ('missing', 'partial')
   and hour_start_utc < {ts(BOUNDARY)} order by hour_start_utc limit 48)
 where hour_start_utc not in (select date_trunc('hour', ts) from events
   where event_type = 'error' and event_id % 2 = 0)"""
+    q["repair_windows_all"] = f"""
+select dataset_id, hour_start_utc, hour_start_utc + interval 1 hour as hour_end_utc,
+  status as coverage_status
+from covered where status in ('missing', 'partial') and hour_start_utc < {ts(BOUNDARY)}
+  and hour_start_utc not in (select date_trunc('hour', ts) from events
+    where event_type = 'error' and event_id % 2 = 0)"""
 
     # silver
     q["clean_region"] = f"select {shown(REGION_COLS)} from silver_region"

@@ -329,8 +329,7 @@ def coverage_summary(spark: SparkSession, root: str) -> DataFrame:
     return present(coverage.coverage_summary(region_coverage(spark, root)))
 
 
-@query
-def repair_windows(spark: SparkSession, root: str) -> DataFrame:
+def repairs(spark: SparkSession, root: str, max_open: int = 0) -> DataFrame:
     """Partial hours to repair; every error event has opened or closed a repair job."""
     jobs = feed.events(spark, root).filter(F.col("event_type") == "error").select(
         F.lit(REGION).alias("dataset_id"),
@@ -338,10 +337,22 @@ def repair_windows(spark: SparkSession, root: str) -> DataFrame:
         F.when(F.col("event_id") % 2 == 0, "pending").otherwise("completed").alias("status"),
     )
     return coverage.repair_windows(
-        region_coverage(spark, root), jobs, REGION, BOUNDARY, ("missing", "partial"), 48
+        region_coverage(spark, root), jobs, REGION, BOUNDARY, ("missing", "partial"), max_open
     )
 
 
+@query
+def repair_windows(spark: SparkSession, root: str) -> DataFrame:
+    """At most 48 windows open at a time, as the reference limits them."""
+    return repairs(spark, root, 48)
+
+
+@query
+def repair_windows_all(spark: SparkSession, root: str) -> DataFrame:
+    """Every window of the spine."""
+    return repairs(spark, root)
+
+
 # --- silver -------------------------------------------------------------------
 
 

@@ -31,6 +31,13 @@ def test_entry(spark):
     assert set(SQL) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
+def test_repair_windows_with_and_without_a_cap(spark):
+    capped, every = (QUERIES[name](spark, ROOT).toPandas() for name in ("repair_windows", "repair_windows_all"))
+    assert len(capped) <= 48 < len(every)
+    hours = sorted(every["hour_start_utc"])
+    assert sorted(capped["hour_start_utc"]) == hours[: len(capped)]
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, tables, name):
     expected = tables.execute(SQL[name]).df()
