@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.llm.decontamination import uncontaminated
 from gridlake.llm.quality_model import accepted
-from gridlake.llm.queries import segmentation_digests
+from gridlake.llm.pieces import load_vocabulary, sample_segmentations
 from gridlake.llm.secrets import redact
 from gridlake.llm.simhash import one_per_group
 from gridlake.sources.tables import materialized
@@ -44,8 +44,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of every document."""
-    return segmentation_digests(docs)
+    """Sampled segmentations of every document, with their piece ids."""
+    return sample_segmentations(docs, load_vocabulary())
 
 
 STAGES = [

@@ -68,6 +68,15 @@ def test_each_stage_does_its_part(spark):
     assert last.filter(~F.col("decoded")).count() == 0
 
 
+def test_the_last_stage_keeps_the_piece_ids(spark):
+    docs = spark.read.parquet(f"{ROOT}/documents.parquet").orderBy("doc_id").limit(20)
+    last = dict(corpus_pipeline.STAGES)["segmentations"](spark, docs, ROOT)
+    got = [(r["doc_id"], r["sample"], len(r["ids"]), r["hash"]) for r in last.withColumn("hash", F.xxhash64("ids")).collect()]
+    digests = queries.segmentation_digests(docs).collect()
+    assert sorted(got) == sorted((r["doc_id"], r["sample"], r["n_pieces"], r["ids_hash"]) for r in digests)
+    assert len(got) == 40
+
+
 @pytest.mark.parametrize("name", queries.registered())
 def test_queries_over_whole_tables(spark, name):
     result = queries.registered()[name](spark, ROOT).toPandas()
