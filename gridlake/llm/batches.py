@@ -7,10 +7,17 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Rows per Arrow batch for frames with whole texts: bounds what a Python task holds.
+#: Rows of whole texts a Python function is given at once.
 TEXT_ROWS = 500
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of 1 to ``rows`` rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_partitions(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -19,10 +26,11 @@ def map_partitions(
 ) -> DataFrame:
     """``function`` over the batches of each partition, at most ``rows`` rows each.
 
-    The session's batch size is set, since Spark reads it when the plan runs.
+    What Spark sends is cut up here, so the bound belongs to this frame alone and the
+    session's settings stay as they are; Spark bounds the bytes of what it sends
+    (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB unless set).
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df.mapInArrow(lambda batches: function(b for b in batches if b.num_rows), schema)
+    return df.mapInArrow(lambda batches: function(sliced(batches, rows)), schema)
 
 
 def map_batches(

@@ -105,8 +105,40 @@ from flagged
 """
 
 
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH = f"""
+with docs as (
+    select row_number() over () as r, doc_id, {_TERMS} as w from documents
+), asked as (
+    select i, item_id, t, count(*) as k
+    from (select row_number() over () as i, item_id, unnest({_TERMS}) as t from benchmark)
+    group by i, item_id, t
+), corpus as (
+    select cast(count(*) as bigint) as n, cast(sum(len(w)) as bigint) as l from docs where len(w) > 0
+), found as (
+    select r, t, count(*) as tf from (select r, unnest(w) as t from docs)
+    where t in (select t from asked) group by r, t
+), held as (
+    select t, cast(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) as bigint) as weight
+    from found, corpus group by t, n
+), points as (
+    select i, item_id, r,
+           sum(k * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(w) * n) // l)))) as score
+    from asked join found using (t) join held using (t) join docs using (r), corpus
+    group by i, item_id, r
+), ranked as (
+    select item_id, doc_id, score, row_number() over (partition by i order by score desc, doc_id) as rank
+    from points join docs using (r) where score > 0
+)
+select item_id, cast(rank as integer) as rank, doc_id, cast(score as bigint) as score
+from ranked where rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": QUALITY_RULES,
         "op8_decontamination": DECONTAMINATION,
+        "op12_search": SEARCH,
     }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.llm.conversations import audit_damage
 from gridlake.llm.decontamination import contamination
 from gridlake.llm.extraction import extract_text
 from gridlake.llm.language import identify
@@ -15,8 +16,8 @@ from gridlake.llm.pieces import load_vocabulary, sample_segmentations
 from gridlake.llm.quality_model import score_quality
 from gridlake.llm.rules import quality_rules
 from gridlake.llm.secrets import find_secrets, report
+from gridlake.llm.search import search
 from gridlake.llm.simhash import near_duplicates
-
 from gridlake.llm.warc import archive_pages
 
 
@@ -79,6 +80,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_damage(_table(spark, sf_dir, "conversations"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -91,4 +100,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_licenses": op9_licenses,
         "op10_secrets": op10_secrets,
+        "op11_conversations": op11_conversations,
+        "op12_search": op12_search,
     }
