@@ -14,6 +14,7 @@ from gridlake.llm.language import identify
 from gridlake.llm.licenses import scan_licenses
 from gridlake.llm.pieces import load_vocabulary, sample_segmentations
 from gridlake.llm.quality_model import score_quality
+from gridlake.llm.repeats import without_repeats
 from gridlake.llm.rules import quality_rules
 from gridlake.llm.secrets import find_secrets, report
 from gridlake.llm.search import search
@@ -88,6 +89,10 @@ def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(_table(spark, sf_dir, "documents")).drop("body", "kept")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -102,4 +107,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secrets": op10_secrets,
         "op11_conversations": op11_conversations,
         "op12_search": op12_search,
+        "op13_suffix_dedup": op13_suffix_dedup,
     }
