@@ -18,7 +18,7 @@ from gridlake import schemas as S
 from gridlake.operators import coverage, gold, marts, reconcile, silver
 from gridlake.operators.quality import Rule, check
 from gridlake.operators.windowing import lookback
-from gridlake.sources import tables
+from gridlake.sources import tables, versions
 from gridlake.streaming import ingest
 
 Time = datetime | str | None
@@ -207,20 +207,22 @@ def curate_hourly(
         key = S.FUEL_SPEC.business_key
         _fact(lake, FUEL_FACT, gold.fuel_hourly(fuel), gold.FUEL_RULES, key)
     respondents = lake.dimension("respondent")
-    prior = tables.read_table(spark, respondents, S.DIM_RESPONDENT)
+    base = versions.version(spark, respondents)
+    prior = versions.read(spark, respondents, S.DIM_RESPONDENT, base)
     stage = _staged(
         gold.dim_respondent(region, fuel, prior, as_of),
         gold.DIM_RESPONDENT_RULES,
         "gold.dim_respondent",
     )
-    tables.write_dimension(stage, respondents)
+    tables.write_dimension(stage, respondents, base)
     if fuel is not None:
         fuels = lake.dimension("fuel_type")
-        prior = tables.read_table(spark, fuels, S.DIM_FUEL)
+        base = versions.version(spark, fuels)
+        prior = versions.read(spark, fuels, S.DIM_FUEL, base)
         stage = _staged(
             gold.dim_fuel_type(fuel, prior, as_of), gold.DIM_FUEL_RULES, "gold.dim_fuel_type"
         )
-        tables.write_dimension(stage, fuels)
+        tables.write_dimension(stage, fuels, base)
 
 
 def curate_power(

@@ -1322,6 +1322,11 @@ select distinct event_id, event_ts, event_year, event_hour from batch"""
 select {shown(S.GOLD_REGION.names)} from ({region_fact(first_half)}) where {old}
 union all select {shown(S.GOLD_REGION.names)} from gold_region where {new}"""
     q["merge_partitions"] = q["latest_by_key"]
+    region_cols = shown(S.REGION_SPEC.schema.names)
+    q["read_version"] = f"""
+select {region_cols}, 'opened' as state from ({first_half})
+union all select {region_cols}, 'first' from ({first_half})
+union all select *, 'second' from ({q["latest_by_key"]})"""
     q["merge_latest"] = f"select {shown(FUEL_COLS)} from latest_fuel"
     early = "minute(loaded_at) < 30"
     shown_fuel = shown(FUEL_COLS).replace(

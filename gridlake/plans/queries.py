@@ -34,6 +34,7 @@ from gridlake.operators import (
 )
 from gridlake.plans import jobs
 from gridlake.schemas import (
+    DIM_RESPONDENT,
     FUEL,
     FUEL_SPEC,
     GOLD_FUEL,
@@ -45,7 +46,7 @@ from gridlake.schemas import (
     REGION_SPEC,
 )
 from gridlake.session import scratch_path, use_utc
-from gridlake.sources import feed, tables
+from gridlake.sources import feed, tables, versions
 from gridlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1200,9 +1201,27 @@ def write_dimension(spark: SparkSession, root: str) -> DataFrame:
     """The respondent dimension written, then rebuilt from itself and newer rows."""
     path = scratch_path(spark, "respondents")
     for part in before_and_after(silver_region(spark, root)):
-        prior = spark.read.parquet(path) if tables.exists(spark, path) else None
+        prior = tables.read_table(spark, path, DIM_RESPONDENT) if tables.exists(spark, path) else None
         tables.write_dimension(gold.dim_respondent(part, None, prior, AS_OF), path)
-    return present(spark.read.parquet(path))
+    return present(tables.read_table(spark, path, DIM_RESPONDENT))
+
+
+@query
+def read_version(spark: SparkSession, root: str) -> DataFrame:
+    """The first of two versions, opened before the second one was written, and both by number."""
+    path = scratch_path(spark, "versioned")
+    first, second = half_hours(silver_region(spark, root))
+    keys = REGION_SPEC.business_key
+    old = tables.merge_partitions(first, path, keys, gold.NEWEST)
+    opened = versions.read(spark, path, REGION_SPEC.schema)
+    tables.merge_partitions(second, path, keys, gold.NEWEST)
+    states = {
+        "opened": opened,
+        "first": versions.read(spark, path, REGION_SPEC.schema, old.number),
+        "second": versions.read(spark, path, REGION_SPEC.schema, old.number + 1),
+    }
+    shown = [present(rows).withColumn("state", F.lit(name)) for name, rows in states.items()]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
 
 
 def daily_runs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

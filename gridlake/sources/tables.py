@@ -6,7 +6,6 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from datetime import date
 
-from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,18 +15,13 @@ from gridlake.operators.rank import merge_latest, upsert
 from gridlake.operators.windowing import Bound, in_window
 from gridlake.schemas import BRONZE, BRONZE_PARTITIONS
 from gridlake.session import scratch_path
+from gridlake.sources import versions
 
 DAY = "event_date"
 
 
-def _hadoop(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
-    """The file system of ``path`` and the path itself, as Hadoop objects."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _hadoop(spark, path)
+    fs, target = versions.hadoop(spark, path)
     return fs.exists(target)
 
 
@@ -48,9 +42,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     """A layer table; empty but typed where the path does not exist.
 
     The explicit schema saves the job that infers one, gives old files without a
-    newer column nulls in it, and keeps partition columns typed. Where replacing the
-    table was interrupted, its old version is read.
+    newer column nulls in it, and keeps partition columns typed. Of a table with
+    versions the newest is read, and stays what it is while later ones are written.
+    Where replacing a plain table was interrupted, its old files are read.
     """
+    if versions.numbers(spark, path):
+        return versions.read(spark, path, schema)
     for place in (path, _old(path)):
         if exists(spark, place):
             return spark.read.schema(schema).parquet(place).select(*schema.names)
@@ -102,19 +99,16 @@ def append_partitioned(df: DataFrame, path: str, by: Sequence[str] = BRONZE_PART
     df.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: str = DAY) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, by: str = DAY, base: versions.Version | None = None
+) -> versions.Version | None:
     """Replace the partitions that ``df`` has rows for. An empty ``df`` changes nothing.
 
-    Rebalancing by the partition column gives each partition few files; adaptive
-    execution splits a partition that is larger than others over several tasks.
+    A new version of the table; the others stay readable. Rebalancing by the partition
+    column gives each partition few files; adaptive execution splits a partition that is
+    larger than others over several tasks.
     """
-    (
-        df.hint("rebalance", by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .parquet(path)
-    )
+    return versions.commit(df, path, by, base)
 
 
 def touched(df: DataFrame, by: str) -> Column | None:
@@ -145,7 +139,7 @@ def stages(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _OPENED.pop():
-            fs, target = _hadoop(spark, path)
+            fs, target = versions.hadoop(spark, path)
             fs.delete(target, True)
 
 
@@ -170,20 +164,21 @@ def merge_partitions(
     newest: Sequence[str],
     by: str = DAY,
     stored: bool = False,
-) -> None:
+) -> versions.Version | None:
     """Merge rows into the partitions they touch, keeping the newest row per key.
 
-    Only touched partitions are read and rewritten. The merged rows are written
-    under new names first and moved into place when all tasks have finished.
+    Only touched partitions are read and rewritten, all of them in one new version. A
+    writer that has changed one of them in the meantime makes this a conflict.
     ``stored`` says that ``df`` reads a stage, which then isn't written again.
     """
     spark = df.sparkSession
     incoming = df if stored else materialized(df, "merge")
+    base = versions.version(spark, path)
     changed = touched(incoming, by)
     if changed is None:
-        return
-    current = read_table(spark, path, df.schema).filter(changed)
-    overwrite_partitions(merge_latest(current, incoming, keys, newest), path, by)
+        return None
+    current = versions.read(spark, path, df.schema, base).filter(changed)
+    return overwrite_partitions(merge_latest(current, incoming, keys, newest), path, by, base)
 
 
 def upsert_table(
@@ -195,7 +190,7 @@ def upsert_table(
     insert_cols: Sequence[str] | None = None,
     update_cols: Sequence[str] | None = None,
     stored: bool = False,
-) -> None:
+) -> versions.Version | None:
     """Upsert a stage into a keyed mart; an empty stage changes nothing.
 
     ``stored`` says that ``stage`` reads a stage, which then isn't written again.
@@ -204,30 +199,39 @@ def upsert_table(
     rewritten; without it the whole mart is.
     """
     spark = stage.sparkSession
+    base = versions.version(spark, path)
     if by is None:
-        merged = upsert(
-            read_table(spark, path, schema), stage, conflict_cols, insert_cols, update_cols
-        )
-        if not stage.isEmpty():
-            replace_table(merged, path)
-        return
+        current = versions.read(spark, path, schema, base)
+        merged = upsert(current, stage, conflict_cols, insert_cols, update_cols)
+        return None if stage.isEmpty() else versions.commit(merged, path, base=base)
     name, expression = by
     placed = stage if stored else materialized(stage, "upsert")
     placed = placed.withColumn(name, expression)
     changed = touched(placed, name)
     if changed is None:
-        return
+        return None
     fields = T.StructType([*schema.fields, placed.schema[name]])
-    current = read_table(spark, path, fields).filter(changed)
+    current = versions.read(spark, path, fields, base).filter(changed)
     columns = [*(insert_cols or [c for c in stage.columns if c in schema.names]), name]
     merged = upsert(current, placed, [*conflict_cols, name], columns, update_cols)
-    overwrite_partitions(merged, path, name)
+    return overwrite_partitions(merged, path, name, base)
+
+
+def write_dimension(
+    df: DataFrame, path: str, base: versions.Version | None = None
+) -> versions.Version | None:
+    """A new version of an unpartitioned table. No rows, no change.
+
+    ``base`` is the version ``df`` was built from, which must still be the newest.
+    """
+    return versions.commit(df, path, base=base)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Replace an unpartitioned table that ``df`` may itself have been read from.
+    """Replace a plain folder of files that ``df`` may itself have been read from.
 
-    The new table is complete beside the old one before the old one is moved away,
+    For extracts that others read by their path; tables of the lake have versions instead.
+    The new files are complete beside the old ones before those are moved away,
     so a failure leaves one of the two readable. No rows, no change.
     """
     spark = df.sparkSession
@@ -235,12 +239,13 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(fresh)
     if spark.read.schema(df.schema).parquet(fresh).isEmpty():
         return
-    fs, target = _hadoop(spark, path)
-    _, fresh_path = _hadoop(spark, fresh)
-    _, old_path = _hadoop(spark, _old(path))
+    fs, target = versions.hadoop(spark, path)
+    _, fresh_path = versions.hadoop(spark, fresh)
+    _, old_path = versions.hadoop(spark, _old(path))
     if fs.exists(target):
         fs.delete(old_path, True)
-        fs.rename(target, old_path)
+        if not fs.rename(target, old_path):
+            raise OSError(f"could not move {path} to {_old(path)}")
     fs.mkdirs(target.getParent())
     if not fs.rename(fresh_path, target):
         fs.rename(old_path, target)
@@ -248,9 +253,6 @@ def replace_table(df: DataFrame, path: str) -> None:
     fs.delete(old_path, True)
 
 
-write_dimension = replace_table
-
-
 def write_stage(df: DataFrame, name: str, jdbc: Mapping[str, str] | None = None) -> DataFrame:
     """Write a per-run stage and return it as read back.
 

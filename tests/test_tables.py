@@ -143,25 +143,25 @@ def test_upsert_table(spark, tmp_path, by):
     assert put(second.limit(0)) == expected
 
 
-def test_dimension_is_rebuilt_from_itself(spark, tmp_path):
+def test_plain_files_are_rebuilt_from_themselves(spark, tmp_path):
     path = f"{tmp_path}/dim"
     df = spark.range(5).withColumn("n", F.lit(1))
-    tables.write_dimension(df, path)
+    tables.replace_table(df, path)
     for expected in (2, 3):
         current = spark.read.parquet(path)
-        tables.write_dimension(current.withColumn("n", F.col("n") + 1), path)
+        tables.replace_table(current.withColumn("n", F.col("n") + 1), path)
         assert spark.read.parquet(path).agg(F.min("n"), F.count("*")).first() == (expected, 5)
-    tables.write_dimension(df.limit(0), path)
+    tables.replace_table(df.limit(0), path)
     assert spark.read.parquet(path).count() == 5
     assert not tables.exists(spark, f"{path}.old")
 
 
-def test_an_interrupted_swap_leaves_the_old_table_readable(spark, tmp_path):
+def test_an_interrupted_swap_leaves_the_old_files_readable(spark, tmp_path):
     path, schema = f"{tmp_path}/dim", table("id bigint")
-    tables.write_dimension(spark.range(3), path)
+    tables.replace_table(spark.range(3), path)
     (tmp_path / "dim").rename(tmp_path / "dim.old")
     assert tables.read_table(spark, path, schema).count() == 3
-    tables.write_dimension(tables.read_table(spark, path, schema).union(spark.range(1)), path)
+    tables.replace_table(tables.read_table(spark, path, schema).union(spark.range(1)), path)
     assert tables.read_table(spark, path, schema).count() == 4
     assert not tables.exists(spark, f"{path}.old")
 
