@@ -6,9 +6,10 @@ import argparse
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from gridlake.plans import jobs
+from gridlake.plans import jobs, late
 from gridlake.schemas import FUEL, GRID_LOOKBACK_DAYS, PLANNING_LOOKBACK_DAYS, REGION, SPECS
 from gridlake.session import build_session
+from gridlake.sources import versions
 from gridlake.sources.tables import export_csv, stages
 from gridlake.streaming.ingest import read_topic
 
@@ -52,6 +53,13 @@ def parser() -> argparse.ArgumentParser:
     planning = job("resource-planning", "daily planning mart", start=False)
     planning.add_argument("--lookback-days", type=int, default=PLANNING_LOOKBACK_DAYS)
     job("power-monthly", "monthly power mart")
+    window = job("run-window", "all layers of one window, and older days its rows change")
+    window.add_argument("--dataset", choices=sorted(SPECS), nargs="+", default=[REGION, FUEL])
+    late_rows = job("late-rows", "marts of days whose facts have changed", start=False, end=False)
+    late_rows.add_argument("--lookback-days", type=int, default=GRID_LOOKBACK_DAYS)
+    expired = job("expire-versions", "forget old versions of a table", start=False, end=False)
+    expired.add_argument("--table", required=True, help="path below the root")
+    expired.add_argument("--keep", type=int, default=10)
     verify = job("verify-coverage", "hourly coverage", start=False)
     verify.add_argument("--dataset", choices=sorted(SPECS), required=True)
     repairs = job("choose-repairs", "hour windows to fetch again, as CSV", start=False)
@@ -103,6 +111,14 @@ def main(argv: Sequence[str] | None = None) -> None:
             jobs.build_resource_planning(spark, lake, args.end, args.lookback_days)
         elif args.job == "power-monthly":
             jobs.build_power_monthly(spark, lake, args.start, args.end)
+        elif args.job == "run-window":
+            if args.start is None or args.end is None:
+                raise SystemExit("run-window needs --start and --end")
+            late.run_window(spark, lake, args.start, args.end, args.dataset)
+        elif args.job == "late-rows":
+            late.propagate(spark, lake, days=args.lookback_days)
+        elif args.job == "expire-versions":
+            versions.expire(spark, f"{lake.root}/{args.table}", args.keep)
         elif args.job == "verify-coverage":
             now = datetime.now(timezone.utc).replace(tzinfo=None)
             jobs.verify_coverage(spark, lake, args.dataset, args.end or now)

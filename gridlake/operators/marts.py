@@ -19,6 +19,7 @@ from gridlake.operators.quality import (
     Rule,
     Unique,
 )
+from gridlake.operators.moments import day_moments, zscores_from_moments
 from gridlake.operators.stats import with_group_stats, with_previous
 from gridlake.schemas import (
     COVERAGE_ALERT,
@@ -91,14 +92,26 @@ def fuel_mix_hourly(fuel: DataFrame) -> DataFrame:
     )
 
 
-def demand_ramp(region: DataFrame) -> DataFrame:
-    """Change of demand against the respondent's previous row, not its previous hour."""
+def demand_ramp(region: DataFrame, reach_days: int | None = None) -> DataFrame:
+    """Change of demand against the respondent's previous row, not its previous hour.
+
+    With ``reach_days``, a row that is more than so many days older is none.
+    """
     month = F.date_trunc("month", "period")
-    previous = with_previous(
-        region, "actual_demand_mwh", "respondent", "period", month, "_previous"
-    )
+    if reach_days is None:
+        before = F.col("_previous")
+        previous = with_previous(
+            region, "actual_demand_mwh", "respondent", "period", month, "_previous"
+        )
+    else:
+        paired = region.withColumn("_pair", F.struct("actual_demand_mwh", "period"))
+        previous = with_previous(
+            paired, "_pair", "respondent", "period", month, "_previous"
+        ).drop("_pair")
+        near = F.col("_previous.period") >= F.col("period") - F.make_dt_interval(F.lit(reach_days))
+        before = F.when(near, F.col("_previous.actual_demand_mwh"))
     return previous.withColumn(
-        "demand_ramp_mwh", F.col("actual_demand_mwh") - F.col("_previous")
+        "demand_ramp_mwh", F.col("actual_demand_mwh") - before
     ).drop("_previous")
 
 
@@ -120,9 +133,12 @@ def zscores(df: DataFrame, by: str, named: dict[str, str]) -> DataFrame:
     return scored.drop(*stats)
 
 
-def grid_measures(region: DataFrame, fuel: DataFrame) -> DataFrame:
+def grid_measures(
+    region: DataFrame, fuel: DataFrame, reach_days: int | None = None
+) -> DataFrame:
     """Hourly ramp, generation by class, gap, coverage and shares per respondent."""
-    joined = demand_ramp(region).join(fuel_mix_hourly(fuel), ["period", "respondent"], "left")
+    mix = fuel_mix_hourly(fuel)
+    joined = demand_ramp(region, reach_days).join(mix, ["period", "respondent"], "left")
     demand, total = F.col("actual_demand_mwh"), F.col("total_generation_mwh")
     return joined.withColumns(
         {
@@ -154,15 +170,38 @@ def grid_status(
     measured = grid_measures(region, fuel)
     if keep:
         measured = keep(measured)
-    scored = zscores(
-        measured,
-        "respondent",
-        {
-            "forecast_error_zscore": "forecast_error_mwh",
-            "demand_ramp_zscore": "demand_ramp_mwh",
-            "demand_zscore": "actual_demand_mwh",
-        },
-    )
+    return _status(zscores(measured, "respondent", GRID_SCORES), as_of)
+
+
+GRID_SCORES = {
+    "forecast_error_zscore": "forecast_error_mwh",
+    "demand_ramp_zscore": "demand_ramp_mwh",
+    "demand_zscore": "actual_demand_mwh",
+}
+
+
+def grid_status_by_day(
+    region: DataFrame,
+    fuel: DataFrame,
+    days: int,
+    keep: Callable[[DataFrame], DataFrame],
+    as_of: Instant = None,
+    scored_days: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """``grid_status`` of measured hours, each day scored over the ``days`` that end with it.
+
+    Unlike a window that moves with every run, a day's own window gives the same rows
+    whenever it is computed. ``scored_days`` picks the rows wanted; rows up to 2 ``days`` before
+    them are needed, ``days`` for the scores and as many for the first ramp. ``keep`` stores
+    the measures and the moments of their days.
+    """
+    measured = keep(grid_measures(region.filter(F.col("actual_demand_mwh").isNotNull()), fuel, days))
+    moments = keep(day_moments(measured, "respondent", list(GRID_SCORES.values())))
+    wanted = scored_days(measured)
+    return _status(zscores_from_moments(wanted, moments, "respondent", GRID_SCORES, days), as_of)
+
+
+def _status(scored: DataFrame, as_of: Instant) -> DataFrame:
     raised = [F.abs(F.col(column)) >= Z_ALERT for _, column, _ in Z_ALERTS]
     raised.append(F.col("coverage_ratio") < COVERAGE_ALERT)
     count = F.lit(0)

@@ -6,7 +6,7 @@ so nothing is computed twice, and a table changes only after its stage has passe
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -124,7 +124,7 @@ def read_mart(spark: SparkSession, lake: Lake, mart: Mart) -> DataFrame:
     return tables.read_table(spark, lake.mart(mart.name), mart.schema)
 
 
-def _staged(df: DataFrame, rules: Sequence[Rule], label: str) -> DataFrame:
+def staged(df: DataFrame, rules: Sequence[Rule], label: str) -> DataFrame:
     """Store ``df`` and return it once its rules hold."""
     stage = tables.write_stage(df, label.replace(".", "-"))
     check(stage, rules, label)
@@ -161,7 +161,7 @@ def clean_dataset(
     # Bronze is opened once; rules, cleaning and retention read the typed rows
     typed = tables.materialized(silver.extract(events, spec), f"extract-{spec.table}")
     check(typed, silver.extract_rules(spec), f"silver.{spec.table}")
-    cleaned = _staged(
+    cleaned = staged(
         silver.newest_complete(typed, spec), silver.clean_rules(spec), f"silver.{spec.table}"
     )
     silver.check_retention(typed, cleaned, spec)
@@ -184,7 +184,7 @@ def _silver(
 def _fact(
     lake: Lake, name: str, built: DataFrame, rules: Sequence[Rule], key: Sequence[str]
 ) -> None:
-    stage = _staged(built, rules, f"gold.{name}")
+    stage = staged(built, rules, f"gold.{name}")
     tables.merge_partitions(stage, lake.fact(name), key, ["loaded_at"], stored=True)
 
 
@@ -209,7 +209,7 @@ def curate_hourly(
     respondents = lake.dimension("respondent")
     base = versions.version(spark, respondents)
     prior = versions.read(spark, respondents, S.DIM_RESPONDENT, base)
-    stage = _staged(
+    stage = staged(
         gold.dim_respondent(region, fuel, prior, as_of),
         gold.DIM_RESPONDENT_RULES,
         "gold.dim_respondent",
@@ -219,7 +219,7 @@ def curate_hourly(
         fuels = lake.dimension("fuel_type")
         base = versions.version(spark, fuels)
         prior = versions.read(spark, fuels, S.DIM_FUEL, base)
-        stage = _staged(
+        stage = staged(
             gold.dim_fuel_type(fuel, prior, as_of), gold.DIM_FUEL_RULES, "gold.dim_fuel_type"
         )
         tables.write_dimension(stage, fuels, base)
@@ -253,7 +253,7 @@ def build_region_daily(
         start = start.replace(hour=0, minute=0, second=0, microsecond=0)
     facts = tables.read_window(spark, lake.fact(REGION_FACT), S.GOLD_REGION, start, end)
     built = marts.region_daily(facts, start, end, as_of)
-    stage = _staged(built, marts.REGION_DAILY_RULES, "platinum.region_demand_daily_stage")
+    stage = staged(built, marts.REGION_DAILY_RULES, "platinum.region_demand_daily_stage")
     _publish(lake, REGION_DAILY, stage, marts.region_daily_published_rules(start, end))
 
 
@@ -287,8 +287,8 @@ def build_grid_operations(
         drop_unmeasured,
         keep=lambda measures: tables.materialized(measures, "grid-measures"),
     )
-    status = _staged(built, marts.GRID_STATUS_RULES, "platinum.grid_operations_hourly_stage")
-    alerts = _staged(
+    status = staged(built, marts.GRID_STATUS_RULES, "platinum.grid_operations_hourly_stage")
+    alerts = staged(
         marts.grid_alerts(status, as_of),
         marts.GRID_ALERT_RULES,
         "platinum.grid_operations_alert_hourly_stage",
@@ -314,7 +314,7 @@ def build_resource_planning(
     fuel = tables.read_window(spark, lake.fact(FUEL_FACT), S.GOLD_FUEL, start, end)
     fuels = tables.read_table(spark, lake.dimension("fuel_type"), S.DIM_FUEL)
     built = marts.planning_daily(region, fuel, fuels, as_of)
-    stage = _staged(built, marts.PLANNING_RULES, "platinum.resource_planning_daily_stage")
+    stage = staged(built, marts.PLANNING_RULES, "platinum.resource_planning_daily_stage")
     _publish(lake, PLANNING, stage, marts.planning_published_rules(end))
 
 
@@ -328,7 +328,7 @@ def build_power_monthly(
     """Monthly power figures of a window; without a bound, of all facts on that side."""
     facts = tables.read_window(spark, lake.fact(POWER_FACT), S.GOLD_POWER, start, end)
     built = marts.power_mart(facts, start, end, as_of)
-    stage = _staged(
+    stage = staged(
         built, marts.POWER_MART_RULES, "platinum.electric_power_operations_monthly_stage"
     )
     _publish(lake, POWER, stage, marts.power_published_rules(start, end))
@@ -402,18 +402,29 @@ def compare_layers(
 
 
 def run_window(
-    spark: SparkSession, lake: Lake, start: datetime, end: datetime, as_of: Time = None
+    spark: SparkSession,
+    lake: Lake,
+    start: datetime,
+    end: datetime,
+    as_of: Time = None,
+    datasets: Collection[str] = (S.REGION, S.FUEL),
 ) -> None:
-    """All layers of one source window for the hourly datasets, after ingestion.
+    """All layers of one source window after ingestion, by default of the hourly datasets.
 
     Stages are deleted at the end, also after a failure; the tables hold what was published.
     """
+    hourly = [dataset for dataset in (S.REGION, S.FUEL) if dataset in datasets]
     with tables.stages(spark):
-        for dataset in (S.REGION, S.FUEL):
+        for dataset in hourly:
             clean_dataset(spark, lake, dataset, start, end)
-        curate_hourly(spark, lake, "all", start, end, as_of)
-        build_region_daily(spark, lake, start, end, as_of)
-        build_grid_operations(spark, lake, end, as_of=as_of, drop_unmeasured=True)
-        build_resource_planning(spark, lake, end, as_of=as_of)
-        for dataset in (S.REGION, S.FUEL):
+        if hourly:
+            curate_hourly(spark, lake, hourly[0] if len(hourly) == 1 else "all", start, end, as_of)
+            build_region_daily(spark, lake, start, end, as_of)
+            build_grid_operations(spark, lake, end, as_of=as_of, drop_unmeasured=True)
+            build_resource_planning(spark, lake, end, as_of=as_of)
+        for dataset in hourly:
             verify_coverage(spark, lake, dataset, end + timedelta(hours=1), as_of)
+        if S.POWER in datasets:
+            clean_dataset(spark, lake, S.POWER, start, end)
+            curate_power(spark, lake, start, end)
+            build_power_monthly(spark, lake, start, end, as_of)

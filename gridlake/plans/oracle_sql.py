@@ -307,6 +307,24 @@ select *, cast(case when abs(forecast_error_zscore) >= 2.5 then 1 else 0 end
 """
 
 
+# the same, each day scored over the 14 days that end with it
+_RESPONDENT = "partition by respondent)"
+_TRAILING = (
+    "partition by respondent order by cast(period as date)"
+    " range between interval 13 days preceding and current row)"
+)
+_PREVIOUS = "lag({}) over (partition by r.respondent order by r.period)"
+CTES["day_measured"] = CTES["measured"].replace(
+    f"actual_demand_mwh - {_PREVIOUS.format('actual_demand_mwh')}",
+    f"case when r.period - interval 14 days <= {_PREVIOUS.format('r.period')}"
+    f" then actual_demand_mwh - {_PREVIOUS.format('actual_demand_mwh')} end",
+)
+CTES["day_scored"] = (
+    CTES["scored"].replace(_RESPONDENT, _TRAILING).replace("from measured", "from day_measured")
+)
+CTES["day_status"] = CTES["status"].replace("from scored", "from day_scored")
+
+
 def z_alert(kind: str, column: str, text: str) -> str:
     return f"""
 select period, respondent, respondent_name, '{kind}' as alert_type,
@@ -328,6 +346,7 @@ select period, respondent, respondent_name, 'fuel_mix_support_gap',
 from status where coverage_ratio < 0.9""",
     ]
 )
+CTES["day_alerts"] = CTES["alerts"].replace("from status", "from day_status")
 CTES["demand_days"] = """
 select cast(period as date) as date, respondent, max(respondent_name) as respondent_name,
   sum(actual_demand_mwh) as daily_demand_mwh, max(actual_demand_mwh) as peak_hourly_demand_mwh,
@@ -1014,6 +1033,25 @@ select period, respondent, {six(score('actual_demand_mwh'), 'demand_zscore')},
     q["grid_status"] = f"select {shown(S.GRID_STATUS.names)} from status"
     q["grid_alerts"] = f"select {shown(S.GRID_ALERTS.names)} from alerts"
     q["alerts_union"] = q["grid_alerts"]
+    late = {
+        "status": ("day_status", "period", ("demand_zscore", "forecast_error_zscore",
+                   "demand_ramp_zscore", "coverage_ratio", "alert_count")),
+        "planning": ("planning", "date", ("daily_demand_mwh", CARBON, GAS)),
+        "daily": (f"({daily('gold_region')})", "date", ("daily_demand_mwh", "peak_hourly_demand_mwh")),
+    }
+    q["late_rows_propagated"] = " union all ".join(
+        [
+            f"select '{name}' as mart, cast({time} as varchar) as time, respondent,"
+            f" '{metric}' as metric, {six(metric, 'value')} from {source}"
+            for name, (source, time, metrics) in late.items()
+            for metric in metrics
+        ]
+        + ["select 'alerts', cast(period as varchar), respondent, alert_type,"
+           f" {six('metric_value', 'value')} from day_alerts"]
+    )
+    q["zscores_from_moments"] = f"""
+select period, respondent, {six(score('actual_demand_mwh'), 'demand_zscore')},
+  {six(score('forecast_error_mwh'), 'forecast_error_zscore')} from gold_region"""
     q["planning_daily"] = f"select {shown(S.PLANNING_DAILY.names)} from planning"
     q["fuel_diversity"] = f"select {shown(['date', 'respondent', DIV])} from diversity"
     q["carbon_intensity"] = f"""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import cached_property, wraps
+from functools import cached_property, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from gridlake.operators import (
     geo,
     gold,
     marts,
+    moments,
     quality,
     rank,
     reconcile,
@@ -32,7 +33,7 @@ from gridlake.operators import (
     stats,
     windowing,
 )
-from gridlake.plans import jobs
+from gridlake.plans import jobs, late
 from gridlake.schemas import (
     DIM_RESPONDENT,
     FUEL,
@@ -1224,6 +1225,55 @@ def read_version(spark: SparkSession, root: str) -> DataFrame:
     return shown[0].unionByName(shown[1]).unionByName(shown[2])
 
 
+def late_marts(spark: SparkSession, root: str) -> jobs.Lake:
+    """Marts of the first half run's facts, brought up after the second half's rows came late."""
+    lake = jobs.Lake(scratch_path(spark, "late"))
+    region, fuel = (tables.materialized(f(spark, root), "late-silver") for f in (silver_region, silver_fuel))
+    tables.write_dimension(gold.dim_fuel_type(fuel, as_of=AS_OF), lake.dimension("fuel_type"))
+    for region_rows, fuel_rows in ((half_hours(region)[0], half_hours(fuel)[0]), (region, fuel)):
+        for name, rows, key in (
+            (jobs.REGION_FACT, gold.region_hourly(region_rows), ("period", "respondent")),
+            (jobs.FUEL_FACT, gold.fuel_hourly(fuel_rows), FUEL_SPEC.business_key),
+        ):
+            tables.merge_partitions(rows, lake.fact(name), key, ["loaded_at"])
+        late.propagate(spark, lake, as_of=AS_OF)
+    return lake
+
+
+LATE_METRICS = {
+    "status": ("demand_zscore", "forecast_error_zscore", "demand_ramp_zscore", "coverage_ratio", "alert_count"),
+    "planning": ("daily_demand_mwh", "carbon_intensity_kg_per_mwh", "peak_hour_gas_share_pct"),
+    "daily": ("daily_demand_mwh", "peak_hourly_demand_mwh"),
+}
+
+
+@query
+def late_rows_propagated(spark: SparkSession, root: str) -> DataFrame:
+    """What four marts hold after the late rows, one row per value."""
+    lake = late_marts(spark, root)
+    named = {"status": jobs.GRID_STATUS, "planning": jobs.PLANNING, "daily": jobs.REGION_DAILY}
+    parts = []
+    for name, mart in named.items():
+        values = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in LATE_METRICS[name]]
+        rows = jobs.read_mart(spark, lake, mart)
+        time = F.col(mart.time).cast("string").alias("time")
+        parts.append(rows.select(F.lit(name).alias("mart"), time, "respondent", F.inline(F.array(*values))))
+    alerts = jobs.read_mart(spark, lake, jobs.GRID_ALERTS)
+    time, value = F.col("period").cast("string"), F.col("metric_value")
+    parts.append(alerts.select(F.lit("alerts"), time, "respondent", "alert_type", value))
+    return present(reduce(DataFrame.union, parts))
+
+
+@query
+def zscores_from_moments(spark: SparkSession, root: str) -> DataFrame:
+    """``zscores`` from one stored row of moments per respondent and day."""
+    rows = tables.materialized(gold_region(spark, root), "gold-region")
+    named = {"demand_zscore": "actual_demand_mwh", "forecast_error_zscore": "forecast_error_mwh"}
+    daily = tables.materialized(moments.day_moments(rows, "respondent", list(named.values())), "moments")
+    scored = moments.zscores_from_moments(rows, daily, "respondent", named)
+    return present(scored.select("period", "respondent", *named))
+
+
 def daily_runs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Two overlapping builds of the daily mart, from the first and the second half run."""
     first, second = half_hours(silver_region(spark, root))
