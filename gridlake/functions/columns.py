@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HOUR_WITH_OFFSET = "yyyy-MM-dd'T'HH[X]"
-ISO_UTC = "yyyy-MM-dd'T'HH:mm:ssxxx"
 ISO_UTC_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 GRAIN_TIME = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -31,15 +30,16 @@ def parse_ts(text: Column) -> Column:
     parsed = F.coalesce(
         F.try_to_timestamp(text), F.try_to_timestamp(text, F.lit(HOUR_WITH_OFFSET))
     )
-    return F.when(text.rlike(PERIOD), parsed)
+    # the length first: most text that is no period is told apart without the pattern
+    return F.when(F.length(text).between(4, 36) & text.rlike(PERIOD), parsed)
 
 
 def iso_utc(instant: Column) -> Column:
-    """ISO-8601 UTC text; with microseconds where the instant has a part of a second."""
-    whole = F.date_trunc("second", instant) == instant
-    return F.when(whole, F.date_format(instant, ISO_UTC)).otherwise(
-        F.date_format(instant, ISO_UTC_MICROS)
-    )
+    """ISO-8601 UTC text; with microseconds where the instant has a part of a second.
+
+    Formatted once, so ``instant``, which may be a parsed text, occurs once.
+    """
+    return F.replace(F.date_format(instant, ISO_UTC_MICROS), F.lit(".000000"), F.lit(""))
 
 
 def normalize_period(text: Column) -> Column:

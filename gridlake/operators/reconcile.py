@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from gridlake.operators.rank import first_by_key
 from gridlake.operators.silver import extract
 from gridlake.operators.windowing import Bound, in_window
 from gridlake.schemas import DEMAND, FORECAST, GRAIN_KEYS, DatasetSpec
+from gridlake.sources.tables import materialized
 
 # marts whose grain is a day
 DAILY_MARTS = ("platinum.region_demand_daily", "platinum.resource_planning_daily")
@@ -81,7 +83,14 @@ def expected_keys(raw: DataFrame, spec: DatasetSpec, target: str) -> DataFrame:
             *[F.col("payload")[source[c]].alias(c) for c in (spec.entity, *spec.dimension)],
         )
         return keys_of(rows.dropna(), "period", spec.entity, spec.dimension)
-    rows = extract(raw, spec)
+    return expected_of_typed(extract(raw, spec), spec, target)
+
+
+def expected_of_typed(rows: DataFrame, spec: DatasetSpec, target: str) -> DataFrame:
+    """``expected_keys`` for a layer above Bronze, from rows that are already typed.
+
+    For several targets of one feed: its payloads are then read once, into a stored stage.
+    """
     complete = rows.dropna(subset=list(spec.expected))
     if target == "silver":
         events = first_by_key(complete, ["event_id"], [F.col("loaded_at"), F.col("period")])
@@ -142,6 +151,54 @@ def reconcile(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def digests(keys: DataFrame) -> DataFrame:
+    """One row per hour: rows, and sums and exclusive or of the keys' 64-bit hashes.
+
+    Neither order nor partitioning takes part, and digests of parts add up to the digest of
+    the whole. Equal digests mean equal keys, repeats included, but for a chance of 2**-64 or less.
+    """
+    mark = F.xxhash64("grain_key")
+    return keys.groupBy(F.date_trunc("hour", "period_start_utc").alias("hour")).agg(
+        F.count("*").alias("rows"),
+        F.sum(F.shiftrightunsigned(mark, 32)).alias("high"),
+        F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+        F.bit_xor(mark).alias("mixed"),
+    )
+
+
+def differing_hours(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Hours whose digests differ, or that only one side has."""
+    parts = ("rows", "high", "low", "mixed")
+
+    def packed(side: DataFrame, name: str) -> DataFrame:
+        return side.select("hour", F.struct(*parts).alias(name))
+
+    both = packed(expected, "expected").join(packed(actual, "actual"), "hour", "full_outer")
+    return both.filter(~F.col("expected").eqNullSafe(F.col("actual"))).select("hour")
+
+
+KeyReader = Callable[[Collection[date] | None], DataFrame]
+
+
+def reconcile_by_digests(expected: KeyReader, actual: KeyReader) -> DataFrame:
+    """What ``reconcile`` gives, with only the days opened in which an hour differs.
+
+    A reader returns the keys of the given days, of all with None. First each side is
+    rolled up to a row per hour, which is all that is shuffled; then the keys of differing
+    hours are compared. Gathered are days, as many as the data has.
+    """
+    hours = materialized(
+        differing_hours(digests(expected(None)), digests(actual(None))), "differing-hours"
+    )
+    days = {row["day"] for row in hours.select(F.to_date("hour").alias("day")).distinct().collect()}
+
+    def opened(read: KeyReader) -> DataFrame:
+        keys = read(days)
+        return keys.join(hours, F.date_trunc("hour", "period_start_utc") == F.col("hour"), "left_semi")
+
+    return reconcile(opened(expected), opened(actual))
+
+
 def _counts() -> list[Column]:
     return [
         F.coalesce(F.sum("expected_rows"), F.lit(0)).alias("expected_count"),

@@ -6,9 +6,9 @@ so nothing is computed twice, and a table changes only after its stage has passe
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from gridlake import schemas as S
 from gridlake.operators import coverage, gold, marts, reconcile, silver
 from gridlake.operators.quality import Rule, check
-from gridlake.operators.windowing import lookback
+from gridlake.operators.windowing import in_window, lookback
 from gridlake.sources import tables, versions
 from gridlake.streaming import ingest
 
@@ -401,6 +401,52 @@ def compare_layers(
     )
 
 
+def _of_days(days: Collection[date] | None) -> Callable[[str], bool] | None:
+    """Which day folders to open; None for all."""
+    if days is None:
+        return None
+    return {f"{tables.DAY}={day.isoformat()}" for day in days}.__contains__
+
+
+def stored_keys(spark: SparkSession, path: str) -> reconcile.KeyReader:
+    """Reads a stored table of keys by days."""
+    at = versions.version(spark, path)
+    return lambda days: versions.read(spark, path, S.GRAIN_KEYS, at, _of_days(days))
+
+
+def differences(
+    spark: SparkSession, lake: Lake, dataset: str, raw: DataFrame, layer: str, start: Time, end: Time
+) -> DataFrame:
+    """Keys that ``raw`` has and Silver or Gold (``layer``) lacks, or the other way round.
+
+    Layers are compared by hourly digests, and only days that differ are opened. Both sides
+    are read at one version, whatever is written meanwhile.
+    """
+    spec = S.SPECS[dataset]
+    name, schema = {
+        S.REGION: (REGION_FACT, S.GOLD_REGION),
+        S.FUEL: (FUEL_FACT, S.GOLD_FUEL),
+        S.POWER: (POWER_FACT, S.GOLD_POWER),
+    }[dataset]
+    path = lake.silver(spec) if layer == "silver" else lake.fact(name)
+    shape = spec.schema if layer == "silver" else schema
+    keys_in = reconcile.silver_keys if layer == "silver" else reconcile.gold_keys
+    at = versions.version(spark, path)
+    wanted = tables.materialized(
+        reconcile.trim(reconcile.expected_keys(raw, spec, layer), start, end), "expected-keys"
+    )
+
+    def expected(days: Collection[date] | None) -> DataFrame:
+        return wanted if days is None else wanted.filter(F.to_date("period_start_utc").isin(list(days)))
+
+    def actual(days: Collection[date] | None) -> DataFrame:
+        rows = versions.read(spark, path, shape, at, _of_days(days))
+        day = tables.DAY if tables.DAY in shape.names else None
+        return reconcile.trim(keys_in(in_window(rows, "period", start, end, day), spec), start, end)
+
+    return reconcile.reconcile_by_digests(expected, actual)
+
+
 def run_window(
     spark: SparkSession,
     lake: Lake,

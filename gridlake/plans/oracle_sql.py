@@ -1309,6 +1309,7 @@ union all select '{power_name}' as stage, * from ({power_gold})"""
 select grain_key, period_start_utc, respondent, dimension_value,
   case when actual_rows = 0 then 'missing' else 'extra' end as reason
 from matched where actual_rows = 0 or expected_rows = 0"""
+    q["reconcile_digests"] = q["reconcile_diff"]
     q["reconcile_by_period"] = f"select period_start_utc, {TOTALS} from matched group by 1"
     q["reconcile_summary"] = f"""
 select 'silver' as stage, '{S.FUEL}' as dataset_id, {STATUS}, expected_count, actual_count,

@@ -749,7 +749,7 @@ def table_counts(spark: SparkSession, root: str) -> DataFrame:
             "platinum.grid_operations_hourly": layers.status,
             "platinum.resource_planning_daily": layers.planning,
             "platinum.electric_power_operations_monthly": marts.power_mart(
-                gold_power(spark, root)
+                tables.materialized(gold_power(spark, root), "gold-power")
             ),
         }
     )
@@ -1063,6 +1063,17 @@ def reconcile_diff(spark: SparkSession, root: str) -> DataFrame:
     return reconcile.reconcile(*compared(spark, root))
 
 
+@query
+def reconcile_digests(spark: SparkSession, root: str) -> DataFrame:
+    """``reconcile_diff`` of stored layers, opening only days whose digests differ."""
+    expected, actual = compared(spark, root)
+    paths = [scratch_path(spark, name) for name in ("expected-keys", "actual-keys")]
+    for keys, path in zip((expected, actual), paths, strict=True):
+        tables.overwrite_partitions(keys.withColumn(tables.DAY, F.to_date("period_start_utc")), path)
+    readers = [jobs.stored_keys(spark, path) for path in paths]
+    return reconcile.reconcile_by_digests(*readers)
+
+
 @query
 def reconcile_by_period(spark: SparkSession, root: str) -> DataFrame:
     return reconcile.by_period(*compared(spark, root))
@@ -1075,34 +1086,40 @@ def reconcile_summary(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def reconcile_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    raw = {
-        REGION_SPEC: tables.materialized(feed.bronze_region(spark, root), "bronze-region"),
-        FUEL_SPEC: tables.materialized(feed.bronze_fuel(spark, root), "bronze-fuel"),
-        POWER_SPEC: tables.materialized(feed.bronze_power(spark, root), "bronze-power"),
+    feeds = {
+        REGION_SPEC: feed.bronze_region(spark, root),
+        FUEL_SPEC: feed.bronze_fuel(spark, root),
+        POWER_SPEC: feed.bronze_power(spark, root),
+    }
+    # payloads are read once: keys and layers follow from the typed rows
+    typed = {
+        spec: tables.materialized(silver.extract(rows, spec), f"extract-{spec.table}")
+        for spec, rows in feeds.items()
     }
     cleaned = {
-        spec: tables.materialized(silver.clean(rows, spec), f"silver-{spec.table}")
-        for spec, rows in raw.items()
+        spec: tables.materialized(silver.newest_complete(rows, spec), f"silver-{spec.table}")
+        for spec, rows in typed.items()
     }
-    facts = {
+    built = {
         REGION_SPEC: gold.region_hourly(cleaned[REGION_SPEC]),
         FUEL_SPEC: gold.fuel_hourly(cleaned[FUEL_SPEC]),
         POWER_SPEC: gold.power_monthly(cleaned[POWER_SPEC]),
     }
+    facts = {spec: tables.materialized(df, f"gold-{spec.table}") for spec, df in built.items()}
     pairs = []
-    for spec, rows in raw.items():
+    for spec, rows in typed.items():
         for stage, actual in (
             ("silver", reconcile.silver_keys(cleaned[spec], spec)),
             ("gold", reconcile.gold_keys(facts[spec], spec)),
         ):
-            expected = reconcile.expected_keys(rows, spec, stage)
+            expected = reconcile.expected_of_typed(rows, spec, stage)
             pairs.append((stage, spec.dataset, expected, actual))
     daily = reconcile.DAILY_MARTS[0]
     pairs.append(
         (
             "platinum",
             daily,
-            reconcile.expected_keys(raw[REGION_SPEC], REGION_SPEC, daily),
+            reconcile.expected_of_typed(typed[REGION_SPEC], REGION_SPEC, daily),
             reconcile.mart_keys(marts.region_daily(facts[REGION_SPEC]), daily),
         )
     )
@@ -1110,7 +1127,7 @@ def reconcile_snapshot(spark: SparkSession, root: str) -> DataFrame:
         (
             "platinum",
             reconcile.POWER_MART,
-            reconcile.expected_keys(raw[POWER_SPEC], POWER_SPEC, reconcile.POWER_MART),
+            reconcile.expected_of_typed(typed[POWER_SPEC], POWER_SPEC, reconcile.POWER_MART),
             reconcile.mart_keys(marts.power_mart(facts[POWER_SPEC]), reconcile.POWER_MART),
         )
     )

@@ -2,8 +2,12 @@ from __future__ import annotations
 
 import json
 
-from gridlake.operators import bronze, reconcile
-from gridlake.schemas import GRAIN_KEYS, POWER, POWER_SPEC, REGION, REGION_SPEC
+from pyspark.sql import functions as F
+
+from gridlake.operators import bronze, reconcile, silver
+from gridlake.plans import jobs
+from gridlake.schemas import FUEL_SPEC, GRAIN_KEYS, POWER, POWER_SPEC, REGION, REGION_SPEC
+from gridlake.sources import feed, tables
 from test_envelope_bronze import event, message
 
 
@@ -115,3 +119,53 @@ def test_power_keys(spark):
         got = reconcile.expected_keys(rows, POWER_SPEC, target).collect()
         assert [r["grain_key"] for r in got] == wanted
     assert [r["grain_key"] for r in reconcile.bronze_keys(rows, POWER_SPEC).collect()] == wanted
+
+
+def test_digests_ignore_order_and_partitioning(spark, at):
+    names = [f"k{i % 40}" for i in range(60)]
+    one, other = keys(spark, at, *names), keys(spark, at, *reversed(names)).repartition(5)
+    assert reconcile.differing_hours(reconcile.digests(one), reconcile.digests(other)).count() == 0
+    for changed in (names[1:], [*names, "k1"], [*names[1:], "k99"], []):
+        digest = reconcile.digests(keys(spark, at, *changed))
+        assert [r["hour"] for r in reconcile.differing_hours(reconcile.digests(one), digest).collect()] == [at(1)]
+
+
+def test_only_days_that_differ_are_opened(spark, at, tmp_path):
+    """The stored sides agree on all days but one."""
+
+    def stored(name, *skipped):
+        rows = [(f"{d}-{i}", at(d, i % 24), "PJM", "D") for d in range(1, 9) for i in range(30) if (d, i) not in skipped]
+        path = f"{tmp_path}/{name}"
+        table = spark.createDataFrame(rows, GRAIN_KEYS).withColumn("event_date", F.to_date("period_start_utc"))
+        tables.overwrite_partitions(table, path)
+        opened = []
+        read = jobs.stored_keys(spark, path)
+
+        def watched(days):
+            rows = read(days)
+            if days is not None:
+                opened.append((days, rows.inputFiles()))
+            return rows
+
+        return watched, opened, spark.createDataFrame(rows, GRAIN_KEYS)
+
+    (expected, opened, all_expected), (actual, seen, all_actual) = stored("expected", (5, 3)), stored("actual", (5, 27), (5, 9))
+    got = reconcile.reconcile_by_digests(expected, actual).collect()
+    assert sorted(map(str, got)) == sorted(map(str, reconcile.reconcile(all_expected, all_actual).collect()))
+    assert {(r["grain_key"], r["reason"]) for r in got} == {("5-3", "extra"), ("5-27", "missing"), ("5-9", "missing")}
+    for days, files in (*opened, *seen):
+        assert days == {at(5).date()} and files and all("event_date=2026-01-05" in f for f in files)
+
+
+def test_layers_are_compared_by_digests(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path))
+    raw = feed.bronze_fuel(spark, "/root/testdata/sf0.001")
+    cleaned = silver.clean_fuel(raw).filter("respondent != 'PJM' or hour(period) != 3")
+    tables.overwrite_partitions(cleaned, lake.silver(FUEL_SPEC))
+    got = jobs.differences(spark, lake, FUEL_SPEC.dataset, raw, "silver", "2024-01-03", "2024-01-10")
+    expected = reconcile.reconcile(
+        reconcile.trim(reconcile.expected_keys(raw, FUEL_SPEC, "silver"), "2024-01-03", "2024-01-10"),
+        reconcile.trim(reconcile.silver_keys(cleaned, FUEL_SPEC), "2024-01-03", "2024-01-10"),
+    )
+    rows = sorted(map(str, got.collect()))
+    assert rows and rows == sorted(map(str, expected.collect()))
