@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm.batches import map_batches
+from gridlake.llm.sampling import sampled
 
 #: The most texts that are learned from; a quarter of them only calibrates.
 SAMPLE = 3_000
@@ -201,26 +202,18 @@ def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
 def train(documents: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """Learn from at most ``sample`` texts with a language, outside of the held-out fold.
 
-    Ids are chosen first, in the order of a hash, without reading a text. The chosen
-    texts are counted by tasks; only bucket counts reach the driver, at most BUCKETS per text.
+    Ids are chosen first, by a hash, without reading a text. The chosen texts are counted by
+    tasks; only their bucket counts reach the driver, at most BUCKETS per text.
     """
-    known = documents.filter(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
-    chosen = [
-        row["doc_id"]
-        for row in known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
-    ]
-    if not chosen:
-        return LanguageModel()
-    kind = dict(documents.dtypes)["doc_id"]
-    ids = documents.sparkSession.createDataFrame([(i,) for i in set(chosen)], f"chosen {kind}")
-    texts = known.join(F.broadcast(ids), F.col("doc_id") == F.col("chosen"), "left_semi").select(
-        "doc_id", "lang", "text"
-    )
+    narrow = documents.select("doc_id", "lang", "text")
+    known = narrow.filter(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
+    kind = dict(narrow.dtypes)["doc_id"]
     counted = map_batches(
-        texts, _counted, f"doc_id {kind}, lang string, ids array<int>, counts array<float>"
+        sampled(known, "doc_id", sample),
+        _counted,
+        f"doc_id {kind}, lang string, ids array<int>, counts array<float>",
     )
-    # repeated ids may bring a few rows more than ``sample``
-    rows = counted.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "ids").limit(sample).toArrow()
+    rows = counted.toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
     if not rows.num_rows:
         return LanguageModel()
     rows = rows.combine_chunks()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gridlake.llm.batches import TEXT_ROWS, map_batches, utf8
 from gridlake.llm.rules import label_per_document
-from gridlake.sources.tables import materialized
+from gridlake.llm.sampling import hash_bound, mark
 
 #: The most labelled rows that are fitted.
 SAMPLE = 20_000
@@ -88,15 +88,6 @@ def _featured(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def feature_table(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, features) of each row, stored: a few numbers per text."""
-    narrow = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = dict(narrow.dtypes)["doc_id"]
-    return materialized(
-        map_batches(narrow, _featured, f"doc_id {kind}, features array<float>"), "features"
-    )
-
-
 # --- the model ----------------------------------------------------------------
 
 
@@ -238,20 +229,37 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def train(table: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
+def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
     """Fit on at most ``sample`` labelled rows outside of the held-out fold.
 
-    Rows are taken in the order of a hash of their id, so the choice is the same for any
-    partitioning. Labels with a null id or label are left out.
+    Rows are chosen by a hash of their id, without reading a text, so the choice is the same
+    for any partitioning; the features of their texts alone are computed and reach the
+    driver. Labels with a null id or label are left out.
     """
     marked = label_per_document(labels)
-    known = table.filter(fold(F.col("doc_id")) != HELD_OUT).join(
-        marked, F.col("doc_id") == F.col("label_id")
+    narrow = documents.select("doc_id", "text").filter(fold(F.col("doc_id")) != HELD_OUT)
+    known = narrow.select("doc_id").join(marked, F.col("doc_id") == F.col("label_id"))
+    bound = hash_bound(known.select("doc_id"), sample)
+    chosen = marked.filter(mark(F.col("label_id")) <= F.lit(bound - 1))
+    texts = narrow.filter(mark(F.col("doc_id")) <= F.lit(bound - 1)).join(
+        chosen, F.col("doc_id") == F.col("label_id")
+    )
+    kind = dict(narrow.dtypes)["doc_id"]
+    featured = map_batches(
+        texts.select("doc_id", "text", F.col("label").cast("double").alias("label")),
+        _labelled,
+        f"doc_id {kind}, features array<float>, label double",
+    )
+    rows = sorted((row["doc_id"], row["features"], row["label"]) for row in featured.collect())
+    values = np.array([row[1] for row in rows], np.float32).reshape(-1, len(FEATURES))
+    return fit(values, np.array([row[2] for row in rows], float))
+
+
+def _labelled(batch: pa.RecordBatch) -> pa.RecordBatch:
+    own = _featured(batch)
+    return pa.RecordBatch.from_arrays(
+        [*own.columns, batch.column("label")], ["doc_id", "features", "label"]
     )
-    order = (F.xxhash64("doc_id"), "doc_id", "features")
-    rows = known.select("doc_id", "features", "label").orderBy(*order).limit(sample).collect()
-    values = np.array([row["features"] for row in rows], np.float32).reshape(-1, len(FEATURES))
-    return fit(values, np.array([row["label"] for row in rows], float))
 
 
 def score_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -261,18 +269,17 @@ def score_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     them. A null id is in no fold (held_out is false) and has no label. Repeated rows get
     equal scores.
     """
-    table = feature_table(documents)
-    model = train(table, labels, sample)
+    model = train(documents, labels, sample)
 
     def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
-        flat = batch.column("features").flatten().to_numpy(zero_copy_only=False)
-        scores = model.score(flat.reshape(-1, len(FEATURES)))
+        scores = _scores(model, utf8(batch, "text"))
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"]
         )
 
-    kind = dict(table.dtypes)["doc_id"]
-    return map_batches(table, scored, f"doc_id {kind}, score double").select(
+    texts = documents.select("doc_id", "text")
+    kind = dict(texts.dtypes)["doc_id"]
+    return map_batches(texts, scored, f"doc_id {kind}, score double").select(
         "doc_id",
         F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"),
         "score",
@@ -280,20 +287,24 @@ def score_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     )
 
 
+def _scores(model: AdditiveModel, texts: list[bytes]) -> np.ndarray:
+    rows = [text_features(text) for text in texts]
+    return model.score(np.array(rows, np.float32).reshape(-1, len(FEATURES)))
+
+
 def accepted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``documents`` the classifier accepts, with all their columns.
 
     The same scores as ``score_quality``, computed next to the text, so no text is shuffled.
     """
-    model = train(feature_table(documents), labels, sample)
+    model = train(documents, labels, sample)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        rows = [text_features((text or "").encode(errors="surrogatepass")) for text in texts]
-        values = np.array(rows, np.float32).reshape(-1, len(FEATURES))
-        return pd.Series(model.score(values))
+        found = []
+        for start in range(0, len(texts), TEXT_ROWS):
+            part = texts.iloc[start : start + TEXT_ROWS]
+            found.append(_scores(model, [(t or "").encode(errors="surrogatepass") for t in part]))
+        return pd.Series(np.concatenate(found) if found else np.zeros(0))
 
-    documents.sparkSession.conf.set(
-        "spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS)
-    )
     return documents.filter(score(F.col("text")) >= ACCEPT)
