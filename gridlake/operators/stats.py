@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,68 +73,143 @@ def unpivot_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
     ).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def _ranked_counts(values: DataFrame) -> DataFrame:
-    """(metric, value, rows, part): rows per distinct value, in parts ordered by value.
+#: Bins a range is cut into per pass, and the distinct values of a range that are put in order.
+BINS, ORDERED = 32, 10_000
 
-    Counting is combined before its shuffle, so a value that very many rows share is one
-    row. Ranges are sampled, so parts are of about the same size for any distribution.
+
+@dataclass(frozen=True)
+class _Range:
+    """Where a rank lies: values of ``metric`` above ``low`` and up to ``high`` (None: no bound).
+
+    ``before`` rows come ahead of the range; ``distinct`` values are in it.
+    """
+
+    metric: str
+    rank: int
+    low: float | None
+    high: float | None
+    before: int
+    distinct: int
+
+    def holds(self) -> Column:
+        inside = F.col("metric") == self.metric
+        if self.low is not None:
+            inside &= F.col("value") > F.lit(self.low)
+        if self.high is not None:
+            inside &= F.col("value") <= F.lit(self.high)
+        return inside
+
+
+def _bin(borders: Sequence[float], first: int = 0) -> Column:
+    """The number of borders below the value, by halving."""
+    if not borders:
+        return F.lit(first)
+    middle = len(borders) // 2
+    above = F.col("value") > F.lit(borders[middle])
+    return F.when(above, _bin(borders[middle + 1 :], first + middle + 1)).otherwise(
+        _bin(borders[:middle], first)
+    )
+
+
+def _narrowed(counted: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
+    """Each range cut at about equal numbers of distinct values; the part that holds its rank.
+
+    Two aggregates over all ranges at once. What comes back is BINS rows per range.
     """
-    counted = values.groupBy("metric", "value").agg(F.count("*").alias("rows"))
-    ranged = counted.repartitionByRange("metric", "value")
-    return materialized(ranged.withColumn("part", F.spark_partition_id()), "quantiles")
+    points = [i / BINS for i in range(1, BINS)]
+    cuts = counted.agg(
+        *[
+            F.percentile_approx(F.when(r.holds(), F.col("value")), points, 50 * BINS).alias(f"r{i}")
+            for i, r in enumerate(ranges)
+        ]
+    ).first()
+    borders = [sorted(set(cuts[f"r{i}"] or [])) for i in range(len(ranges))]
+    placed = F.array(
+        *[
+            F.when(r.holds(), F.struct(F.lit(i).alias("range"), _bin(borders[i]).alias("bin")))
+            for i, r in enumerate(ranges)
+        ]
+    )
+    counts = (
+        counted.select("rows", F.inline(F.array_compact(placed)))
+        .groupBy("range", "bin")
+        .agg(F.sum("rows").alias("rows"), F.count("*").alias("distinct"))
+        .collect()
+    )
+    found = []
+    for i, r in enumerate(ranges):
+        before = r.before
+        for row in sorted((row for row in counts if row["range"] == i), key=lambda row: row["bin"]):
+            if r.rank < before + row["rows"]:
+                at = row["bin"]
+                low = borders[i][at - 1] if at else r.low
+                high = borders[i][at] if at < len(borders[i]) else r.high
+                found.append(_Range(r.metric, r.rank, low, high, before, row["distinct"]))
+                break
+            before += row["rows"]
+    return found
 
 
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
     """One row with an exact, linearly interpolated quantile per name.
 
     ``wanted`` maps a result name to (column, probability). Nulls and NaN do not
-    count; a column without values gives null. Distinct values with their counts are
-    range-partitioned. One total per part and their running total (as many rows as
-    parts) tell which part holds a rank, and only that part is looked into.
+    count; a column without values gives null. Distinct values are counted and stored,
+    so a value that very many rows share is one row. The range that holds a rank is cut
+    at sampled borders, and its part with the rank cut again, until no more than ORDERED
+    distinct values are left; these alone are put in order. So no task orders more than
+    that, whatever the number of rows or of shuffle partitions, and every size takes this path.
     """
     columns = sorted({column for column, _ in wanted.values()})
-    ranked = _ranked_counts(unpivot_values(df, columns))
-    in_order = Window.partitionBy("metric").orderBy("part")
-    parts = (
-        ranked.groupBy("metric", "part")
-        .agg(F.sum("rows").alias("rows"))
-        .withColumn("upto", F.sum("rows").over(in_order))
-        .withColumn("n", F.sum("rows").over(Window.partitionBy("metric")))
+    values = unpivot_values(df, columns)
+    counted = materialized(
+        values.groupBy("metric", "value").agg(F.count("*").alias("rows")), "quantiles"
     )
-    targets = F.array(
+    sizes = {
+        row["metric"]: (row["rows"], row["distinct"])
+        for row in counted.groupBy("metric")
+        .agg(F.sum("rows").alias("rows"), F.count("*").alias("distinct"))
+        .collect()
+    }
+    places = {
+        name: (column, p * (sizes[column][0] - 1))
+        for name, (column, p) in wanted.items()
+        if column in sizes
+    }
+    ranks = {(c, f(rank)) for c, rank in places.values() for f in (math.floor, math.ceil)}
+    ranges = [_Range(c, rank, None, None, 0, sizes[c][1]) for c, rank in sorted(ranks)]
+    while wide := [r for r in ranges if r.distinct > ORDERED]:
+        narrow = _narrowed(counted, wide)
+        if [r.distinct for r in narrow] == [r.distinct for r in wide]:
+            break  # borders no longer tell values apart
+        ranges = [r for r in ranges if r.distinct <= ORDERED] + narrow
+    null = F.lit(None).cast("double")
+    if not ranges:
+        return counted.agg(*[F.max(null).alias(name) for name in wanted])
+    listed = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(column).alias("column"),
-                (F.lit(p) * (F.col("n") - 1)).alias("rank"),
-                F.lit(upper).alias("upper"),
-            )
-            for name, (column, p) in wanted.items()
-            for upper in (False, True)
+            F.when(r.holds(), F.struct(F.lit(i).alias("range"), F.lit(r.rank - r.before).alias("within")))
+            for i, r in enumerate(ranges)
         ]
     )
-    before = F.col("upto") - F.col("rows")
-    place = F.when(F.col("upper"), F.ceil("rank")).otherwise(F.floor("rank"))
-    # two rows per wanted quantile: safe to broadcast
-    places = (
-        parts.select("metric", "part", "rows", "upto", F.inline(targets))
-        .filter((F.col("metric") == F.col("column")) & (place >= before) & (place < F.col("upto")))
-        .select("metric", "part", "name", "rank", "upper", (place - before).alias("within"))
-    )
-    inside = Window.partitionBy("name", "upper").orderBy("value")
+    inside = Window.partitionBy("range").orderBy("value")
     found = (
-        ranked.join(F.broadcast(places), ["metric", "part"])
+        counted.select("value", "rows", F.inline(F.array_compact(listed)))
         .withColumn("reached", F.sum("rows").over(inside))
         .filter(F.col("reached") > F.col("within"))
-        .groupBy("name", "rank", "upper")
+        .groupBy("range")
         .agg(F.min("value").alias("value"))
     )
-    per_name = found.groupBy("name").agg(
-        F.max(F.when(~F.col("upper"), F.col("value"))).alias("low"),
-        F.max(F.when(F.col("upper"), F.col("value"))).alias("high"),
-        F.max(F.col("rank") - F.floor("rank")).alias("share"),
-    )
-    quantile = F.col("low") + (F.col("high") - F.col("low")) * F.col("share")
-    return per_name.agg(
-        *[F.max(F.when(F.col("name") == name, quantile)).alias(name) for name in wanted]
-    )
+    number = {(r.metric, r.rank): i for i, r in enumerate(ranges)}
+
+    def at(column: str, rank: int) -> Column:
+        return F.max(F.when(F.col("range") == number[column, rank], F.col("value")))
+
+    def quantile(name: str) -> Column:
+        if name not in places:
+            return F.max(null)
+        column, rank = places[name]
+        low, high = at(column, math.floor(rank)), at(column, math.ceil(rank))
+        return low + (high - low) * F.lit(rank - math.floor(rank))
+
+    return found.agg(*[quantile(name).alias(name) for name in wanted])

@@ -84,6 +84,21 @@ def test_quantiles_of_many_values(spark):
     assert got == {name: pytest.approx(value) for name, value in expected.items()}
 
 
+def test_ranges_narrow_whatever_the_partitions(spark, monkeypatch):
+    """5 million distinct, very uneven values: under 1 % of them are put in order."""
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    df = spark.range(5_000_000).select(F.exp(F.rand(3) * 600 - 300).alias("x"))
+    seen = []
+    narrow = stats._narrowed
+    monkeypatch.setattr(stats, "_narrowed", lambda *args: seen.append(narrow(*args)) or seen[-1])
+    wanted = {"median": ("x", 0.5), "low": ("x", 0.001), "top": ("x", 1.0)}
+    got = stats.exact_quantiles(df, wanted).first().asDict()
+    exact = df.agg(*[F.percentile("x", p).alias(n) for n, (_, p) in wanted.items()]).first().asDict()
+    assert got == {name: pytest.approx(value, rel=1e-12) for name, value in exact.items()}
+    assert 2 <= len(seen) <= 4
+    assert all(r.distinct <= stats.ORDERED for r in seen[-1]) and stats.ORDERED < 0.01 * 5_000_000
+
+
 def test_group_statistics_do_not_move_the_rows(spark):
     df = spark.range(1000).select((F.col("id") % 6).alias("k"), F.col("id").alias("x"))
     joined = stats.with_group_stats(df, ["k"], total=F.sum("x"))
