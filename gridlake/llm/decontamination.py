@@ -24,9 +24,6 @@ from gridlake.llm.words import alnum_words, hashes, windowed
 from gridlake.sources.tables import materialized
 
 WINDOW, GRAM = 13, 8
-#: Up to so many texts with a shared fingerprint are sent to every executor; the shuffle
-#: join takes over beyond. Either way gives the same rows.
-BROADCAST_ROWS = 100_000
 
 
 def _least(*values: Column) -> Column:
@@ -176,10 +173,9 @@ def contamination(
         .agg(F.collect_set("mark").alias("shared")),
         "shared",
     )
-    # 2. the words themselves
-    few = shared.count() <= BROADCAST_ROWS
-    side = F.broadcast(shared) if few else shared
-    suspects = docs.join(side, _same(docs, side)).select(
+    # 2. the words themselves; the stored marks have a measured size, which decides how the
+    # texts meet them
+    suspects = docs.join(shared, _same(docs, shared)).select(
         docs["doc_id"], docs["body"], docs["text"], "shared"
     )
     marked = _marked(suspects, window, gram, shortest)
