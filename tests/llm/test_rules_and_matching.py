@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import hashlib
 import re
 from math import comb
@@ -170,11 +172,17 @@ def test_every_shared_window_is_found(documents, benchmark_items, word_text):
     assert got_contamination(documents(docs), benchmark_items(full)) == plain_contamination(docs, full)
 
 
-def test_many_documents_share_a_passage_without_the_broadcast(documents, benchmark_items, word_text, monkeypatch):
-    monkeypatch.setattr("gridlake.llm.decontamination.BROADCAST_ROWS", 0)
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_many_documents_share_a_passage_with_and_without_a_broadcast(spark, documents, benchmark_items, word_text, threshold):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
     docs = [(i, f"{word_text(20, 100 + i)} {word_text(25, 1)}") for i in range(60)]
     items = [(i, word_text(25, 1)) for i in range(5)]
-    assert got_contamination(documents(docs), benchmark_items(items)) == plain_contamination(docs, items)
+    spark.conf.set(name, threshold)
+    try:
+        assert got_contamination(documents(docs), benchmark_items(items)) == plain_contamination(docs, items)
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_empty_tables_and_kept_rows(documents, benchmark_items, word_text):
