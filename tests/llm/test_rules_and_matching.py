@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import pytest
-
 import hashlib
 import re
 from math import comb
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
 
