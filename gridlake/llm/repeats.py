@@ -93,10 +93,18 @@ def pieces_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(part) for part in zip(*found, strict=True))  # type: ignore[return-value]
 
 
-def keyed_pieces(text: bytes) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(bucket, hash of its bytes, first suffix, suffixes, whether the text had it before)."""
+def keyed_pieces(text: bytes, repeated_only: bool = False) -> Iterator[tuple[int, int, int, int, bool]]:
+    """(bucket, hash of its bytes, first suffix, suffixes, whether the text had it before).
+
+    ``repeated_only`` leaves out pieces whose bucket the text has once: none of them is repeated.
+    """
+    buckets, starts, sizes = pieces_of(text)
+    if repeated_only:
+        _, number, counts = np.unique(buckets, return_inverse=True, return_counts=True)
+        often = counts[number] > 1
+        buckets, starts, sizes = buckets[often], starts[often], sizes[often]
     seen = set()
-    for bucket, start, n in zip(*(x.tolist() for x in pieces_of(text)), strict=True):
+    for bucket, start, n in zip(buckets.tolist(), starts.tolist(), sizes.tolist(), strict=True):
         key = xxhash.xxh64_intdigest(text[start : start + n + SPAN - 1])
         yield bucket, key - (1 << 63), start, n, (bucket, key) in seen
         seen.add((bucket, key))
@@ -146,6 +154,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets of each batch with their pieces."""
+    for batch in batches:
+        own = [pieces_of(text)[0] for text in utf8(batch, "text")]
+        buckets, counts = np.unique(np.concatenate(own), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(counts)], ["bucket", "pieces"])
+
+
 def _same(left: str, right: str) -> Column:
     a, b = (lambda c, t=t: F.col(f"{t}.{c}") for t in (left, right))
     return a("doc_id").eqNullSafe(b("doc_id")) & (a("body") == b("body"))
@@ -154,8 +170,9 @@ def _same(left: str, right: str) -> Column:
 def _pieces(texts: DataFrame, kind: str) -> DataFrame:
     """Pieces whose bucket has more than one: doc_id, body, bucket, piece, place."""
     schema = f"{_ROW.format(kind)}, bucket long, piece long, place long"
-    cut = map_partitions(texts, _cut, schema)
-    shared = _stored(cut.groupBy("bucket").count().filter("count > 1").select("bucket"), "buckets")
+    counted = map_partitions(texts, _counted, "bucket long, pieces long").groupBy("bucket")
+    often = counted.agg(F.sum("pieces").alias("pieces")).filter("pieces > 1")
+    shared = _stored(often.select("bucket"), "buckets")
     return _stored(map_partitions(texts, _cut, schema).join(shared, "bucket"), "pieces")
 
 
@@ -321,7 +338,7 @@ def _narrow(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 def kept_bytes(text: bytes, spans: list[dict[str, Any]]) -> tuple[bytes, int]:
     """What is left of a text without the spans and its own repeated pieces, and the runs removed."""
     cuts = [(span["start"], span["stop"]) for span in spans]
-    cuts += [(start, start + n + SPAN - 1) for _, _, start, n, again in keyed_pieces(text) if again]
+    cuts += [(start, start + n + SPAN - 1) for _, _, start, n, again in keyed_pieces(text, True) if again]
     kept, runs, reach = [], 0, None
     for start, stop in sorted(cuts):
         if reach is None or start > reach:
