@@ -62,6 +62,7 @@ def parser() -> argparse.ArgumentParser:
     expired.add_argument("--keep", type=int, default=10)
     verify = job("verify-coverage", "hourly coverage", start=False)
     verify.add_argument("--dataset", choices=sorted(SPECS), required=True)
+    verify.add_argument("--recount", action="store_true", help="count all of Bronze again")
     repairs = job("choose-repairs", "hour windows to fetch again, as CSV", start=False)
     repairs.add_argument("--dataset", choices=sorted(SPECS), required=True)
     repairs.add_argument("--open-jobs", help="parquet: dataset_id, hour_start_utc, status")
@@ -121,7 +122,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             versions.expire(spark, f"{lake.root}/{args.table}", args.keep)
         elif args.job == "verify-coverage":
             now = datetime.now(timezone.utc).replace(tzinfo=None)
-            jobs.verify_coverage(spark, lake, args.dataset, args.end or now)
+            jobs.verify_coverage(
+                spark, lake, args.dataset, args.end or now, recount=args.recount
+            )
         elif args.job == "choose-repairs":
             now = datetime.now(timezone.utc).replace(tzinfo=None)
             open_jobs = (

@@ -18,7 +18,7 @@ from gridlake import schemas as S
 from gridlake.operators import coverage, gold, marts, reconcile, silver
 from gridlake.operators.quality import Rule, check
 from gridlake.operators.windowing import in_window, lookback
-from gridlake.sources import tables, versions
+from gridlake.sources import notes, tables, versions
 from gridlake.streaming import ingest
 
 Time = datetime | str | None
@@ -38,6 +38,9 @@ class Lake:
     def quarantine(self) -> str:
         return f"{self.root}/bronze/quarantine"
 
+    def hour_counts(self, dataset: str) -> str:
+        return f"{self.root}/bronze/hour_counts/{dataset}"
+
     def progress(self, topic: str) -> str:
         return f"{self.root}/bronze/checkpoints/{topic}"
 
@@ -334,13 +337,49 @@ def build_power_monthly(
     _publish(lake, POWER, stage, marts.power_published_rules(start, end))
 
 
+def hour_counts(
+    spark: SparkSession, lake: Lake, dataset: str, recount: bool = False
+) -> DataFrame:
+    """Rows per hour of a dataset's Bronze, kept in a table of their own.
+
+    Only days that got rows since the last call are listed and counted again, whole; the
+    table has one row per hour. The first call, and every one with ``recount``, counts all of
+    Bronze: for rows that were appended without a note or removed.
+    """
+    path = lake.hour_counts(dataset)
+    base = versions.version(spark, path)
+    found = notes.pending(spark, lake.bronze, dataset)
+    month = F.date_format("hour_start_utc", "yyyy-MM")
+    if recount or base.number == 0:
+        events = tables.read_bronze(spark, lake.bronze, dataset)
+        counted = coverage.partition_counts(events).withColumn("month", month)
+        versions.commit(counted, path, "month", base, emptied=tuple(base.places))
+    elif found:
+        days = notes.days(spark, found, dataset)
+        events = tables.read_bronze_days(spark, lake.bronze, days)
+        counted = coverage.partition_counts(events)
+        tables.upsert_table(
+            counted, path, S.HOUR_COUNTS, ["hour_start_utc"], by=("month", month)
+        )
+    notes.settle(spark, found)
+    return tables.read_table(spark, path, S.HOUR_COUNTS)
+
+
 def verify_coverage(
-    spark: SparkSession, lake: Lake, dataset: str, boundary: datetime, as_of: Time = None
+    spark: SparkSession,
+    lake: Lake,
+    dataset: str,
+    boundary: datetime,
+    as_of: Time = None,
+    recount: bool = False,
 ) -> None:
-    """Hourly coverage of a dataset up to ``boundary``."""
-    events = tables.read_bronze(spark, lake.bronze, dataset)
+    """Hourly coverage of a dataset up to ``boundary``, from the stored counts per hour.
+
+    Every hour is written again, since the usual count and the end of the spine are
+    columns of each; that is 24 rows per day, whatever Bronze holds.
+    """
     hour = boundary.replace(minute=0, second=0, microsecond=0)
-    counts = coverage.partition_counts(events)
+    counts = hour_counts(spark, lake, dataset, recount)
     built = coverage.coverage_of(counts, dataset, hour, as_of)
     _publish(lake, COVERAGE, tables.materialized(built, "coverage"))
 

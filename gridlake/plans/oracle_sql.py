@@ -741,6 +741,7 @@ where event_id % 43 = 0 or period is null"""
     q["modal_count"] = "select * from usual"
     q["hour_spine"] = "select * from spine"
     q["hourly_coverage"] = "select * from covered"
+    q["coverage_from_state"] = "select * from covered"
     q["coverage_summary"] = """
 select dataset_id, status, count(*) as hour_count, min(hour_start_utc) as min_hour_start_utc,
   max(hour_start_utc) as max_hour_start_utc from covered group by 1, 2"""

@@ -345,6 +345,7 @@ HOURLY_COVERAGE = table(
     " oldest_hour_utc timestamp, newest_hour_utc timestamp,"
     " verification_boundary_hour_utc timestamp, verified_at timestamp"
 )
+HOUR_COUNTS = table("hour_start_utc timestamp, observed_row_count bigint")
 GRAIN_KEYS = table(
     "grain_key string, period_start_utc timestamp, respondent string, dimension_value string"
 )

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +86,25 @@ def read_bronze(
     return stored
 
 
+def day_place(spark: SparkSession, path: str, values: Mapping[str, object]) -> str:
+    """The folder below ``path`` of the given partition values, escaped as Spark does."""
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path, *(named.getPartitionPathString(c, str(v)) for c, v in values.items())])
+
+
+def read_bronze_days(spark: SparkSession, path: str, days: Sequence[Row]) -> DataFrame:
+    """Events of the given day folders; no other folder is listed.
+
+    ``days`` are rows of the partition columns of Bronze without the hour. Folders that do
+    not exist are skipped.
+    """
+    places = [day_place(spark, path, day.asDict()) for day in days]
+    present = [place for place in places if exists(spark, place)]
+    if not present:
+        return spark.createDataFrame([], BRONZE)
+    return spark.read.schema(BRONZE).option("basePath", path).parquet(*present)
+
+
 def read_merged_schema(spark: SparkSession, path: str) -> DataFrame:
     """A table whose files differ in columns, with all of them."""
     return spark.read.option("mergeSchema", True).parquet(path)

@@ -12,7 +12,8 @@ from gridlake.operators.bronze import (
     usable,
 )
 from gridlake.schemas import BRONZE, BRONZE_PARTITIONS, MESSAGE
-from gridlake.sources.tables import append_partitioned, exists, read_table
+from gridlake.sources import notes
+from gridlake.sources.tables import append_partitioned, read_bronze_days, read_table
 
 
 def read_topic(
@@ -54,18 +55,7 @@ def existing_ids(spark: SparkSession, batch: DataFrame, bronze_path: str) -> Dat
     of its events comes to the driver. Hours are then met by a join on partition columns.
     """
     days = batch.select(*BRONZE_PARTITIONS[:-1]).distinct().collect()
-    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    places = [
-        "/".join(
-            [bronze_path]
-            + [named.getPartitionPathString(c, str(row[c])) for c in BRONZE_PARTITIONS[:-1]]
-        )
-        for row in days
-    ]
-    present = [place for place in places if exists(spark, place)]
-    if not present:
-        return spark.createDataFrame([], "event_id string")
-    stored = spark.read.schema(BRONZE).option("basePath", bronze_path).parquet(*present)
+    stored = read_bronze_days(spark, bronze_path, days)
     hours = batch.select(*BRONZE_PARTITIONS).distinct()
     return (
         stored.join(hours, list(BRONZE_PARTITIONS), "left_semi").select("event_id").distinct()
@@ -76,7 +66,8 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
     """Append the batch's new events; keep the unusable messages aside.
 
     Running it again on the same messages adds no event: what was stored is found
-    by its id. So a batch that failed half way can simply be repeated.
+    by its id. So a batch that failed half way can simply be repeated. The days of all its
+    events, also of those stored before, are noted after they are in place.
     """
     spark = messages.sparkSession
     decoded = decode(messages).persist()  # JSON is opened once, its rows used four times
@@ -84,6 +75,7 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
         events = decoded.filter(usable())
         fresh = replay_safe_batch(events, existing_ids(spark, events, bronze_path))
         append_partitioned(fresh, bronze_path)
+        notes.leave(events, bronze_path)
         refused = refusals(decoded)
         place = ["kafka_topic", "kafka_partition", "kafka_offset"]
         # a replayed message keeps its time, so older rows of the quarantine are skipped

@@ -16,7 +16,7 @@ from gridlake.operators import coverage
 from gridlake.operators.quality import QualityError
 from gridlake.plans import jobs, queries
 from gridlake.session import shared_dir
-from gridlake.sources import feed, tables
+from gridlake.sources import feed, notes, tables, versions
 from gridlake.streaming import ingest
 
 ROOT = "/root/testdata/sf0.001"
@@ -223,6 +223,78 @@ def test_coverage_reads_partition_columns_only(spark, tmp_path, at):
     assert "ReadSchema: struct<>" in plan
 
 
+def seen(number, day, hour):
+    return event(f"s{number}", f"2026-01-{day:02d}T{hour:02d}:00:00+00:00")
+
+
+def stored_hours(spark, lake):
+    table = jobs.hour_counts(spark, lake, S.REGION)
+    return {r["hour_start_utc"]: r["observed_row_count"] for r in table.collect()}
+
+
+def test_coverage_counts_touched_days_only(spark, tmp_path, at, monkeypatch):
+    lake = jobs.Lake(str(tmp_path))
+
+    def append(*events):
+        ingest.write_batch(message(spark, *events), lake.bronze, lake.quarantine)
+
+    append(seen(1, 1, 1), seen(2, 2, 1))
+    assert stored_hours(spark, lake) == {at(1, 1): 1, at(2, 1): 1}
+    assert notes.pending(spark, lake.bronze, S.REGION) == []
+    opened = []
+    read = tables.read_bronze_days
+
+    def recording(spark, path, days):
+        opened.extend(day["event_day"] for day in days)
+        return read(spark, path, days)
+
+    monkeypatch.setattr(tables, "read_bronze_days", recording)
+    monkeypatch.setattr(tables, "read_bronze", None)  # all of Bronze is not listed again
+    # a row added to an hour that is there, and an hour filled in, both of day 1
+    append(seen(3, 1, 1), seen(4, 1, 0))
+    assert stored_hours(spark, lake) == {at(1, 0): 1, at(1, 1): 2, at(2, 1): 1}
+    assert opened == [1]
+    # nothing new: nothing is opened, and no version is written
+    version = versions.version(spark, lake.hour_counts(S.REGION)).number
+    assert stored_hours(spark, lake)[at(1, 1)] == 2
+    assert opened == [1]
+    assert versions.version(spark, lake.hour_counts(S.REGION)).number == version
+
+
+def test_notes_outlive_a_failed_count_and_a_replay(spark, tmp_path, at, monkeypatch):
+    lake = jobs.Lake(str(tmp_path))
+    batch = message(spark, seen(1, 1, 1))
+    ingest.write_batch(batch, lake.bronze, lake.quarantine)
+    stored_hours(spark, lake)
+    again = message(spark, seen(2, 1, 1))
+    # the batch fails between the append and its note; its replay notes the day all the same
+    with monkeypatch.context() as failing, pytest.raises(OSError):
+        failing.setattr(notes, "leave", lambda *_: (_ for _ in ()).throw(OSError()))
+        ingest.write_batch(again, lake.bronze, lake.quarantine)
+    assert stored_hours(spark, lake) == {at(1, 1): 1}
+    ingest.write_batch(again, lake.bronze, lake.quarantine)
+    # counting fails before its result is stored: the note is still there
+    with monkeypatch.context() as failing, pytest.raises(OSError):
+        failing.setattr(tables, "upsert_table", lambda *_, **__: (_ for _ in ()).throw(OSError()))
+        stored_hours(spark, lake)
+    assert len(notes.pending(spark, lake.bronze, S.REGION)) == 1
+    assert stored_hours(spark, lake) == {at(1, 1): 2}
+
+
+def test_recount_sees_rows_without_notes(spark, tmp_path, at):
+    lake = jobs.Lake(str(tmp_path))
+    ingest.write_batch(message(spark, seen(1, 1, 1)), lake.bronze, lake.quarantine)
+    stored_hours(spark, lake)
+    other = tables.read_bronze(spark, lake.bronze, S.REGION).withColumn("event_hour", F.lit(5))
+    tables.append_partitioned(tables.materialized(other, "other"), lake.bronze)
+    assert stored_hours(spark, lake) == {at(1, 1): 1}
+    jobs.verify_coverage(spark, lake, S.REGION, at(1, 6), recount=True)
+    assert stored_hours(spark, lake) == {at(1, 1): 1, at(1, 5): 1}
+    found = jobs.read_mart(spark, lake, jobs.COVERAGE)
+    assert {r["status"]: r["hours"] for r in found.groupBy("status").agg(
+        F.count("*").alias("hours")).collect()} == {"verified": 2, "missing": 3}
+
+
 def test_repairs_and_comparison_from_the_command_line(spark, tmp_path, at):
     lake = jobs.Lake(str(tmp_path))
     texts = [region_event(h, value=str(h), hour=h) for h in (1, 4)]
