@@ -2,14 +2,18 @@
 
 All row rules of a table become one aggregate; rules on keys add one grouped
 aggregate per key set. ``report`` is lazy, ``check`` runs it once and raises.
+
+Row rules can also be counted while the table is written (``counting``), which leaves only
+the rules on keys for a scan of what was written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from typing import ClassVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -32,6 +36,9 @@ class Rule:
 class RowRule(Rule):
     """A rule that counts offending rows with one aggregate expression."""
 
+    #: Whether the expression may be counted while rows pass by: no distinct values.
+    passing: ClassVar[bool] = True
+
     def violations(self) -> Column:
         raise NotImplementedError
 
@@ -176,6 +183,7 @@ class MinRows(RowRule):
 class MinDistinct(RowRule):
     """At least ``least`` distinct values of ``column`` among rows matching ``where``."""
 
+    passing = False
     column: str
     least: int = 1
     where: str | None = None
@@ -305,10 +313,50 @@ def numeric_bounds(
     ).withColumn("ok", F.col("invalid_count") == 0)
 
 
-def _results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(position, rule, violations) per rule. Rules may have equal names."""
+class Counts:
+    """What the row rules of a table have counted while it was written."""
+
+    def __init__(self, observation: Observation | None) -> None:
+        self._observation = observation
+
+    def known(self) -> dict[int, int]:
+        """Violations by position of the rule, once the table is written."""
+        found = self._observation.get if self._observation else {}
+        return {int(name[1:]): value for name, value in found.items() if value is not None}
+
+
+def counting(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Counts]:
+    """``df`` with its row rules counted by the first job that runs it.
+
+    The frame returned has to be written as it is, all of it: then the counts are taken in
+    the tasks that write, each of which counts once even if it was tried more than once or
+    an executor was lost. Below a shuffle a task that is run again would count twice.
+    """
+    watched = [(i, r) for i, r in enumerate(rules) if isinstance(r, RowRule) and r.passing]
+    if not watched:
+        return df, Counts(None)
+    observation = Observation()
+    totals = [r.violations().cast("bigint").alias(f"r{i}") for i, r in watched]
+    return df.observe(observation, *totals), Counts(observation)
+
+
+def _results(
+    df: DataFrame, rules: Sequence[Rule], known: Mapping[int, int] | None = None
+) -> DataFrame:
+    """(position, rule, violations) per rule. Rules may have equal names.
+
+    Rules whose position is ``known`` are not counted again.
+    """
+    known = known or {}
     parts = []
-    row_rules = [(i, r) for i, r in enumerate(rules) if isinstance(r, RowRule)]
+    if known:
+        one_row = df.sparkSession.range(1).select(
+            *[F.lit(count).alias(f"r{i}") for i, count in known.items()]
+        )
+        parts.append(_as_rows(one_row, [(i, rules[i].name, f"r{i}") for i in known]))
+    row_rules = [
+        (i, r) for i, r in enumerate(rules) if isinstance(r, RowRule) and i not in known
+    ]
     if row_rules:
         one_row = df.agg(*[r.violations().cast("bigint").alias(f"r{i}") for i, r in row_rules])
         parts.append(_as_rows(one_row, [(i, r.name, f"r{i}") for i, r in row_rules]))
@@ -333,9 +381,11 @@ def _results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return result
 
 
-def report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def report(
+    df: DataFrame, rules: Sequence[Rule], known: Mapping[int, int] | None = None
+) -> DataFrame:
     """One row per rule: its name and number of violations. Lazy."""
-    return _results(df, rules).select("rule", "violations")
+    return _results(df, rules, known).select("rule", "violations")
 
 
 def _as_rows(one_row: DataFrame, named: Sequence[tuple[int, str, str]]) -> DataFrame:
@@ -350,9 +400,16 @@ def _as_rows(one_row: DataFrame, named: Sequence[tuple[int, str, str]]) -> DataF
     return one_row.select(F.inline(F.array(*rows)))
 
 
-def check(df: DataFrame, rules: Sequence[Rule], label: str) -> None:
-    """Raise ``QualityError`` naming every broken rule. One job, one row per rule back."""
-    found = {row["position"]: row["violations"] for row in _results(df, rules).collect()}
+def check(
+    df: DataFrame, rules: Sequence[Rule], label: str, known: Mapping[int, int] | None = None
+) -> None:
+    """Raise ``QualityError`` naming every broken rule.
+
+    One job, one row per rule back; no job if all rules are ``known``.
+    """
+    found = dict(known or {})
+    if any(i not in found for i in range(len(rules))):
+        found = {r["position"]: r["violations"] for r in _results(df, rules, found).collect()}
     broken = [(rule, found[i]) for i, rule in enumerate(rules) if found[i]]
     if broken:
         raise QualityError(

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from gridlake import schemas as S
 from gridlake.operators import coverage, gold, marts, reconcile, silver
-from gridlake.operators.quality import Rule, check
+from gridlake.operators.quality import Rule, check, counting
 from gridlake.operators.windowing import in_window, lookback
 from gridlake.sources import notes, tables, versions
 from gridlake.streaming import ingest
@@ -128,9 +128,13 @@ def read_mart(spark: SparkSession, lake: Lake, mart: Mart) -> DataFrame:
 
 
 def staged(df: DataFrame, rules: Sequence[Rule], label: str) -> DataFrame:
-    """Store ``df`` and return it once its rules hold."""
-    stage = tables.write_stage(df, label.replace(".", "-"))
-    check(stage, rules, label)
+    """Store ``df`` and return it once its rules hold.
+
+    Rules on rows are counted while the stage is written; only rules on keys read it.
+    """
+    watched, counts = counting(df, rules)
+    stage = tables.write_stage(watched, label.replace(".", "-"))
+    check(stage, rules, label, counts.known())
     return stage
 
 
@@ -162,8 +166,7 @@ def clean_dataset(
     spec = S.SPECS[dataset]
     events = tables.read_bronze(spark, lake.bronze, dataset, start, end)
     # Bronze is opened once; rules, cleaning and retention read the typed rows
-    typed = tables.materialized(silver.extract(events, spec), f"extract-{spec.table}")
-    check(typed, silver.extract_rules(spec), f"silver.{spec.table}")
+    typed = staged(silver.extract(events, spec), silver.extract_rules(spec), f"silver.{spec.table}")
     cleaned = staged(
         silver.newest_complete(typed, spec), silver.clean_rules(spec), f"silver.{spec.table}"
     )

@@ -7,7 +7,7 @@ the shared folder, as the jobs do, so it is computed once per query.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import cached_property, reduce, wraps
 
@@ -419,42 +419,35 @@ def retention_ratio(spark: SparkSession, root: str) -> DataFrame:
 # --- quality ------------------------------------------------------------------
 
 
+def stored_report(
+    df: DataFrame, rules: Sequence[quality.Rule], name: str
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` as stored, and its report: row rules counted by the write, keys from the store."""
+    watched, counts = quality.counting(df, rules)
+    stored = tables.materialized(watched, name)
+    return stored, quality.report(stored, rules, counts.known())
+
+
 @query
 def quality_report(spark: SparkSession, root: str) -> DataFrame:
     faulty = silver.extract(feed.bronze_region(spark, root, faulty=True), REGION_SPEC)
-    typed = tables.materialized(faulty, "extract-region")
-    region = tables.materialized(silver.newest_complete(typed, REGION_SPEC), "silver-region")
-    power = tables.materialized(silver_power(spark, root), "silver-power")
+    raw_rules = [
+        quality.NonEmpty(),
+        quality.NotNull(("period", "value")),
+        quality.Bounds("value", 0.0, 100.0),
+        *silver.extract_rules(REGION_SPEC),
+    ]
+    power_rules = [
+        *silver.clean_rules(POWER_SPEC),
+        quality.NonNegative(("generation_thousand_mwh", "ash_content_pct")),
+        quality.Unique(POWER_SPEC.business_key),
+    ]
+    typed, raw_report = stored_report(faulty, raw_rules, "extract-region")
+    cleaned = silver.newest_complete(typed, REGION_SPEC)
+    _, region_report = stored_report(cleaned, silver.clean_rules(REGION_SPEC), "silver-region")
+    _, power_report = stored_report(silver_power(spark, root), power_rules, "silver-power")
     return quality.union_reports(
-        [
-            (
-                "region_raw",
-                quality.report(
-                    typed,
-                    [
-                        quality.NonEmpty(),
-                        quality.NotNull(("period", "value")),
-                        quality.Bounds("value", 0.0, 100.0),
-                        *silver.extract_rules(REGION_SPEC),
-                    ],
-                ),
-            ),
-            (
-                "region",
-                quality.report(region, silver.clean_rules(REGION_SPEC)),
-            ),
-            (
-                "power",
-                quality.report(
-                    power,
-                    [
-                        *silver.clean_rules(POWER_SPEC),
-                        quality.NonNegative(("generation_thousand_mwh", "ash_content_pct")),
-                        quality.Unique(POWER_SPEC.business_key),
-                    ],
-                ),
-            ),
-        ]
+        [("region_raw", raw_report), ("region", region_report), ("power", power_report)]
     )
 
 
@@ -499,34 +492,21 @@ def bounds_check(spark: SparkSession, root: str) -> DataFrame:
 def mart_checks(spark: SparkSession, root: str) -> DataFrame:
     start, end = datetime(2024, 1, 1), AS_OF
     layers = Stored(spark, root)
-    daily = marts.region_daily(layers.gold_region, start, end, AS_OF)
     facts = tables.materialized(gold_power(spark, root), "gold-power")
-    power = tables.materialized(marts.power_mart(facts, start, end, AS_OF), "power-mart")
+    published = {
+        "grid_operations_hourly": (layers.status, marts.grid_published_rules(AS_OF)),
+        "resource_planning_daily": (layers.planning, marts.planning_published_rules(AS_OF)),
+        "region_demand_daily": (
+            marts.region_daily(layers.gold_region, start, end, AS_OF),
+            marts.region_daily_published_rules(start, end),
+        ),
+        "electric_power_operations_monthly": (
+            marts.power_mart(facts, start, end, AS_OF),
+            marts.power_published_rules(start, end),
+        ),
+    }
     return quality.union_reports(
-        [
-            (
-                "grid_operations_hourly",
-                quality.report(
-                    tables.materialized(layers.status, "grid-status"),
-                    marts.grid_published_rules(AS_OF),
-                ),
-            ),
-            (
-                "resource_planning_daily",
-                quality.report(
-                    tables.materialized(layers.planning, "planning"),
-                    marts.planning_published_rules(AS_OF),
-                ),
-            ),
-            (
-                "region_demand_daily",
-                quality.report(daily, marts.region_daily_published_rules(start, end)),
-            ),
-            (
-                "electric_power_operations_monthly",
-                quality.report(power, marts.power_published_rules(start, end)),
-            ),
-        ]
+        [(name, stored_report(df, rules, name)[1]) for name, (df, rules) in published.items()]
     )
 
 

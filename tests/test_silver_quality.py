@@ -20,6 +20,7 @@ from gridlake.operators.quality import (
 )
 from gridlake.operators.windowing import in_window, lookback
 from gridlake.schemas import FUEL, FUEL_SPEC, POWER, POWER_SPEC, REGION, REGION_SPEC
+from gridlake.sources.tables import materialized
 
 BRONZE = "event_id string, dataset string, payload map<string,string>, ingestion_ts timestamp"
 
@@ -240,3 +241,41 @@ def test_rules_that_differ_in_one_part_only(spark):
     for rules in ([first, second], [second, first], [third, fourth], [fourth, third], [first, first]):
         with pytest.raises(QualityError):
             check(df, rules, "t")
+
+
+WATCHED = [
+    quality.NonEmpty(),
+    NonNegative(("v",)),
+    quality.MinDistinct("v", 200),
+    quality.MinRows(200, "v > 0"),
+    Unique(("id",)),
+]
+
+
+@pytest.mark.parametrize("where", ["true", "false", "id % 3 = 0"])
+def test_counts_of_a_write_equal_a_scan(spark, where):
+    source = spark.range(100).selectExpr("id % 90 as id", "cast(id - 5 as double) as v")
+    df = source.filter(where).repartition(5, "id")
+    watched, counts = quality.counting(df, WATCHED)
+    stage = materialized(watched, "watched")
+    known = counts.known()
+    assert set(known) == {0, 1, 3}  # distinct values and keys are left for the scan
+    expected = [tuple(r) for r in quality.report(df, WATCHED).collect()]
+    found = [tuple(r) for r in quality.report(stage, WATCHED, known).collect()]
+    assert sorted(found) == sorted(expected)
+    # the stage is scanned once, for the distinct values, and once per set of keys
+    scans = [
+        quality.report(stage, WATCHED, k)._jdf.queryExecution().executedPlan().toString().count("FileScan")
+        for k in ({}, known)
+    ]
+    assert scans == [2, 2]
+    rows_only = [WATCHED[i] for i in (0, 1, 3)]
+    plan = quality.report(stage, rows_only, {0: 0, 1: 0, 2: 0})._jdf.queryExecution().executedPlan()
+    assert "FileScan" not in plan.toString()
+
+
+def test_known_counts_break_rules_without_a_job(spark):
+    df = spark.createDataFrame([(1, 1.0)], "id int, v double")
+    check(df, [NonNegative(("v",))], "t", {0: 0})
+    with pytest.raises(QualityError, match=r"t contains negative values in columns: v \(3 found\)"):
+        check(df, [NonNegative(("v",))], "t", {0: 3})
