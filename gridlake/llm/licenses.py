@@ -8,6 +8,10 @@ words. A text is accepted if all other wording stands in it exactly and in order
 
 A template is only run where its first mandatory words stand, and only in texts that hold
 its longest mandatory wording. Both follow from acceptance, so nothing is missed.
+
+``mit``, ``isc`` and the two ``bsd`` templates are whole licenses, disclaimer included: a text that
+leaves out or changes any of their wording isn't accepted. All others are notices, which name a
+license and don't contain it.
 """
 
 from __future__ import annotations
@@ -53,15 +57,47 @@ TEMPLATES = {
     "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of
         <<var;name="software";match=".{1,8}">> <<beginOptional>>(the "Software")<<endOptional>>, to deal in
         the Software without restriction, including without limitation the rights to use, copy, modify,
-        merge, publish, distribute, sublicense, and/or sell copies of the Software""",
+        merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons
+        to whom the Software is furnished to do so, subject to the following conditions: The above
+        copyright notice and this permission notice
+        <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or
+        substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY
+        KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS
+        FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+        <<var;name="holder";match=".{1,12}">> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER
+        IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+        SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     "isc": """Permission to use, copy, modify, and <<beginOptional>>/or<<endOptional>> distribute this
         software for any purpose with or without fee is hereby granted, provided that the above copyright
-        notice and this permission notice appear in all copies""",
-    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted
-        provided that the following conditions are met <<beginOptional>>:<<endOptional>>
-        <<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the
-        <<beginOptional>>above<<endOptional>> copyright notice""",
+        notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND
+        <<var;name="holder";match=".{1,12}">> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL
+        <<var;name="holder";match=".{1,12}">> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+        DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+        ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+        USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd-2-clause": """Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met: <<beginOptional>>1.<<endOptional>>
+        Redistributions of source code must retain the above copyright notice, this list of conditions
+        and the following disclaimer. <<beginOptional>>2.<<endOptional>> Redistributions in binary form
+        must reproduce the above copyright notice, this list of conditions and the following disclaimer
+        in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS
+        PROVIDED BY <<var;name="holder";match=".{1,12}">> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+        PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;name="holder";match=".{1,12}">> BE
+        LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+        (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+        PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+        CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+        THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
 }
+#: The third clause of the longer license, between the second one and the disclaimer.
+_THIRD_CLAUSE = """provided with the distribution. <<beginOptional>>3.<<endOptional>> Neither the name of
+        <<var;name="organisation";match=".{1,12}">> nor the names of its contributors may be used to endorse
+        or promote products derived from this software without specific prior written permission."""
+TEMPLATES["bsd-3-clause"] = TEMPLATES["bsd-2-clause"].replace(
+    "provided with the distribution.", _THIRD_CLAUSE
+)
 
 _SEPARATORS = bytes(c for c in range(128) if not (48 <= c < 58 or 65 <= c < 91 or 97 <= c < 123))
 _WORDS = bytes.maketrans(

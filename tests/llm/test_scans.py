@@ -178,6 +178,69 @@ def test_licenses_equal_a_plain_version(documents):
     assert scan_licenses(documents([])).count() == 0
 
 
+MIT = """Copyright (c) 2020 A. Nonymous
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation
+the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
+to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of
+the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
+IN THE SOFTWARE."""
+THIRD = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission.\n"""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+* Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+  disclaimer.
+* Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+  following disclaimer in the documentation and/or other materials provided with the distribution.
+%sTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN
+AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE
+OF THIS SOFTWARE."""
+
+
+def test_whole_licenses_are_accepted_and_changed_ones_are_not():
+    scanner = Scanner()
+
+    def names(text):
+        words = words_of(text.encode())
+        return [name for _, _, name in scanner.templates(b" " + b" ".join(words) + b" ", words)]
+
+    assert names(MIT) == names("/* " + MIT.replace("\n", "\n * ") + " */ int main()") == ["mit"]
+    assert names(MIT.replace("notice shall", "notice (including the next paragraph) shall")) == ["mit"]
+    assert names(MIT.replace("THE\nAUTHORS OR COPYRIGHT HOLDERS", "A. NONYMOUS")) == ["mit"]
+    assert (names(ISC), names(ISC.replace("and/or", "and"))) == (["isc"], ["isc"])
+    assert (names(BSD % ""), names(BSD % THIRD)) == (["bsd-2-clause"], ["bsd-3-clause"])
+    assert names((BSD % THIRD).replace("* Redis", "1. Redis", 1)) == ["bsd-3-clause"]
+    assert names(MIT + "\n" + ISC) == ["mit", "isc"]
+    for text in (MIT, ISC, BSD % "", BSD % THIRD):
+        words = text.split()
+        # cut off after any part, or with a word more in its wording
+        for cut in range(5, len(words), 7):
+            assert names(" ".join(words[:cut])) == []
+        assert names(text.replace("fee is", "fee but only on Mondays is").replace("sublicense,", "").replace(
+            "are permitted", "are not permitted").replace("are\npermitted", "are not permitted")) == []
+
+
 def as_pattern(template):
     """The template as a regular expression over blank-joined words."""
     parts = []
