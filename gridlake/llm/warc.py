@@ -45,6 +45,8 @@ CRLF = b"\r\n"
 END = CRLF + CRLF
 VERSION = b"WARC/1.1"
 KEY = "X-Page-Id"
+#: The archive date of a page, which has none of its own.
+DATE = "20240101000000"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:gridlake:arc")
 _DATE = re.compile(rb"\d{14}$")
@@ -127,8 +129,8 @@ def split_http(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
     return fields, head + blank, payload
 
 
-def record_id(key: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, key)}>"
+def record_id(*parts: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, ' '.join(parts))}>"
 
 
 def warc_date(arc_date: str) -> str:
@@ -136,25 +138,45 @@ def warc_date(arc_date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-def to_warc(record: ArcRecord, refers_to: str | None = None) -> bytes:
-    """The WARC record of an ARC record; a revisit of the record with key ``refers_to``."""
+@dataclass(frozen=True)
+class Original:
+    """The response that a revisit refers to. It has the same payload."""
+
+    key: str
+    url: str
+    date: str = DATE
+
+
+def to_warc(record: ArcRecord, refers_to: Original | None = None) -> bytes:
+    """The WARC record of an ARC record; a revisit of the response ``refers_to``.
+
+    The identifier follows from key, URL, date and payload, so that of the response is known
+    without reading it. Records that agree in all four are copies and share it.
+    """
     fields, head, payload = split_http(record.block)
-    key = fields.get(KEY, "")
+    key, digest = fields.get(KEY, ""), sha1_base32(payload)
     block = record.block if refers_to is None else head
     lines = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", record_id(f"{key} {record.url} {record.date}")),
+        ("WARC-Record-ID", record_id(key, record.url, record.date, digest)),
         ("WARC-Date", warc_date(record.date)),
         ("WARC-Target-URI", record.url),
         ("WARC-IP-Address", record.address),
         ("Content-Type", "application/http;msgtype=response" if head else record.kind),
-        ("WARC-Payload-Digest", f"sha1:{sha1_base32(payload)}"),
+        ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"),
         ("WARC-Source-Key", key),
         ("WARC-Source-Payload-Length", str(len(payload))),
     ]
     if refers_to is not None:
-        lines += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Source-Refers-To", refers_to)]
+        target = record_id(refers_to.key, refers_to.url, refers_to.date, digest)
+        lines += [
+            ("WARC-Profile", REVISIT_PROFILE),
+            ("WARC-Refers-To", target),
+            ("WARC-Refers-To-Target-URI", refers_to.url),
+            ("WARC-Refers-To-Date", warc_date(refers_to.date)),
+            ("WARC-Source-Refers-To", refers_to.key),
+        ]
     lines.append(("Content-Length", str(len(block))))
     head_lines = [f"{name}: {value}".encode() for name, value in lines if value]
     return CRLF.join([VERSION, *head_lines]) + END + block + END
@@ -192,8 +214,12 @@ def parse_warc(content: bytes) -> Iterator[WarcRecord]:
 
 
 def _clean_url(url: bytes) -> str:
-    """A URL for a header line: bytes that would end the line or a field are escaped."""
-    return re.sub(rb"[\x00-\x20\x7f]", lambda m: b"%%%02X" % m[0][0], url).decode()
+    """A URL for a header line: bytes that would end the line or a field are escaped.
+
+    A lone "-" stands for no URL in ARC, so it is one here as well.
+    """
+    clean = re.sub(rb"[\x00-\x20\x7f]", lambda m: b"%%%02X" % m[0][0], url).decode()
+    return "" if clean == "-" else clean
 
 
 def _archives(records: Iterable[bytes]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +248,7 @@ def arc_file(pages: list[tuple], version: int) -> bytes:
     for page_id, url, html in pages:
         key = "" if page_id is None else str(page_id)
         head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n{KEY}: {key}\r\n\r\n".encode()
-        record = ArcRecord(_clean_url(url), "192.0.2.1", "20240101000000", "text/html", head + html)
+        record = ArcRecord(_clean_url(url), "192.0.2.1", DATE, "text/html", head + html)
         parts.append(arc_record(record, version, size, name))
         size += len(parts[-1])
     return b"".join(parts)
@@ -239,10 +265,10 @@ def convert(archives: DataFrame) -> DataFrame:
 
 
 def pages_to_warc(pages: DataFrame) -> DataFrame:
-    """WARC archives (archive) of (page_id, url, html, refers, version) rows.
+    """WARC archives (archive) of (page_id, url, html, refers, refers_url, version) rows.
 
     Each batch of pages is made an ARC file per version, which is then converted.
-    ``refers`` is the key of the page that a page revisits, or null.
+    ``refers`` is the key of the page that a page revisits, or null, ``refers_url`` its URL.
     """
 
     def records(batch: pa.RecordBatch) -> Iterator[bytes]:
@@ -250,12 +276,17 @@ def pages_to_warc(pages: DataFrame) -> DataFrame:
             zip(batch.column("page_id").to_pylist(), utf8(batch, "url"), utf8(batch, "html"), strict=True)
         )
         refers, versions = batch.column("refers").to_pylist(), batch.column("version").to_pylist()
+        places = utf8(batch, "refers_url")
+        originals = [
+            None if key is None else Original(key, _clean_url(url))
+            for key, url in zip(refers, places, strict=True)
+        ]
         for version in ARC_FIELDS:
             own = [i for i, v in enumerate(versions) if v == version]
             if own:
                 legacy = parse_arc(arc_file([pages[i] for i in own], version))
                 for i, record in zip(own, legacy, strict=True):
-                    yield to_warc(record, refers[i])
+                    yield to_warc(record, originals[i])
 
     def converted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _archives(record for batch in batches for record in records(batch))
@@ -279,8 +310,9 @@ def write_warc(archives: DataFrame, path: str) -> None:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives in ``path``.
 
-    page_id, payload_bytes, payload_digest, record_type, refers_to. Length and digest of a
-    response are those of the payload read; of a revisit, those it declares.
+    page_id, payload_bytes, payload_digest, record_type, refers_to, record_id and
+    refers_to_id, the record_id of the response. Length and digest of a response are those
+    of the payload read; of a revisit, those it declares.
     """
     def parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
@@ -294,10 +326,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     if (length, digest) != (len(payload), sha1_base32(payload)):
                         raise ValueError(f"{record.fields['WARC-Record-ID']} has another payload")
                 key, refers = (record.fields.get(f"WARC-Source-{x}") for x in ("Key", "Refers-To"))
-                rows.append((key and int(key), length, digest, kind, refers and int(refers)))
-        columns = zip(*rows, strict=True) if rows else [[]] * 5
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-        names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+                ids = (record.fields["WARC-Record-ID"], record.fields.get("WARC-Refers-To"))
+                rows.append((key and int(key), length, digest, kind, refers and int(refers), *ids))
+        columns = zip(*rows, strict=True) if rows else [[]] * 7
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+        names = (
+            "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id",
+            "refers_to_id",
+        )
         arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, list(names))
 
@@ -305,19 +341,27 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return map_batches(
         files,
         parsed,
-        "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long",
+        "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long,"
+        " record_id string, refers_to_id string",
         rows=1,
     )
 
 
 def responses(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(digest, keeper, copies) of each payload of at least ``min_bytes`` bytes."""
+    """(digest, keeper, keeper_url) of each payload of at least ``min_bytes`` bytes.
+
+    Of several rows with the largest page_id the one with the greatest url counts.
+    """
     payload = F.coalesce(F.col("html"), F.lit(""))
+    last = F.max(F.struct("page_id", "url"))
     return (
-        pages.select(F.sha1(payload).alias("digest"), "page_id", payload.alias("payload"))
+        pages.select(F.sha1(payload).alias("digest"), "page_id", "url", payload.alias("payload"))
         .filter(F.octet_length("payload") >= min_bytes)
         .groupBy("digest")
-        .agg(F.max("page_id").alias("keeper"))
+        .agg(last.alias("last"))
+        .select(
+            "digest", F.col("last.page_id").alias("keeper"), F.col("last.url").alias("keeper_url")
+        )
     )
 
 
@@ -346,6 +390,7 @@ def archive_pages(
             "url",
             "html",
             F.when(other, F.col("keeper").cast("string")).alias("refers"),
+            F.when(other, F.col("keeper_url")).alias("refers_url"),
             F.when(F.col("page_id") % 2 == 0, 2).otherwise(1).alias("version"),
         )
     )

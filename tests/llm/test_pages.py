@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import itertools
 import os
@@ -59,6 +60,25 @@ def test_pages_come_back(spark, pages, tmp_path, monkeypatch):
     assert sorted(str(tuple(r[c] for c in names)) for r in back.collect()) == plain_records(rows)
 
 
+def test_revisits_resolve_by_record_id(spark, pages, tmp_path):
+    rows = [*ROWS, (11, "-", "-"), (11, "http://same", "another page"), (11, "http://same", "a third one"), (12, "v", "-")]
+    rows += [(20, "a", "tie"), (20, "b", "tie"), (19, None, "tie")]
+    path, back = warc.archive_pages(pages(rows), path=str(tmp_path / "w"))
+    found = back.collect()
+    responses = {r["record_id"]: (r["page_id"], r["payload_digest"]) for r in found if r["record_type"] == "response"}
+    revisits = [r for r in found if r["record_type"] == "revisit"]
+    assert len(revisits) >= 5
+    for r in revisits:
+        assert responses[r["refers_to_id"]] == (r["refers_to"], r["payload_digest"])
+    assert all(r["refers_to_id"] is None for r in found if r["record_type"] == "response")
+    # records share an id only if they are copies of one row; two of ROWS stand twice
+    assert len({r["record_id"] for r in found}) == len(found) - 2
+    files = spark.read.format("binaryFile").load(path).collect()
+    fields = [r.fields for f in files for r in warc.parse_warc(gzip.decompress(f["content"]))]
+    of_tie = [f for f in fields if f.get("WARC-Source-Key") == "19"]
+    assert [(f["WARC-Refers-To-Target-URI"], f["WARC-Refers-To-Date"]) for f in of_tie] == [("b", "2024-01-01T00:00:00Z")]
+
+
 def test_small_payloads_are_responses(pages):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")]
     back = warc.archive_pages(pages(rows), min_bytes=3)[1].collect()
