@@ -93,7 +93,7 @@ def attribute_values(attributes: str) -> dict[str, str]:
 class Block:
     text: str
     evidence: float
-    path: tuple[int, ...]
+    inside: int
 
 
 @dataclass
@@ -103,6 +103,7 @@ class Container:
     parent: int
     tag: str
     settled: bool
+    depth: int = 0
     own: float = 0.0
     against: bool = False
     discussion: bool = False
@@ -225,14 +226,20 @@ def block_evidence(text: str, linked: int, tag: str, outer: float) -> float:
     return outer + text_evidence(text, linked, tag)
 
 
-def read_blocks(page: str) -> list[Block]:
-    """The blocks of a page in order, white space collapsed and references decoded."""
-    read: list[tuple[str, int, str, tuple[int, ...]]] = []
+def read_blocks(page: str) -> tuple[list[Block], list[Container]]:
+    """The blocks of a page in order, white space collapsed and references decoded.
+
+    Also its containers; a block names the innermost one it is in. A hidden inline element
+    hides everything up to its own end tag, or to the end of the block it is in.
+    """
+    read: list[tuple[str, int, str, int]] = []
     containers, unlinked = [Container(0, "", False)], [0.0]
     # open elements: tag, number in page order, inside of an article
     opened: list[tuple[str, int, bool]] = [("", 0, False)]
     parts: list[str] = []
     linked, link_depth, at = 0, 0, 0
+    # the hidden inline element: its tag, how often that is open, open elements around it
+    hidden, nested, around = "", 0, 0
 
     def close() -> None:
         nonlocal linked
@@ -242,13 +249,13 @@ def read_blocks(page: str) -> list[Block]:
                 tag, number, _ = opened[-1]
                 linked = min(linked, len(text))
                 unlinked[number] += unlinked_words(text, linked)
-                read.append((text, linked, tag, tuple(number for _, number, _ in opened)))
+                read.append((text, linked, tag, number))
             parts.clear()
         linked = 0
 
     def add(piece: str) -> None:
         nonlocal linked
-        if piece:
+        if piece and not hidden:
             parts.append(piece)
             if link_depth:
                 linked += len(piece)
@@ -279,21 +286,30 @@ def read_blocks(page: str) -> list[Block]:
                 depth = next((i for i in range(len(opened) - 1, 0, -1) if opened[i][0] == tag), 0)
                 if depth:
                     del opened[depth:]
+                    hidden = hidden if len(opened) >= around else ""
             elif tag not in VOID:
                 if opened[-1][0] in _ENDED_BY and tag in _ENDED_BY[opened[-1][0]]:
                     opened.pop()
+                    hidden = hidden if len(opened) >= around else ""
                 _, parent, in_article = opened[-1]
                 opened.append((tag, len(containers), in_article or tag in ("article", "main")))
                 containers.append(read_container(parent, tag, attributes, in_article))
+                containers[-1].depth = containers[parent].depth + 1
                 unlinked.append(0.0)
-        elif attributes and not ends and read_container(0, "", attributes, True).settled:
-            at = _skip(page, at, tag)
+        elif hidden:
+            if tag == hidden:
+                nested += -1 if ends else 1
+                hidden = hidden if nested else ""
+        elif attributes and not ends and tag not in VOID:
+            if read_container(0, "", attributes, True).settled:
+                hidden, nested, around = tag, 1, len(opened)
     close()
     evidence = page_evidence(containers, unlinked)
-    return [
-        Block(text, block_evidence(text, linked, tag, evidence[path[-1]]), path)
-        for text, linked, tag, path in read
+    blocks = [
+        Block(text, block_evidence(text, linked, tag, evidence[inside]), inside)
+        for text, linked, tag, inside in read
     ]
+    return blocks, containers
 
 
 #: Open elements that another start tag ends.
@@ -310,29 +326,30 @@ _ENDED_BY = {
 }
 
 
-def _skip(page: str, at: int, tag: str) -> int:
-    """Past the end tag of a hidden inline element; only past its start if it has none."""
-    if tag in VOID:
-        return at
-    end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-    return end.end() if end else at
+# --- the cut ------------------------------------------------------------------
 
 
-# --- the cut ------------------------------------------------------------------
+def steps_between(containers: list[Container], a: int, b: int) -> int:
+    """Steps from one container to another in the page's tree.
+
+    They are walked, so no block keeps the list of all containers around it; between
+    neighbouring blocks there are no more steps than tags.
+    """
+    steps = 0
+    while a != b:
+        if containers[a].depth < containers[b].depth:
+            a, b = b, a
+        a = containers[a].parent
+        steps += 1
+    return steps
 
 
-def smoothness(blocks: list[Block]) -> list[tuple[int, int, float]]:
+def smoothness(blocks: list[Block], containers: list[Container]) -> list[tuple[int, int, float]]:
     """Edges to the next blocks, weaker with each step in order and in the tree."""
     edges = []
     for i, first in enumerate(blocks):
         for j in range(i + 1, min(i + 1 + REACH, len(blocks))):
-            second = blocks[j]
-            common = 0
-            for a, b in zip(first.path, second.path, strict=False):
-                if a != b:
-                    break
-                common += 1
-            apart = len(first.path) + len(second.path) - 2 * common
+            apart = steps_between(containers, first.inside, blocks[j].inside)
             edges.append((i, j, SMOOTH / (j - i) / (1 + max(0, apart - 2))))
     return edges
 
@@ -430,8 +447,8 @@ def minimum_cut(evidence: list[float], edges: list[tuple[int, int, float]]) -> l
 
 def main_text(page: str | None) -> str:
     """The content blocks of a page, joined by line ends. Empty for an empty page."""
-    blocks = read_blocks(page or "")
-    labels = minimum_cut([block.evidence for block in blocks], smoothness(blocks))
+    blocks, containers = read_blocks(page or "")
+    labels = minimum_cut([block.evidence for block in blocks], smoothness(blocks, containers))
     return "\n".join(block.text for block, content in zip(blocks, labels, strict=True) if content)
 
 

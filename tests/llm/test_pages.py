@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import itertools
 import os
+import tracemalloc
 import random
 import re
 from html import unescape
@@ -195,6 +196,35 @@ def test_only_exact_attribute_names_count(attributes, kept):
     assert ("within" in main_text(inline)) == kept
 
 
+@pytest.mark.parametrize(
+    ("inner", "kept"),
+    [
+        ("<span hidden><span>inner</span> LEAKED</span>", ""), ("<span hidden>a<b>LEAKED</b><i hidden>LEAKED</i>LEAKED</span>", ""),
+        ("<span hidden><span><span hidden>a</span></span>LEAKED</span> seen", " seen"), ("<b hidden>LEAKED<br>LEAKED", ""),
+        ("<span><span hidden>LEAKED</span> seen</span>", " seen"), ("<img hidden> seen", " seen"), ("</span> seen", " seen"),
+        ("<span hidden><script>x</span></script>LEAKED</span> seen", " seen"), ("<span hidden><a href=x>LEAKED</a></span> seen", " seen"),
+    ],
+)
+def test_hidden_inline_elements_hide_all_they_hold(inner, kept):
+    text = "This is one sentence of the main text, and it is long enough to be kept"
+    after = "The next block has nothing to do with what was hidden in the one before it."
+    # with and without the end tag of the block around it
+    for end in ("</p>", ""):
+        page = f"<article><p>{text}{inner}{end}<p>{after}</p></article>"
+        assert main_text(page) == f"{text}{kept}\n{after}"
+
+
+def test_deep_pages_take_memory_in_proportion_to_their_tags():
+    peaks = []
+    for n in (2000, 4000):
+        page = "<article>" + "<div>A sentence on each of the levels, which are never closed.</div><div>" * n
+        tracemalloc.start()
+        assert main_text(page).count("\n") == n - 1
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 2.5 * peaks[0] and peaks[1] < 20_000_000
+
+
 LONG_TEXT = " ".join(f"word{i}" for i in range(199)) + " end."
 SHORT_TEXT = "One of the sentences of the main text, with a dozen words or so."
 MENU = '<nav><a href="/">Home</a></nav>'
