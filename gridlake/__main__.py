@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--servers", default="kafka:9092")
     ingest.add_argument("--starting-offsets", default="earliest")
     ingest.add_argument("--max-offsets-per-trigger", default="5000000")
+    ingest.add_argument("--replay-window", help="drop events replayed within it early: '2 hours'")
 
     clean = job("clean", "Bronze to Silver")
     clean.add_argument("--dataset", choices=sorted(SPECS), help="default: all datasets")
@@ -92,7 +93,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                 args.starting_offsets,
                 maxOffsetsPerTrigger=args.max_offsets_per_trigger,
             )
-            jobs.ingest_topic(stream, lake, args.topic)
+            jobs.ingest_topic(stream, lake, args.topic, args.replay_window)
         elif args.job == "clean":
             for dataset in [args.dataset] if args.dataset else SPECS:
                 jobs.clean_dataset(

@@ -149,9 +149,15 @@ def _publish(lake: Lake, mart: Mart, stage: DataFrame, afterwards: Sequence[Rule
 # --- ingest and silver --------------------------------------------------------
 
 
-def ingest_topic(stream: DataFrame, lake: Lake, topic: str) -> None:
-    """Take what the topic holds now into Bronze and the quarantine."""
-    ingest.ingest_available_now(stream, lake.bronze, lake.quarantine, lake.progress(topic))
+def ingest_topic(
+    stream: DataFrame, lake: Lake, topic: str, replay_window: str | None = None
+) -> None:
+    """Take what the topic holds now into Bronze and the quarantine.
+
+    Progress with a ``replay_window`` is kept apart, since it has ids as its state.
+    """
+    progress = lake.progress(f"{topic}-replays" if replay_window else topic)
+    ingest.ingest_available_now(stream, lake.bronze, lake.quarantine, progress, replay_window)
 
 
 def clean_dataset(

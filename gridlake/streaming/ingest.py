@@ -62,6 +62,26 @@ def existing_ids(spark: SparkSession, batch: DataFrame, bronze_path: str) -> Dat
     )
 
 
+def without_replays(decoded: DataFrame, window: str) -> DataFrame:
+    """A decoded stream without events that came before, up to ``window`` ago.
+
+    The state holds ids for that long, counted from the time of the batch, so no row is
+    ever late and none is dropped but copies. Copies that come later pass, and meet the
+    stored ids as all rows do. Messages that cannot be used pass too. Of copies in one batch any
+    may stay.
+    """
+    place = F.struct("kafka_topic", "kafka_partition", "kafka_offset")
+    keyed = decoded.withColumns(
+        {
+            "_event": F.when(usable(), F.col("event_id")),
+            "_place": F.when(~usable(), place),
+            "_seen": F.current_timestamp(),
+        }
+    )
+    first = keyed.withWatermark("_seen", window).dropDuplicatesWithinWatermark(["_event", "_place"])
+    return first.drop("_event", "_place", "_seen")
+
+
 def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) -> None:
     """Append the batch's new events; keep the unusable messages aside.
 
@@ -69,8 +89,13 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
     by its id. So a batch that failed half way can simply be repeated. The days of all its
     events, also of those stored before, are noted after they are in place.
     """
-    spark = messages.sparkSession
-    decoded = decode(messages).persist()  # JSON is opened once, its rows used four times
+    write_decoded(decode(messages), bronze_path, quarantine_path)
+
+
+def write_decoded(decoded: DataFrame, bronze_path: str, quarantine_path: str) -> None:
+    """The same from messages that have been decoded."""
+    spark = decoded.sparkSession
+    decoded = decoded.persist()  # JSON is opened once, its rows used four times
     try:
         events = decoded.filter(usable())
         fresh = replay_safe_batch(events, existing_ids(spark, events, bronze_path))
@@ -90,12 +115,23 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
 
 
 def ingest_available_now(
-    stream: DataFrame, bronze_path: str, quarantine_path: str, checkpoint: str
+    stream: DataFrame,
+    bronze_path: str,
+    quarantine_path: str,
+    checkpoint: str,
+    replay_window: str | None = None,
 ) -> None:
-    """Take everything the source holds now, then stop. A rerun starts where this ended."""
+    """Take everything the source holds now, then stop. A rerun starts where this ended.
+
+    With ``replay_window``, for instance ``"2 hours"``, events replayed within it are dropped
+    before they are looked up in Bronze. A checkpoint is used with or without it, not both.
+    """
+    write = write_batch
+    if replay_window:
+        stream, write = without_replays(decode(stream), replay_window), write_decoded
     query = (
         stream.writeStream.foreachBatch(
-            lambda batch, _: write_batch(batch, bronze_path, quarantine_path)
+            lambda batch, _: write(batch, bronze_path, quarantine_path)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

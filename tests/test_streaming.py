@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from test_envelope_bronze import event, message
 
 from gridlake.schemas import BRONZE, MESSAGE, REGION
@@ -63,6 +64,51 @@ def test_many_small_batches_equal_one(spark, tmp_path):
     assert one.ids() == many.ids() == sorted(set(one.ids()))
 
 
+def test_replays_within_the_window_are_dropped_before_the_lookup(spark, tmp_path, monkeypatch):
+    """Over restarts; what can't be used, and what failed to be written, still gets through."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    assert spark.conf.get(provider).endswith("RocksDBStateStoreProvider")
+    topic, looked_up = Topic(spark, tmp_path), []
+    replay_safe = ingest.replay_safe_batch
+
+    def recording(events, existing):
+        looked_up.append(sorted(r["event_id"] for r in events.select("event_id").collect()))
+        return replay_safe(events, existing)
+
+    def run(window="2 hours"):
+        stream = ingest.read_topic_files(spark, topic.topic)
+        ingest.ingest_available_now(
+            stream, topic.bronze, topic.quarantine, topic.progress, window
+        )
+
+    monkeypatch.setattr(ingest, "replay_safe_batch", recording)
+    topic.send(event("a", hour(0)), event("a", hour(0)), "{broken", "{broken", start=0)
+    run()
+    topic.send(event("a", hour(0)), event("b", hour(1)), "{broken", event("a", hour(0)), start=10)
+    with monkeypatch.context() as failing, pytest.raises(Exception, match="disk"):
+        failing.setattr(ingest, "append_partitioned", lambda *_: (_ for _ in ()).throw(OSError("disk")))
+        run()
+    assert topic.ids() == ["a"]
+    run()
+    topic.send(event("b", hour(1)), event("c", hour(1)), start=20)
+    run()
+    assert topic.ids() == ["a", "b", "c"]
+    assert [found for found in looked_up if found] == [["a"], ["b"], ["b"], ["c"]]
+    refused = spark.read.parquet(topic.quarantine).collect()
+    assert sorted(r["kafka_offset"] for r in refused) == [2, 3, 12]
+
+
+def test_replays_beyond_the_window_are_refused_by_their_id(spark, tmp_path):
+    topic = Topic(spark, tmp_path)
+    for start in (0, 10, 20):
+        topic.send(event("a", hour(0)), event(f"e{start}", hour(1)), start=start)
+        stream = ingest.read_topic_files(spark, topic.topic)
+        ingest.ingest_available_now(
+            stream, topic.bronze, topic.quarantine, topic.progress, "1 millisecond"
+        )
+    assert topic.ids() == ["a", "e0", "e10", "e20"]
+
+
 def test_batch_write_is_repeatable_and_reads_only_touched_hours(spark, tmp_path):
     topic = Topic(spark, tmp_path)
     batch = message(spark, event("a", hour(0)), event("b", hour(5)), "oops")
