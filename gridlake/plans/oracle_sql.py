@@ -1350,6 +1350,7 @@ select 'silver' as stage, '{S.FUEL}' as dataset_id, {STATUS}, expected_count, ac
     # tables and streams
     q["ingest_available_now"] = """
 select distinct event_id, event_ts, event_year, event_hour from batch"""
+    q["ingest_replay_window"] = q["ingest_available_now"]
     q["bronze_append"] = f"select {parts}, count(*) as rows from firsts group by all"
     q["read_window"] = q["window_filter"]
     first_half = newest(

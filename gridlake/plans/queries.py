@@ -1142,8 +1142,7 @@ def reconcile_snapshot(spark: SparkSession, root: str) -> DataFrame:
 # --- tables and streams -------------------------------------------------------
 
 
-@query
-def ingest_available_now(spark: SparkSession, root: str) -> DataFrame:
+def ingested(spark: SparkSession, root: str, replay_window: str | None = None) -> DataFrame:
     """Two bounded runs over a growing topic; the second one resumes after the first."""
     topic, bronze_path = scratch_path(spark, "topic"), scratch_path(spark, "bronze")
     quarantine, progress = scratch_path(spark, "quarantine"), scratch_path(spark, "progress")
@@ -1152,11 +1151,22 @@ def ingest_available_now(spark: SparkSession, root: str) -> DataFrame:
     for part in (messages.filter(early), messages.filter(~early)):
         part.write.mode("append").parquet(topic)
         stream = ingest.read_topic_files(spark, topic)
-        ingest.ingest_available_now(stream, bronze_path, quarantine, progress)
+        ingest.ingest_available_now(stream, bronze_path, quarantine, progress, replay_window)
     stored = tables.read_bronze(spark, bronze_path, REGION)
     return stored.select("event_id", "event_ts", "event_year", "event_hour")
 
 
+@query
+def ingest_available_now(spark: SparkSession, root: str) -> DataFrame:
+    return ingested(spark, root)
+
+
+@query
+def ingest_replay_window(spark: SparkSession, root: str) -> DataFrame:
+    """The same with replays dropped by the ids of the last hours."""
+    return ingested(spark, root, "6 hours")
+
+
 @query
 def quarantined_messages(spark: SparkSession, root: str) -> DataFrame:
     refused = bronze.rejected(feed.messages(spark, root))
