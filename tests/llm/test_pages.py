@@ -7,9 +7,9 @@ import gzip
 import hashlib
 import itertools
 import os
-import tracemalloc
 import random
 import re
+import tracemalloc
 from html import unescape
 
 import pytest
