@@ -12,6 +12,7 @@ from gridlake.operators.bronze import (
     usable,
 )
 from gridlake.schemas import BRONZE, BRONZE_PARTITIONS, MESSAGE
+from gridlake.session import adaptive
 from gridlake.sources import notes
 from gridlake.sources.tables import append_partitioned, read_bronze_days, read_table
 
@@ -93,7 +94,15 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
 
 
 def write_decoded(decoded: DataFrame, bronze_path: str, quarantine_path: str) -> None:
-    """The same from messages that have been decoded."""
+    """The same from messages that have been decoded.
+
+    Adaptively, also where the batch comes from a stream with state: few files per hour.
+    """
+    with adaptive(decoded.sparkSession):
+        _write(decoded, bronze_path, quarantine_path)
+
+
+def _write(decoded: DataFrame, bronze_path: str, quarantine_path: str) -> None:
     spark = decoded.sparkSession
     decoded = decoded.persist()  # JSON is opened once, its rows used four times
     try:

@@ -109,6 +109,18 @@ def test_replays_beyond_the_window_are_refused_by_their_id(spark, tmp_path):
     assert topic.ids() == ["a", "e0", "e10", "e20"]
 
 
+def test_a_stream_with_state_writes_few_files(spark, tmp_path):
+    topic = Topic(spark, tmp_path)
+    topic.send(*[event(f"e{n}", hour(n % 2)) for n in range(80)], start=0)
+    stream = ingest.read_topic_files(spark, topic.topic)
+    ingest.ingest_available_now(
+        stream, topic.bronze, topic.quarantine, topic.progress, "2 hours"
+    )
+    stored = tables.read_table(spark, topic.bronze, BRONZE)
+    assert stored.count() == 80
+    assert len(stored.inputFiles()) == 2  # one per hour, not one per task and hour
+
+
 def test_batch_write_is_repeatable_and_reads_only_touched_hours(spark, tmp_path):
     topic = Topic(spark, tmp_path)
     batch = message(spark, event("a", hour(0)), event("b", hour(5)), "oops")
