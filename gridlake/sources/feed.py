@@ -191,6 +191,11 @@ def _placed(rows: DataFrame) -> DataFrame:
     )
 
 
+def source_id() -> Column:
+    """The number of the event a message is about. Ids hash rows, which two events may share."""
+    return F.shiftright("kafka_offset", 1).cast("string")
+
+
 def _batch(rows: DataFrame, dataset: str, event_id: Column, row: Column, loaded: Column):
     """The columns of Bronze that cleaning reads. The payload is built once per row."""
     return evaluated_once(
