@@ -90,7 +90,8 @@ def write_batch(messages: DataFrame, bronze_path: str, quarantine_path: str) ->
     by its id. So a batch that failed half way can simply be repeated. The days of all its
     events, also of those stored before, are noted after they are in place.
     """
-    write_decoded(decode(messages), bronze_path, quarantine_path)
+    # a part of a file may unpack to gigabytes of rows, which one task would keep and read
+    write_decoded(decode(messages.hint("rebalance")), bronze_path, quarantine_path)
 
 
 def write_decoded(decoded: DataFrame, bronze_path: str, quarantine_path: str) -> None:

@@ -121,6 +121,26 @@ def test_a_stream_with_state_writes_few_files(spark, tmp_path):
     assert len(stored.inputFiles()) == 2  # one per hour, not one per task and hour
 
 
+def test_a_batch_of_one_partition_is_kept_in_several(spark, tmp_path, monkeypatch):
+    topic, parts = Topic(spark, tmp_path), []
+    replay_safe = ingest.replay_safe_batch
+
+    def recording(events, existing):
+        parts.append(events.rdd.getNumPartitions())
+        return replay_safe(events, existing)
+
+    monkeypatch.setattr(ingest, "replay_safe_batch", recording)
+    small = "spark.sql.adaptive.coalescePartitions.enabled"  # else a few rows stay together
+    spark.conf.set(small, "false")
+    try:
+        texts = [event(f"e{n:02d}", hour(n % 5)) for n in range(40)]
+        ingest.write_batch(message(spark, *texts).coalesce(1), topic.bronze, topic.quarantine)
+    finally:
+        spark.conf.set(small, "true")
+    assert topic.ids() == [f"e{n:02d}" for n in range(40)]
+    assert parts[0] > 1
+
+
 def test_batch_write_is_repeatable_and_reads_only_touched_hours(spark, tmp_path):
     topic = Topic(spark, tmp_path)
     batch = message(spark, event("a", hour(0)), event("b", hour(5)), "oops")
