@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +27,37 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
     return first_by_key(df, keys, [F.col(c).desc_nulls_last() for c in newest])
 
 
+def first_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``first_by_key`` for keys with a handful of rows each, such as the ids of events.
+
+    There a limit ahead of the shuffle drops next to nothing, but sorts all rows of a map
+    task for it, and a task that reads a large part of a file spills them. So the rows are
+    dealt by their keys first, and only the parts that come of it are sorted. A key with
+    many rows gives the same result, but they all meet in one task.
+    """
+    return first_by_key(df.repartition(*keys), keys, order)
+
+
+def latest_of_few(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
+    """``latest_by_key`` for keys with a handful of rows each."""
+    return first_of_few(df, keys, [F.col(c).desc_nulls_last() for c in newest])
+
+
+def at_newest(
+    stored: DataFrame, keys: Sequence[str], time: str, keep: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The rows of each key's newest ``time``, null if it has no other: its latest is among them.
+
+    For a stored table, which is read twice, with many rows per key. The newest times are a
+    hashed aggregate over few columns; ``keep`` stores them, so their measured size decides on
+    a broadcast. The table's rows are then neither sorted nor moved to thin them out.
+    """
+    named = {c: f"_newest_{c}" for c in (*keys, time)}
+    newest = stored.groupBy(*keys).agg(F.max(time).alias(time)).withColumnsRenamed(named)
+    on = [F.col(c).eqNullSafe(F.col(n)) for c, n in named.items()]
+    return stored.join(keep(newest), on, "left_semi")
+
+
 def merge_latest(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], newest: Sequence[str]
 ) -> DataFrame:

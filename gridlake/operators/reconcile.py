@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.columns import grain_key, parse_ts
-from gridlake.operators.rank import first_by_key
+from gridlake.operators.rank import first_of_few
 from gridlake.operators.silver import extract
 from gridlake.operators.windowing import Bound, in_window
 from gridlake.schemas import DEMAND, FORECAST, GRAIN_KEYS, DatasetSpec
@@ -93,7 +93,7 @@ def expected_of_typed(rows: DataFrame, spec: DatasetSpec, target: str) -> DataFr
     """
     complete = rows.dropna(subset=list(spec.expected))
     if target == "silver":
-        events = first_by_key(complete, ["event_id"], [F.col("loaded_at"), F.col("period")])
+        events = first_of_few(complete, ["event_id"], [F.col("loaded_at"), F.col("period")])
         return keys_of(events, "period", spec.entity, spec.dimension)
     if spec.dimension != ("type",):
         distinct = complete.select(*spec.business_key).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridlake.functions.columns import clean_text, clean_unit, now_or, parse_ts, to_number
 from gridlake.functions.frames import evaluated_once
 from gridlake.operators.quality import Allowed, Consistent, NotNull, QualityError, Rule, Unique
-from gridlake.operators.rank import latest_by_key
+from gridlake.operators.rank import latest_of_few
 from gridlake.schemas import FUEL_SPEC, MIN_RETENTION, POWER_SPEC, REGION_SPEC, DatasetSpec
 
 _CONVERT = {"text": clean_text, "unit": clean_unit, "number": to_number}
@@ -40,7 +40,7 @@ def clean(
 def newest_complete(typed: DataFrame, spec: DatasetSpec) -> DataFrame:
     """The same from rows that ``extract`` has typed."""
     complete = typed.dropna(subset=list(spec.required))
-    newest = latest_by_key(complete, ["event_id"], ["loaded_at", "period"])
+    newest = latest_of_few(complete, ["event_id"], ["loaded_at", "period"])
     return newest.withColumn("event_date", F.to_date("period"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators import gold, marts
 from gridlake.operators.quality import QualityError, check
-from gridlake.operators.rank import latest_by_key
+from gridlake.operators.rank import at_newest, latest_by_key, latest_of_few
 from gridlake.operators.stats import with_group_stats, with_previous
 from gridlake.schemas import FUEL_SPEC, GOLD_FUEL, GOLD_POWER, GOLD_REGION, POWER_SPEC, REGION_SPEC
 
@@ -94,6 +94,21 @@ def test_latest_by_key_limits_groups_before_the_shuffle(spark, at):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_latest_of_few_and_rows_at_the_newest_time_give_the_same_rows(spark, at):
+    rows = [
+        (f"e{i:02d}", at(1, i % 5), None if i % 4 else "R", "R", "D", float(i), None if i % 5 == 3 else at(2, i % 3))
+        for i in range(40)
+    ]
+    df = silver_region(spark, *rows).repartition(3)
+    keys = REGION_SPEC.business_key
+    wanted = sorted(r["event_id"] for r in latest_by_key(df, keys, gold.NEWEST).collect())
+    few = latest_of_few(df, keys, gold.NEWEST)
+    thinned = at_newest(df, keys, "loaded_at", keep=lambda newest: newest)
+    assert sorted(r["event_id"] for r in few.collect()) == wanted
+    assert sorted(r["event_id"] for r in latest_by_key(thinned, keys, gold.NEWEST).collect()) == wanted
+    assert len(wanted) < thinned.count() < 40
+
+
 def test_fuel_clips_negative_readings(spark, at):
     rows = [
         ("e1", at(1), "PJM", "PJM", "NG", "Gas", -10.0, "mwh", at(1)),

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from gridlake.operators import quality, silver
+from gridlake.operators import quality, reconcile, silver
 from gridlake.operators.quality import (
     Allowed,
     Bounds,
@@ -279,3 +279,15 @@ def test_known_counts_break_rules_without_a_job(spark):
     check(df, [NonNegative(("v",))], "t", {0: 0})
     with pytest.raises(QualityError, match=r"t contains negative values in columns: v \(3 found\)"):
         check(df, [NonNegative(("v",))], "t", {0: 3})
+
+
+def test_cleaning_sorts_only_what_the_shuffle_dealt(spark, at):
+    df = bronze(spark, ("e", REGION, region(), at(1, 1)))
+    typed = silver.extract(df, REGION_SPEC)
+    expected = reconcile.expected_of_typed(typed, REGION_SPEC, "silver")
+    for frame in (silver.clean_region(df), silver.newest_complete(typed, REGION_SPEC), expected):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        above, below = plan.split("Exchange", 1)
+        assert "Sort" in above and "WindowGroupLimit" in above
+        assert "Exchange" not in below
+        assert "Sort" not in below and "WindowGroupLimit" not in below
