@@ -51,9 +51,13 @@ _MOST_NOISE = 38.0
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """A bijective hash of 64-bit numbers."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    y = x >> _U(30)
+    y ^= x
+    y *= _U(0xBF58476D1CE4E5B9)
+    y ^= y >> _U(27)
+    y *= _U(0x94D049BB133111EB)
+    y ^= y >> _U(31)
+    return y
 
 
 def _step(counter: np.ndarray | int) -> np.ndarray:
@@ -200,7 +204,10 @@ class Tables:
         self.single[[int(t[0]) for t in texts if len(t) == 1]] = True
 
     def _place(self, hashes: np.ndarray, ids: np.ndarray) -> None:
-        """Two direct-address tables by different bits, and the few left by binary search."""
+        """Two direct-address tables by different bits, and the few left by binary search.
+
+        Each table also marks the slots some of whose hashes had to go on to the next.
+        """
         self.levels = []
         slots = 1 << SLOT_BITS
         for shift in (64 - SLOT_BITS, 20):
@@ -208,9 +215,11 @@ class Tables:
             keys, found = np.zeros(slots, _U), np.full(slots, -1, np.int32)
             _, first = np.unique(slot, return_index=True)
             keys[slot[first]], found[slot[first]] = hashes[first], ids[first]
-            self.levels.append((shift, keys, found))
             left = np.ones(len(hashes), bool)
             left[first] = False
+            more = np.zeros(slots, bool)
+            more[slot[left]] = True
+            self.levels.append((shift, keys, found, more))
             hashes, ids = hashes[left], ids[left]
         order = np.argsort(hashes)
         self.rest = (hashes[order], ids[order])
@@ -218,15 +227,18 @@ class Tables:
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The id of the piece with each hash, or -1."""
         result = np.full(len(hashes), -1, np.int64)
-        for shift, keys, found in self.levels:
-            slot = (hashes >> _U(shift)).astype(np.int64) & (len(keys) - 1)
+        on = None  # where the search goes on, and the hashes there; at first everywhere
+        for shift, keys, found, more in self.levels:
+            slot = (hashes >> _U(shift)).view(np.int64) & (len(keys) - 1)
             hit = np.flatnonzero(keys[slot] == hashes)
-            result[hit] = found[slot[hit]]
+            result[hit if on is None else on[hit]] = found[slot[hit]]
+            left = np.flatnonzero(more[slot])
+            on, hashes = left if on is None else on[left], hashes[left]
         keys, ids = self.rest
         if len(keys):
             at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
             hit = np.flatnonzero(keys[at] == hashes)
-            result[hit] = ids[at[hit]]
+            result[on[hit]] = ids[at[hit]]
         return result
 
 
@@ -313,8 +325,11 @@ class Lattice:
         """The log of all ways from each place to its atom's end, and the edges' probabilities."""
         below = np.zeros(len(self.codes))
         left = self.stop[self.node] - self.node
+        if len(left) and left.max() < 1 << 16:
+            left = left.astype(np.uint16)  # sorted by digits
         order = np.argsort(left, kind="stable")  # edges of a node stay together
-        bounds = np.flatnonzero(np.diff(left[order], prepend=-1, append=-1))
+        sorted_left = left[order].astype(np.int64)
+        bounds = np.flatnonzero(np.diff(sorted_left, prepend=-1, append=-1))
         for a, b in zip(bounds, bounds[1:], strict=False):
             own = order[a:b]
             value = self.weight[own] + below[self.target[own]]
@@ -546,7 +561,7 @@ class _Search:
 
 
 #: Places of a text that are split at once.
-SPLIT_PLACES = 64
+SPLIT_PLACES = 256
 
 
 def _log_rest(chance: np.ndarray) -> np.ndarray:

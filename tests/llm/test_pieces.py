@@ -136,3 +136,19 @@ def test_documents(documents, word_text):
     assert all(r["ids"] == [] and r["perturbed"] is None for r in got if r["doc_id"] in (2, 3))
     assert len({tuple(r["ids"]) for r in got if r["doc_id"] == 1}) == 2
     assert sample_segmentations(documents([]), load_vocabulary()).count() == 0
+
+
+@with_model
+def test_few_hashes_are_looked_up_beyond_the_first_table(monkeypatch):
+    tables = Tables(load_vocabulary())
+    own = [i for i, usable in enumerate(tables.vocabulary.usable) if usable and tables.vocabulary.pieces[i]]
+    texts = [tables.vocabulary.pieces[i] for i in own]
+    ends = np.cumsum([len(t) for t in texts])
+    codes = np.array([ord(c) for t in texts for c in t], np.int64)
+    known = pieces._Hashes(codes).of(ends - [len(t) for t in texts], ends)
+    assert tables.find(known).tolist() == own
+    looked_up, plain = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, **more: looked_up.append(len(v)) or plain(a, v, **more))
+    unknown = np.setdiff1d(np.random.default_rng(3).integers(0, 1 << 63, 100_000, np.uint64), known)
+    assert (tables.find(unknown) == -1).all()
+    assert sum(looked_up) < len(unknown) / 100
