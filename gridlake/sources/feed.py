@@ -229,9 +229,16 @@ def event_hours(spark: SparkSession, root: str) -> DataFrame:
     return _placed(events(spark, root)).select("event_ts")
 
 
-def _hourly_rows(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
+def _hourly_rows(
+    spark: SparkSession, root: str, spec: DatasetSpec, dealt: bool = False
+) -> DataFrame:
     row = {REGION: region_row, FUEL: fuel_row}[spec.dataset]()
-    placed = _placed(events(spark, root))
+    rows = events(spark, root)
+    if dealt:
+        # the number is given: by their bytes, adaptive execution would merge the parts again
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(parts, "event_id")
+    placed = _placed(rows)
     return evaluated_once(placed, row.alias("row"), keep=tuple(placed.columns))
 
 
@@ -241,12 +248,19 @@ def envelopes(spark: SparkSession, root: str, spec: DatasetSpec = REGION_SPEC) -
     return build_envelopes(rows, spec, RUN_ID, *WINDOW, ingested_at=F.col("ingestion_ts"))
 
 
-def messages(spark: SparkSession, root: str, spec: DatasetSpec = REGION_SPEC) -> DataFrame:
-    """Topic messages of an hourly feed; some of them are not JSON."""
+def messages(
+    spark: SparkSession, root: str, spec: DatasetSpec = REGION_SPEC, dealt: bool = False
+) -> DataFrame:
+    """Topic messages of an hourly feed; some of them are not JSON.
+
+    With ``dealt`` events are dealt by number first, into ``spark.sql.shuffle.partitions``
+    parts. They take a few bytes each in a file, and building and opening their messages many
+    times longer than reading them, so that a part of the file is a long task.
+    """
     built = envelope(spec, F.col("row"), RUN_ID, *WINDOW, ingested_at=F.col("ingestion_ts"))
     text = F.when(_every(43), "{broken").otherwise(envelope_json(built))
     return evaluated_once(
-        _hourly_rows(spark, root, spec),
+        _hourly_rows(spark, root, spec, dealt),
         text.cast("binary").alias("value"),
         F.lit(f"feed_{spec.table}").alias("topic"),
         F.col("kafka_partition").alias("partition"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridlake.functions.columns import normalize_period
 from gridlake.operators import bronze, envelope, quality
+from gridlake.plans.queries import QUERIES
 from gridlake.schemas import BRONZE, BRONZE_PARTITIONS, MESSAGE, REGION, REGION_SPEC
 
 
@@ -186,3 +187,11 @@ def test_next_offsets_and_touched_partitions(spark):
         (REGION, 2026, 1, 1, 0),
         (REGION, 2026, 1, 1, 5),
     }
+
+
+def test_messages_are_dealt_before_they_are_built_and_opened(spark):
+    parsed = QUERIES["parse_envelope"](spark, "/root/testdata/sf0.001")
+    assert parsed.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    below = plan.rsplit("Exchange", 1)[1]
+    assert "payload" not in below and "Generate inline" not in below
