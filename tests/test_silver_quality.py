@@ -19,6 +19,7 @@ from gridlake.operators.quality import (
     check,
 )
 from gridlake.operators.windowing import in_window, lookback
+from gridlake.plans.queries import QUERIES
 from gridlake.schemas import FUEL, FUEL_SPEC, POWER, POWER_SPEC, REGION, REGION_SPEC
 from gridlake.sources.tables import materialized
 
@@ -291,3 +292,9 @@ def test_cleaning_sorts_only_what_the_shuffle_dealt(spark, at):
         assert "Sort" in above and "WindowGroupLimit" in above
         assert "Exchange" not in below
         assert "Sort" not in below and "WindowGroupLimit" not in below
+
+
+def test_power_rows_are_not_sorted_where_they_are_read(spark):
+    plan = QUERIES["clean_power"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    above, below = plan.executedPlan().toString().split("Exchange", 1)
+    assert "Sort" in above and "Sort" not in below
