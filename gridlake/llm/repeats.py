@@ -38,9 +38,11 @@ GRAM = 32
 WIDTH = SPAN - GRAM + 1
 #: Suffixes cut at once, and the bits that number them.
 CHUNK, _BITS = 1 << 20, 20
-#: Bytes of pieces sorted together, unless one bucket has more.
-BLOCK = 4 << 20
+#: Bytes of pieces sorted together, unless one bucket has more: sorting takes some fifty times as many.
+BLOCK = 1 << 20
 BUCKET_PIECES = 20_000
+#: Bytes of a batch of rows in the stored steps. Both Spark and Python hold some batches of each task at once.
+BATCH_BYTES = 4 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -117,19 +119,24 @@ _SHIFT = 7  # a piece's first suffix and its number of suffixes, below 128, as o
 
 
 @contextmanager
-def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what is run inside go when it has ended."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
+def _held(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting for what is run inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    with _shuffles_freed(df.sparkSession):
+    """``df`` as stored. Its shuffle files go when that has ended, and its batches are small."""
+    spark = df.sparkSession
+    freed = _held(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    with freed, _held(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
         return materialized(df, name)
 
 

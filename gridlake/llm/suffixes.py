@@ -71,8 +71,10 @@ class Block:
 
     def __init__(self, text: bytes) -> None:
         padded = np.frombuffer(text + bytes(SPAN + LONG + _WORD), np.uint8)
-        views = np.lib.stride_tricks.sliding_window_view(padded, _WORD)
-        self.words = np.ascontiguousarray(views).view(">u8").ravel().astype(np.uint64)
+        self.words = np.zeros(len(padded) - _WORD + 1, np.uint64)
+        for at in range(_WORD):
+            self.words <<= np.uint64(8)
+            self.words |= padded[at : at + len(self.words)]
         self.size = len(text)
         self._rank_sample()
 
@@ -86,10 +88,10 @@ class Block:
         places = np.flatnonzero(np.tile(inside, end // PERIOD + 1)[:end])
         heads = self._heads(places)
         order = np.lexsort(heads[::-1])
-        names = np.full(end + PERIOD, -1, np.int64)
+        names = np.full(end + PERIOD, -1, np.int32)  # a block has far fewer places
         names[places[order]] = np.cumsum(_dense(order, heads))
         self.splitters = heads[0][order]
-        pairs = names[places] * (len(places) + 2) + names[places + PERIOD] + 1
+        pairs = names[places].astype(np.int64) * (len(places) + 2) + names[places + PERIOD] + 1
         order = np.argsort(pairs, kind="stable")
         self.ranks = names  # the names are done with
         self.ranks[places[order]] = np.cumsum(_dense(order, [pairs]))

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridlake.llm import repeats as R
@@ -87,6 +89,32 @@ def test_a_long_text_is_cut_by_chunks(monkeypatch):
         R._powers.cache_clear()
 
 
+def test_blocks_are_sorted_in_little_memory():
+    chance = random.Random(6)
+    data = [chance.randbytes(150) for _ in range(30_000)]  # 4.5 MB, a bucket each
+    n = len(data)
+    names = ["doc_id", "body", "bucket", "start", "data"]
+    columns = [range(n), [0] * n, range(n), [0] * n, data]
+    batches = pa.Table.from_pydict(dict(zip(names, map(list, columns)))).to_batches(max_chunksize=5000)
+    tracemalloc.start()
+    try:
+        for _ in R._blocks(iter(batches)):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 90 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_stored_steps_take_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes], "rows": [batch.num_rows]})
+
+    texts = spark.range(0, 1000, 1, 1).selectExpr("repeat('x', 40000 + cast(id % 3 as int)) AS text")
+    found = R._stored(R.map_partitions(texts, sizes, "n long, rows long"), "sizes").collect()
+    assert sum(r["rows"] for r in found) == 1000 and max(r["n"] for r in found) <= R.BATCH_BYTES + 100_000
+
+
 def plain(rows, span=100):
     """(id, n_bytes, n_removed, n_spans, hash) per row."""
     order = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
@@ -163,6 +191,13 @@ def test_the_shuffle_setting_is_put_back(spark, documents):
     assert spark.conf.get(name) == before
 
 
+def test_the_batch_setting_is_put_back(spark, documents):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    R.without_repeats(documents([(1, "a"), (2, "b" * 200)])).count()
+    assert spark.conf.get(name) == before
+
+
 def test_the_given_documents(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [tuple(r) for r in table.select("doc_id", "text").collect()]
