@@ -18,10 +18,10 @@ blockwise (``suffixes``), one bucket of suffixes at a time:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import cache
-from typing import Any
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm.batches import map_partitions, utf8
-from gridlake.llm.suffixes import SPAN, later_copies
+from gridlake.llm.suffixes import SPAN, _dense, later_copies
 from gridlake.sources.tables import materialized
 
 GRAM = 32
@@ -38,6 +38,8 @@ GRAM = 32
 WIDTH = SPAN - GRAM + 1
 #: Suffixes cut at once, and the bits that number them.
 CHUNK, _BITS = 1 << 20, 20
+#: Bytes of texts hashed together, unless one has more: texts are short, and a call of numpy takes as long as some KB.
+JOINED = 1 << 17
 #: Bytes of pieces sorted together, unless one bucket has more: sorting takes some fifty times as many.
 BLOCK = 1 << 20
 BUCKET_PIECES = 20_000
@@ -45,9 +47,10 @@ BUCKET_PIECES = 20_000
 BATCH_BYTES = 4 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+_WORD = 8
 
 
-# --- pieces of one text -------------------------------------------------------
+# --- pieces of texts ----------------------------------------------------------
 
 
 @cache
@@ -61,11 +64,14 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each GRAM-byte run."""
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE)[:n], out=sums[1:])
-    x = (sums[GRAM:] - sums[:-GRAM]) * _powers(pow(_BASE, -1, 1 << 64))[: n - GRAM + 1]
+    np.cumsum(np.add(data, 1, dtype=np.uint64) * _powers(_BASE)[:n], out=sums[1:])
+    x = sums[GRAM:] - sums[:-GRAM]
+    x *= _powers(pow(_BASE, -1, 1 << 64))[: n - GRAM + 1]
     for _ in range(2):
-        x = (x ^ (x >> np.uint64(32))) * _MIX
-    return x ^ (x >> np.uint64(32))
+        x ^= x >> np.uint64(32)
+        x *= _MIX
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def _window_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -76,40 +82,97 @@ def _window_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[:-rest], least[rest:]) if rest else least
 
 
-def pieces_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket, first suffix and number of suffixes of each piece, in text order.
+def _piece_hashes(data: bytes, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each piece: its words in turn, the last one as it ends."""
+    words = np.ndarray((len(data) - _WORD + 1,), "<u8", data, strides=(1,))
+    last = n + (SPAN - 1 - _WORD)
+    x = n.astype(np.uint64) * np.uint64(_BASE)
+    for at in range(0, WIDTH + SPAN - 1, _WORD):
+        x ^= words[first + np.minimum(at, last)]
+        x *= _MIX
+        x ^= x >> np.uint64(32)
+    return x.view(np.int64)
+
+
+def _slices(texts: Sequence[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Slices (text, first byte, bytes) of at most CHUNK suffixes, some JOINED bytes of them at a time."""
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        for at in range(0, len(text) - SPAN + 1, CHUNK - WIDTH):
+            own = text[at : at + CHUNK - WIDTH + SPAN - 1]
+            if held and size + len(own) > min(JOINED, CHUNK):
+                yield held
+                held, size = [], 0
+            held.append((i, at, own))
+            size += len(own)
+    if held:
+        yield held
+
+
+class Pieces(NamedTuple):
+    """Pieces of some texts, in the texts' order and that of each text."""
+
+    text: np.ndarray
+    bucket: np.ndarray
+    #: A hash of the piece's bytes, if asked for.
+    key: np.ndarray
+    #: First suffix and number of suffixes.
+    start: np.ndarray
+    n: np.ndarray
+
+
+def cut(texts: Sequence[bytes], keyed: bool = False) -> Pieces:
+    """The pieces of each text.
 
     A suffix's run is the one with the least hash, the leftmost of equal ones. A piece ends
-    where the run changes.
+    where the run changes. Texts are joined to be hashed; no suffix that counts reaches into
+    the next one, and a hash does not depend on where its run stands.
     """
     found = []
-    data = np.frombuffer(text, np.uint8)
-    for at in range(0, len(text) - SPAN + 1, CHUNK - WIDTH):
-        hashes = _gram_hashes(data[at : at + CHUNK - WIDTH + SPAN - 1])
-        order = (hashes >> np.uint64(_BITS) << np.uint64(_BITS)) | np.arange(len(hashes), dtype=np.uint64)
-        run = (_window_least(order, WIDTH) & np.uint64(CHUNK - 1)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-        found.append((hashes[run[first]].view(np.int64), first + at, np.diff(np.append(first, len(run)))))
+    for held in _slices(texts):
+        data = b"".join(own for _, _, own in held)
+        text, at, sizes = np.array([(i, at, len(own)) for i, at, own in held]).T
+        hashes = _gram_hashes(np.frombuffer(data, np.uint8))
+        order = hashes >> np.uint64(_BITS) << np.uint64(_BITS)
+        order |= np.arange(len(hashes), dtype=np.uint64)
+        suffixes = sizes - (SPAN - 1)
+        ends, begins = np.cumsum(suffixes), np.cumsum(sizes) - sizes
+        places = np.arange(ends[-1]) + np.repeat(begins - ends + suffixes, suffixes)
+        run = _window_least(order, WIDTH)[places] & np.uint64(CHUNK - 1)
+        begin = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        n, first = np.diff(np.append(begin, len(run))), places[begin]
+        part = np.searchsorted(ends, begin, side="right")
+        key = _piece_hashes(data, first, n) if keyed else np.zeros(len(n), np.int64)
+        bucket = hashes[run[begin].astype(np.int64)].view(np.int64)
+        found.append((text[part], bucket, key, first - begins[part] + at[part], n))
     if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(part) for part in zip(*found, strict=True))  # type: ignore[return-value]
+        return Pieces(*(np.zeros(0, np.int64) for _ in Pieces._fields))
+    return Pieces(*(np.concatenate(column) for column in zip(*found, strict=True)))
 
 
-def keyed_pieces(text: bytes, repeated_only: bool = False) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(bucket, hash of its bytes, first suffix, suffixes, whether the text had it before).
-
-    ``repeated_only`` leaves out pieces whose bucket the text has once: none of them is repeated.
-    """
-    buckets, starts, sizes = pieces_of(text)
-    if repeated_only:
-        _, number, counts = np.unique(buckets, return_inverse=True, return_counts=True)
-        often = counts[number] > 1
-        buckets, starts, sizes = buckets[often], starts[often], sizes[often]
+def pieces_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket, first suffix and number of suffixes of each piece, in text order."""
+    own = cut([text])
+    return own.bucket, own.start, own.n
+
+
+def own_repeats(texts: Sequence[bytes]) -> list[list[tuple[int, int]]]:
+    """Per text, begin and end of the pieces that it had before."""
+    found: list[list[tuple[int, int]]] = [[] for _ in texts]
+    all_pieces = cut(texts)
+    order = np.argsort(all_pieces.bucket, kind="stable")  # of one bucket the texts ascend
+    new = _dense(order, [all_pieces.bucket, all_pieces.text])
+    # a text that has a bucket once does not repeat its piece
+    often = np.sort(order[~(new & np.append(new[1:], True))])
     seen = set()
-    for bucket, start, n in zip(buckets.tolist(), starts.tolist(), sizes.tolist(), strict=True):
-        key = xxhash.xxh64_intdigest(text[start : start + n + SPAN - 1])
-        yield bucket, key - (1 << 63), start, n, (bucket, key) in seen
-        seen.add((bucket, key))
+    for i, start, n in zip(*(c[often].tolist() for c in (all_pieces.text, all_pieces.start, all_pieces.n)), strict=True):
+        stop = start + n + SPAN - 1
+        own = i, xxhash.xxh3_128_intdigest(texts[i][start:stop])
+        if own in seen:
+            found[i].append((start, stop))
+        seen.add(own)
+    return found
 
 
 # --- tables -------------------------------------------------------------------
@@ -140,7 +203,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
         return materialized(df, name)
 
 
-def _take(batch: pa.RecordBatch, index: list[int]) -> list[pa.Array]:
+def _take(batch: pa.RecordBatch, index: Sequence[int] | np.ndarray) -> list[pa.Array]:
     rows = pa.array(index, pa.int64())
     return [batch.column(name).take(rows) for name in ("doc_id", "body")]
 
@@ -148,15 +211,13 @@ def _take(batch: pa.RecordBatch, index: list[int]) -> list[pa.Array]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pieces of each text, each one the first time the text has it."""
     for batch in batches:
-        index: list[int] = []
-        rows: list[tuple[int, int, int]] = []
-        for i, text in enumerate(utf8(batch, "text")):
-            own = [(b, k, s << _SHIFT | n) for b, k, s, n, again in keyed_pieces(text) if not again]
-            index += [i] * len(own)
-            rows += own
-        columns = zip(*rows, strict=True) if rows else ((), (), ())
+        own = cut(utf8(batch, "text"), keyed=True)
+        order = np.argsort(own.key, kind="stable")  # of one key the texts ascend
+        first = np.sort(order[_dense(order, [own.key, own.bucket, own.text])])
+        own = Pieces(*(column[first] for column in own))
+        columns = own.bucket, own.key, own.start << _SHIFT | own.n
         yield pa.RecordBatch.from_arrays(
-            [*_take(batch, index), *[pa.array(c, pa.int64()) for c in columns]],
+            [*_take(batch, own.text), *[pa.array(c, pa.int64()) for c in columns]],
             ["doc_id", "body", "bucket", "piece", "place"],
         )
 
@@ -164,8 +225,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The buckets of each batch with their pieces."""
     for batch in batches:
-        own = [pieces_of(text)[0] for text in utf8(batch, "text")]
-        buckets, counts = np.unique(np.concatenate(own), return_counts=True)
+        buckets, counts = np.unique(cut(utf8(batch, "text")).bucket, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(counts)], ["bucket", "pieces"])
 
 
@@ -342,10 +402,15 @@ def _narrow(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def kept_bytes(text: bytes, spans: list[dict[str, Any]]) -> tuple[bytes, int]:
-    """What is left of a text without the spans and its own repeated pieces, and the runs removed."""
+def kept_bytes(
+    text: bytes, spans: list[dict[str, Any]], own: list[tuple[int, int]] | None = None
+) -> tuple[bytes, int]:
+    """What is left of a text without the spans and its own repeated pieces, and the runs removed.
+
+    ``own`` gives the latter, as ``own_repeats`` has found them for many texts at once.
+    """
     cuts = [(span["start"], span["stop"]) for span in spans]
-    cuts += [(start, start + n + SPAN - 1) for _, _, start, n, again in keyed_pieces(text, True) if again]
+    cuts += own_repeats([text])[0] if own is None else own
     kept, runs, reach = [], 0, None
     for start, stop in sorted(cuts):
         if reach is None or start > reach:
@@ -377,9 +442,10 @@ def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for own, cuts in zip(utf8(batch, "text"), batch.column("spans").to_pylist(), strict=True):
-                kept, runs = kept_bytes(own, cuts or [])
-                rows.append((len(own), len(own) - len(kept), runs, kept, hashlib.sha256(kept).hexdigest()))
+            texts = utf8(batch, "text")
+            for data, cuts, own in zip(texts, batch.column("spans").to_pylist(), own_repeats(texts), strict=True):
+                kept, runs = kept_bytes(data, cuts or [], own)
+                rows.append((len(data), len(data) - len(kept), runs, kept, hashlib.sha256(kept).hexdigest()))
             names = ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]

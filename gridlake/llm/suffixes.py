@@ -160,11 +160,12 @@ def later_copies(text: bytes, places: np.ndarray, owner: np.ndarray, start: np.n
     Earlier means a smaller (owner, start); equal ones are the same suffix. Places ascend.
     """
     found = np.zeros(len(places), bool)
+    age = owner * (int(start.max(initial=0)) + 1) + start  # fewer than 2^32 owners, of less than 2^31 bytes
+    number = np.zeros(len(text), np.int32)  # a block has far fewer places
+    number[places] = np.arange(len(places))
     for own, segment in Block(text).sorted_suffixes(places):
-        index = np.searchsorted(places, own)
-        order = np.lexsort((start[index], owner[index], segment))
-        index, segment = index[order], segment[order]
+        own_age = age[number[own]]
         new = _dense(np.arange(len(segment)), [segment])
-        first = index[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        found[index] = (owner[index] != owner[first]) | (start[index] != start[first])
+        first = np.minimum.reduceat(own_age, np.flatnonzero(new)) if len(own) else own_age
+        found[number[own]] = own_age != first[np.cumsum(new) - 1]
     return found

@@ -89,6 +89,42 @@ def test_a_long_text_is_cut_by_chunks(monkeypatch):
         R._powers.cache_clear()
 
 
+@pytest.mark.parametrize("chunk, joined", [(R.CHUNK, R.JOINED), (R.CHUNK, 700), (512, R.JOINED)])
+def test_texts_cut_together_give_the_pieces_of_each(monkeypatch, chunk, joined):
+    chance = random.Random(4)
+    texts = [repetitive(chance, letters, 1 + k) for letters in (b"ab", b"abcdefgh") for k in range(12)]
+    texts += [b"", b"x" * 99, b"x" * 100, texts[5], b"ab" * 400, texts[5] + texts[9], bytes(300)]
+    monkeypatch.setattr(R, "CHUNK", chunk)
+    monkeypatch.setattr(R, "JOINED", joined)
+    R._powers.cache_clear()
+    try:
+        found, by_key, by_data = R.cut(texts, keyed=True), {}, {}
+        for i, text in enumerate(texts):
+            own = found.text == i
+            for column, expected in zip((found.bucket, found.start, found.n), R.pieces_of(text)):
+                assert column[own].tolist() == expected.tolist()
+        for i, key, start, n in zip(*(found[c].tolist() for c in (0, 2, 3, 4))):
+            piece = texts[i][start : start + n + R.SPAN - 1]
+            assert by_key.setdefault(key, piece) == piece and by_data.setdefault(piece, key) == key
+        assert len(by_data) < len(found.n)
+        for text, own in zip(texts, R.own_repeats(texts)):
+            assert R.kept_bytes(text, [], own) == R.kept_bytes(text, [])
+    finally:
+        R._powers.cache_clear()
+
+
+def test_short_texts_are_hashed_together(monkeypatch):
+    calls, hashes = [], R._gram_hashes
+    monkeypatch.setattr(R, "_gram_hashes", lambda data: calls.append(len(data)) or hashes(data))
+    chance = random.Random(2)
+    texts = [chance.randbytes(200).hex() for _ in range(300)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "body": [0] * 300, "text": texts})
+    for step in (R._counted, R._cut):
+        calls.clear()
+        assert sum(part.num_rows for part in step(iter([batch]))) > 300
+        assert len(calls) < 5 and sum(calls) == 300 * 400
+
+
 def test_blocks_are_sorted_in_little_memory():
     chance = random.Random(6)
     data = [chance.randbytes(150) for _ in range(30_000)]  # 4.5 MB, a bucket each
