@@ -328,7 +328,7 @@ class Counts:
 def counting(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Counts]:
     """``df`` with its row rules counted by the first job that runs it.
 
-    The frame returned has to be written as it is, all of it: then the counts are taken in
+    The frame returned has to be written with all of its rows, though not all columns: then the counts are taken in
     the tasks that write, each of which counts once even if it was tried more than once or
     an executor was lost. Below a shuffle a task that is run again would count twice.
     """
@@ -340,6 +340,19 @@ def counting(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Counts]:
     return df.observe(observation, *totals), Counts(observation)
 
 
+def read_later(df: DataFrame, rules: Sequence[Rule]) -> list[str]:
+    """The columns of ``df`` that rules read which ``counting`` leaves, for a frame stored for them alone.
+
+    All of them if another than a rule on keys is left: its condition may read any. One if none
+    is left, as a file needs a column.
+    """
+    left = [r for r in rules if not (isinstance(r, RowRule) and r.passing)]
+    if not all(isinstance(r, KeyRule) for r in left):
+        return df.columns
+    read = {c for r in left for c in (*r.keys, *(r.columns if isinstance(r, Consistent) else ()))}
+    return [c for c in df.columns if c in read] or df.columns[:1]
+
+
 def _results(
     df: DataFrame, rules: Sequence[Rule], known: Mapping[int, int] | None = None
 ) -> DataFrame:

@@ -19,6 +19,7 @@ from gridlake.operators.quality import (
     check,
 )
 from gridlake.operators.windowing import in_window, lookback
+from gridlake.plans import queries
 from gridlake.plans.queries import QUERIES
 from gridlake.schemas import FUEL, FUEL_SPEC, POWER, POWER_SPEC, REGION, REGION_SPEC
 from gridlake.sources.tables import materialized
@@ -298,3 +299,15 @@ def test_power_rows_are_not_sorted_where_they_are_read(spark):
     plan = QUERIES["clean_power"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     above, below = plan.executedPlan().toString().split("Exchange", 1)
     assert "Sort" in above and "Sort" not in below
+
+
+def test_a_report_of_rows_that_nothing_else_reads_stores_keys_only(spark, monkeypatch):
+    written, store = [], queries.tables.materialized
+    monkeypatch.setattr(queries.tables, "materialized", lambda df, name: written.append(df.columns) or store(df, name))
+    rows = [(1, "a", 1.0, "x"), (1, "a", -1.0, "y"), (2, None, None, "z"), (2, "b", 2.0, None)]
+    df = spark.createDataFrame(rows, "id int, k string, v double, w string").repartition(3)
+    rules = [Unique(("id",)), NotNull(("k", "w")), Consistent(("k",), ("id",)), NonNegative(("v",)), Unique(("id", "k"))]
+    for own, columns in ((rules, ["id", "k"]), (rules[1:2], ["id"]), ([*rules, quality.MinDistinct("w", 9, "v > 0")], df.columns)):
+        found = [tuple(r) for r in queries.only_report(df, own, "r").collect()]
+        assert sorted(found) == sorted(tuple(r) for r in quality.report(df, own).collect())
+        assert written.pop() == columns
